@@ -6,7 +6,7 @@ import importlib
 
 from riskweave.plans import registry
 
-_FAMILIES = ("fraud",)
+_FAMILIES = ("fraud", "normal")
 
 
 def _load() -> None:

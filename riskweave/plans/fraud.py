@@ -82,6 +82,12 @@ def c6(spark, d):
     return detectors.fraud_report(Tables(spark, d).tx).withColumn("risk_factors", F.array_join("risk_factors", ","))
 
 
+@query("B11_severe_alerts", f"SELECT transaction_id, total_risk_score, risk_level FROM ({C6_SQL}) WHERE risk_level IN ('HIGH', 'CRITICAL')")
+def b11(spark, d):
+    return detectors.severe(detectors.scored_transactions(Tables(spark, d).tx)).select(
+        "transaction_id", "total_risk_score", "risk_level")
+
+
 @query("C7_customer_profiles", cte("tx", """
 WITH p AS (
   SELECT customer_id, count(*) AS total_transactions, sum(amount) AS total_volume, avg(amount) AS avg_transaction,

@@ -51,6 +51,50 @@ class Tables:
         copies = F.when(F.col("transaction_id") % 29 == 0, 2).otherwise(1)
         return holed.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
 
+    @cached_property
+    def raw_bank(self) -> DataFrame:
+        """Order table as an untyped bank export: mixed amount and date spellings, some unusable rows."""
+        status, priority, day = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderdate").cast("timestamp")
+        plain = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+        amount = (
+            F.when((status == "P") & (priority == "4-NOT SPECIFIED"), "n/a")
+            .when((status == "P") & (priority == "5-LOW"), "")
+            .when(status == "F", F.concat(F.lit("$"), F.format_number("o_totalprice", 2)))
+            .when(status == "O", F.concat(F.lit("USD "), plain)).otherwise(plain))
+        formats = {
+            "1-URGENT": "yyyy-MM-dd'T'HH:mm:ss", "2-HIGH": "yyyy-MM-dd", "3-MEDIUM": "MM/dd/yyyy",
+            "4-NOT SPECIFIED": "yyyy/MM/dd"}
+        date = F.when((status == "P") & (priority == "2-HIGH"), F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        date = date.when((status == "F") & (priority == "3-MEDIUM"), F.date_format(day, "dd/MM/yyyy"))
+        for name, pattern in formats.items():
+            date = date.when(priority == name, F.date_format(day, pattern))
+        return self.base("orders").select(
+            F.when((status == "P") & (priority == "1-URGENT"), "").otherwise(F.col("o_orderkey").cast("string")).alias("transaction_id"),
+            F.col("o_custkey").cast("string").alias("customer_id"),
+            amount.alias("amount"),
+            date.otherwise(F.date_format(day, "yyyy-MM-dd HH:mm:ss")).alias("transaction_date"),
+            F.concat(F.lit("Shop "), status).alias("merchant_name"),
+            F.substring(priority, 3, 20).alias("merchant_category"),
+            F.when(status == "F", "Boston").otherwise("").alias("city"),
+            F.when(priority == "1-URGENT", "").otherwise("MA").alias("state"),
+            F.when(status == "O", "02101").otherwise("").alias("zip"),
+            F.when(priority == "1-URGENT", "'Yes'").when(priority == "2-HIGH", "TRUE").when(priority == "3-MEDIUM", "0")
+            .when(priority == "5-LOW", " no ").otherwise("maybe").alias("is_fraud"))
+
+    @cached_property
+    def raw_card(self) -> DataFrame:
+        """Event table as a card export with split date parts."""
+        ts, kind = F.col("ts").cast("timestamp"), F.col("event_type")
+        return self.base("events").select(
+            F.col("event_id").cast("string").alias("User"), F.col("user_id").cast("string").alias("Card"),
+            F.date_format(ts, "yyyy").alias("Year"), F.month(ts).cast("string").alias("Month"),
+            F.dayofmonth(ts).cast("string").alias("Day"),
+            F.when(kind == "signup", "").otherwise(F.date_format(ts, "HH:mm:ss")).alias("Time"),
+            F.concat(F.lit("$"), F.col("value").cast("decimal(12,2)").cast("string")).alias("Amount"),
+            kind.alias("Merchant Name"), F.lit("New York").alias("Merchant City"), F.lit("NY").alias("Merchant State"),
+            F.lit("10001").alias("Zip"), F.lit("5411").alias("MCC"),
+            F.when(kind == "error", "Yes").otherwise("No").alias("Is Fraud?"))
+
     @cached_property
     def customers(self) -> DataFrame:
         totals = self.base("orders").groupBy("o_custkey").agg(
@@ -143,6 +187,28 @@ _CTE = {
     FROM tx) AS holed,
     range(2) AS copies(n)
   WHERE n = 0 OR transaction_id % 29 = 0""",
+    "raw_bank": """
+  SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS transaction_id,
+         CAST(o_custkey AS VARCHAR) AS customer_id,
+         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED' THEN 'n/a'
+              WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN ''
+              WHEN o_orderstatus = 'F' THEN '$' || format('{:,.2f}', o_totalprice)
+              WHEN o_orderstatus = 'O' THEN 'USD ' || CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR)
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS amount,
+         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
+              WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN strftime(o_orderdate, '%d/%m/%Y')
+              WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+              WHEN o_orderpriority = '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%d')
+              WHEN o_orderpriority = '3-MEDIUM' THEN strftime(o_orderdate, '%m/%d/%Y')
+              WHEN o_orderpriority = '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y/%m/%d')
+              ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS transaction_date,
+         'Shop ' || o_orderstatus AS merchant_name, substr(o_orderpriority, 3, 20) AS merchant_category,
+         CASE WHEN o_orderstatus = 'F' THEN 'Boston' ELSE '' END AS city,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE 'MA' END AS state,
+         CASE WHEN o_orderstatus = 'O' THEN '02101' ELSE '' END AS zip,
+         CASE o_orderpriority WHEN '1-URGENT' THEN '''Yes''' WHEN '2-HIGH' THEN 'TRUE' WHEN '3-MEDIUM' THEN '0'
+              WHEN '5-LOW' THEN ' no ' ELSE 'maybe' END AS is_fraud
+  FROM orders""",
     "customers": """
   SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
          c_mktsegment AS segment, ['LOW','MEDIUM','HIGH','CRITICAL'][1 + c_custkey % 4] AS risk_level,
