@@ -6,7 +6,7 @@ import importlib
 
 from riskweave.plans import registry
 
-_FAMILIES = ("fraud", "normal")
+_FAMILIES = ("fraud", "normal", "decisions")
 
 
 def _load() -> None:
