@@ -54,7 +54,7 @@ def blended(rule_scored_df: DataFrame, scores: DataFrame) -> DataFrame:
     mixed = (F.col("rule_score") > 0.5) & F.col("external_score").isNotNull()
     return rule_scored_df.join(scores, "transaction_id", "left").withColumns({
         "final_score": F.round(F.when(mixed, 0.6 * F.col("rule_score") + 0.4 * F.col("external_score")).otherwise(F.col("rule_score")), 10),
-        "method": F.when(mixed, "HYBRID").otherwise("RULE_BASED")})
+        "method": F.when(mixed, "HYBRID_RULE_LLM").otherwise("RULE_BASED")})
 
 
 def level4(score: Column) -> Column:

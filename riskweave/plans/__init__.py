@@ -6,7 +6,7 @@ import importlib
 
 from riskweave.plans import registry
 
-_FAMILIES = ("fraud", "normal", "decisions")
+_FAMILIES = ("fraud", "normal", "decisions", "measures")
 
 
 def _load() -> None:
