@@ -161,21 +161,28 @@ def previous_event(
         *[F.col(c) for c in df.columns], F.coalesce("_before", "_carry").alias("previous"))
 
 
-def row_index(df: DataFrame, ts: str, tiebreak: str, slice_seconds: int = 60) -> DataFrame:
-    """Add ``row_index``: 0-based position of the row in global (ts, tiebreak) order."""
-    counts = df.groupBy(time_slice(ts, slice_seconds).alias(SLICE)).agg(F.count(F.lit(1)).alias("n"))
-    starts = counts.select(
-        F.col(SLICE),
-        (F.sum("n").over(Window.orderBy(SLICE)) - F.col("n")).alias("_start"))
-    inside = Window.partitionBy(SLICE).orderBy(ts, tiebreak)
+def numbered(df: DataFrame, cell: Column, order: Sequence[str], output: str = "row_index") -> DataFrame:
+    """Add the 0-based position of each row in global ``order``.
+
+    ``cell`` must not decrease along that order; rows are numbered cell by cell and
+    shifted by the row count of the cells before.
+    """
+    counts = df.groupBy(cell.alias(SLICE)).agg(F.count(F.lit(1)).alias("n"))
+    starts = counts.select(F.col(SLICE), (F.sum("n").over(Window.orderBy(SLICE)) - F.col("n")).alias("_start"))
+    inside = Window.partitionBy(SLICE).orderBy(*order)
     return (
-        df.withColumn(SLICE, time_slice(ts, slice_seconds))
+        df.withColumn(SLICE, cell)
         .withColumn("_place", F.row_number().over(inside))
         .join(starts, SLICE)
-        .select(*[F.col(c) for c in df.columns], (F.col("_start") + F.col("_place") - 1).alias("row_index"))
+        .select(*[F.col(c) for c in df.columns], (F.col("_start") + F.col("_place") - 1).alias(output))
     )
 
 
+def row_index(df: DataFrame, ts: str, tiebreak: str, slice_seconds: int = 60) -> DataFrame:
+    """Position in global (ts, tiebreak) order."""
+    return numbered(df, time_slice(ts, slice_seconds), [ts, tiebreak])
+
+
 def _sliced_counts(df: DataFrame, keys: Sequence[str], value: str, measures: dict[str, Column], cells: int) -> DataFrame:
     return (
         df.where(F.col(value).isNotNull())

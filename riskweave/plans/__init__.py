@@ -6,7 +6,7 @@ import importlib
 
 from riskweave.plans import registry
 
-_FAMILIES = ("fraud", "normal", "decisions", "measures")
+_FAMILIES = ("fraud", "normal", "decisions", "measures", "texts", "files", "streams")
 
 
 def _load() -> None:

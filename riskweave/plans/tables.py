@@ -10,10 +10,33 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 AS_OF = "2024-01-31 00:00:00"
 
 
+def event_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str = "events.parquet") -> DataFrame:
+    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+
+
+def transactions(events: DataFrame) -> DataFrame:
+    """The transaction table from event rows, batch or streaming."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    countries = F.array(*[F.lit(c) for c in ("US", "CN", "RU", "GB", "BR")])
+    return events.select(
+        F.col("event_id").alias("transaction_id"),
+        F.col("user_id").alias("customer_id"),
+        F.col("ts").cast("timestamp").alias("transaction_date"),
+        F.round(F.col("value") * 100, 2).alias("amount"),
+        F.lit("USD").alias("currency"),
+        F.concat(F.lit("M"), (k % 20).cast("string")).alias("merchant_name"),
+        F.col("event_type").alias("merchant_category"),
+        F.get(countries, k % 5).alias("location_country"),
+        F.concat(F.lit("City "), (k % 10).cast("string")).alias("location_city"),
+        (F.col("event_type") == "error").alias("is_fraud"),
+        F.get(F.array(F.lit("CSV"), F.lit("JSON"), F.lit("FIXED_WIDTH")), k % 3).alias("source_system"))
+
+
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -23,20 +46,12 @@ class Tables:
 
     @cached_property
     def tx(self) -> DataFrame:
-        k = F.get_json_object("props", "$.k").cast("int")
-        countries = F.array(*[F.lit(c) for c in ("US", "CN", "RU", "GB", "BR")])
-        return self.base("events").select(
-            F.col("event_id").alias("transaction_id"),
-            F.col("user_id").alias("customer_id"),
-            F.col("ts").cast("timestamp").alias("transaction_date"),
-            F.round(F.col("value") * 100, 2).alias("amount"),
-            F.lit("USD").alias("currency"),
-            F.concat(F.lit("M"), (k % 20).cast("string")).alias("merchant_name"),
-            F.col("event_type").alias("merchant_category"),
-            F.get(countries, k % 5).alias("location_country"),
-            F.concat(F.lit("City "), (k % 10).cast("string")).alias("location_city"),
-            (F.col("event_type") == "error").alias("is_fraud"),
-            F.get(F.array(F.lit("CSV"), F.lit("JSON"), F.lit("FIXED_WIDTH")), k % 3).alias("source_system"))
+        return transactions(self.base("events"))
+
+    @cached_property
+    def tx_stream(self) -> DataFrame:
+        """The same table as a file stream."""
+        return transactions(event_stream(self.spark, self.folder, self.base("events").schema))
 
     @cached_property
     def dirty(self) -> DataFrame:

@@ -164,10 +164,17 @@ def csv_file_report(spark: SparkSession, path: str) -> DataFrame:
         (F.size(F.split("head", ",")) >= 2).alias("valid"))
 
 
+def is_json(value: Column) -> Column:
+    """Strict syntax check. The parser stops at the end of the first value, so the
+    text has to parse inside an array and inside an object alike."""
+    inside_array = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    inside_object = F.try_parse_json(F.concat(F.lit('{"v":'), value, F.lit("}")))
+    return (F.length(F.trim(value)) > 0) & inside_array.isNotNull() & inside_object.isNotNull()
+
+
 def json_syntax_report(lines: DataFrame) -> DataFrame:
-    """Share of JSON documents that parse."""
-    parsed = F.try_parse_json("value")
-    return lines.agg(F.count(F.lit(1)).alias("documents"), F.count_if(parsed.isNotNull()).alias("valid"))
+    """Documents and how many of them are valid JSON."""
+    return lines.agg(F.count(F.lit(1)).alias("documents"), F.count_if(is_json(F.col("value"))).alias("valid"))
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
