@@ -190,7 +190,7 @@ def a13(spark, d):
     return spark.read.parquet(path).groupBy("location_country").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 2).alias("total"))
 
 
-@query("A14_file_control", cte("tx", "SELECT count(*) AS n, 0 AS oversized FROM tx"))
+@query("A14_file_control", cte("tx", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS oversized FROM tx"))
 def a14(spark, d):
     path = scratch(spark, "a14")
     writers.write_parquet(_tx(spark, d), path, files=256, max_records_per_file=400)
@@ -206,7 +206,7 @@ def a15(spark, d):
 
 
 @query("A17_export_range", cte("tx", """
-SELECT transaction_id, year(transaction_date) AS year, month(transaction_date) AS month, day(transaction_date) AS day FROM tx
+SELECT transaction_id, year(transaction_date)::INT AS year, month(transaction_date)::INT AS month, day(transaction_date)::INT AS day FROM tx
 WHERE transaction_date >= TIMESTAMP '2024-01-05' AND transaction_date < TIMESTAMP '2024-01-20'"""))
 def a17(spark, d):
     path = scratch(spark, "a17")

@@ -46,7 +46,7 @@ def c3(spark, d):
 
 
 @query("C4_unusual_time_alerts", cte("tx", """
-SELECT transaction_id, customer_id, hour(transaction_date) AS hour_of_day, 15.0::DOUBLE AS risk_score
+SELECT transaction_id, customer_id, hour(transaction_date)::INT AS hour_of_day, 15.0::DOUBLE AS risk_score
 FROM tx WHERE hour(transaction_date) BETWEEN 2 AND 5"""))
 def c4(spark, d):
     return detectors.unusual_time(Tables(spark, d).tx).select(

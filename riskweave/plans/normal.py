@@ -135,8 +135,8 @@ def b10(spark, d):
 
 
 @query("B12_calendar_features", cte("tx", """
-SELECT transaction_id, year(transaction_date) AS year, month(transaction_date) AS month, day(transaction_date) AS day,
-       isodow(transaction_date) - 1 AS dayofweek, hour(transaction_date) AS hour,
+SELECT transaction_id, year(transaction_date)::INT AS year, month(transaction_date)::INT AS month, day(transaction_date)::INT AS day,
+       (isodow(transaction_date) - 1)::INT AS dayofweek, hour(transaction_date)::INT AS hour,
        CASE WHEN isodow(transaction_date) >= 6 THEN 1 ELSE 0 END AS is_weekend FROM tx"""))
 def b12(spark, d):
     return Tables(spark, d).tx.select(
@@ -147,7 +147,7 @@ _WORDS = r"list_filter(string_split_regex(text, '\s+'), lambda w: length(w) > 0)
 
 
 @query("B13_text_features", rf"""
-SELECT doc_id, length(text) AS text_length, len({_WORDS}) AS word_count,
+SELECT doc_id, length(text)::INT AS text_length, len({_WORDS})::INT AS word_count,
        round(coalesce(length(array_to_string({_WORDS}, '')) / nullif(len({_WORDS}), 0), 0), 6) AS avg_word_length,
        round(coalesce(length(regexp_replace(text, '[^\p{{Lu}}]', '', 'g')) / nullif(length(text), 0), 0), 6) AS uppercase_ratio,
        round(coalesce(length(regexp_replace(text, '[^\p{{Nd}}]', '', 'g')) / nullif(length(text), 0), 0), 6) AS digit_ratio
