@@ -12,6 +12,15 @@ NOT_BASIC = r"""[^a-zA-Z0-9\s.,!?;:\-()\[\]"']+"""
 NOT_ALPHANUMERIC = r"[^a-zA-Z0-9\s]+"
 
 
+def elements(array: str | Column) -> Column:
+    """Rows of an array, one null row for an empty one; drop it with IS NOT NULL.
+
+    A plain ``explode`` makes the optimizer filter on ``size(array) > 0`` at the
+    scan, which works the array out a second time for every text.
+    """
+    return F.explode_outer(array)
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 

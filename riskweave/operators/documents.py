@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.ordered import numbered
-from riskweave.functions.text import char_chunks, strip, word_chunks
+from riskweave.functions.text import char_chunks, elements, strip, word_chunks
 
 
 def chunk_by_chars(docs: DataFrame, key: str, text: str, size: int = 1000, overlap: int = 200) -> DataFrame:
-    return docs.select(key, F.explode(char_chunks(F.col(text), size, overlap)).alias("c")).select(key, "c.*")
+    return docs.select(key, elements(char_chunks(F.col(text), size, overlap)).alias("c")).where("c IS NOT NULL").select(key, "c.*")
 
 
 def chunk_by_words(docs: DataFrame, key: str, text: str, size: int = 500, overlap: int = 50) -> DataFrame:
-    return docs.select(key, F.posexplode(word_chunks(F.col(text), size, overlap)).alias("chunk_id", "text"))
+    return docs.select(key, F.posexplode_outer(word_chunks(F.col(text), size, overlap)).alias("chunk_id", "text")).where("text IS NOT NULL")
 
 
 def merged_metadata(chunk: dict[str, Column], document: Column) -> Column:
@@ -28,7 +28,7 @@ def merged_metadata(chunk: dict[str, Column], document: Column) -> Column:
 
 def chunk_index(docs: DataFrame, key: str, text: str, metadata: str, size: int = 1000, overlap: int = 200) -> DataFrame:
     """Chunks with id ``doc_<key>_chunk_<n>`` and merged metadata."""
-    chunks = docs.select(key, metadata, F.explode(char_chunks(F.col(text), size, overlap)).alias("c"))
+    chunks = docs.select(key, metadata, elements(char_chunks(F.col(text), size, overlap)).alias("c")).where("c IS NOT NULL")
     own = {"doc_id": F.col(key), "chunk_id": F.col("c.chunk_id"), "start_pos": F.col("c.start_pos")}
     return chunks.select(
         F.concat(F.lit("doc_"), F.col(key).cast("string"), F.lit("_chunk_"), F.col("c.chunk_id").cast("string")).alias("id"),

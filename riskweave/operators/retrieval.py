@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions.text import tokens
+from riskweave.functions.text import elements, tokens
 
 # Scores are compared at this many places: sums differ in the last bits with the
 # order of addition, and copies of a text must tie so that the key decides.
@@ -17,9 +17,14 @@ PLACES = 10
 
 
 def term_frequencies(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, n, tf) with tf = occurrences / all tokens of the document."""
-    words = docs.select(key, tokens(F.col(text)).alias("_t")).select(key, F.size("_t").alias("_all"), F.explode("_t").alias("term"))
-    return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"), F.first("_all").alias("_all")).select(
+    """(key, term, n, tf) with tf = occurrences / all tokens of the document.
+
+    Texts are dealt out by key before they are cut into tokens: a text is smaller
+    than its postings, and counting per document then needs no further exchange.
+    """
+    placed = docs.select(key, text).repartition(key)
+    words = placed.select(key, tokens(F.col(text)).alias("_t")).select(key, F.size("_t").alias("_all"), elements("_t").alias("term"))
+    return words.where("term IS NOT NULL").groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"), F.first("_all").alias("_all")).select(
         key, "term", "n", (F.col("n") / F.col("_all")).alias("tf"))
 
 
@@ -29,24 +34,41 @@ def inverse_document_frequencies(tf: DataFrame, docs: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", F.log(size / F.col("df")))
 
 
+def _weighted(tf: DataFrame, idf: DataFrame, key: str) -> DataFrame:
+    return tf.join(idf.select("term", "idf"), "term").select(key, "term", "idf", (F.col("tf") * F.col("idf")).alias("_w")).where("_w <> 0")
+
+
 def unit_weights(tf: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     """(key, term, weight), L2-normalised per document; zero weights are left out.
 
     Only the terms of one document meet in a window, so its size is that of a text.
     """
-    raw = tf.join(idf.select("term", "idf"), "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("_w")).where("_w <> 0")
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", (F.col("_w") / norm).alias("weight"))
+    return _weighted(tf, idf, key).select(key, "term", "idf", (F.col("_w") / norm).alias("weight"))
+
 
+def build_index(docs: DataFrame, key: str, text: str, path: str) -> dict[str, DataFrame]:
+    """Write the index tables below ``path`` and return them as stored.
 
-def build_index(docs: DataFrame, key: str, text: str) -> dict[str, DataFrame]:
-    tf = term_frequencies(docs, key, text)
-    idf = inverse_document_frequencies(tf, docs)
-    return {"tf": tf, "idf": idf, "weights": unit_weights(tf, idf, key)}
+    ``tf`` holds the postings, ``idf`` the vocabulary and ``norms`` the length of
+    every document vector. Each is computed once, from the stored one before it,
+    and the planner sees the true table sizes when it chooses joins.
+    """
+    spark = docs.sparkSession
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    tf = stored("tf", term_frequencies(docs, key, text))
+    idf = stored("idf", inverse_document_frequencies(tf, docs))
+    # Postings were written document by document, so this folds before its shuffle.
+    lengths = _weighted(tf, idf, key).groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("norm"))
+    return {"tf": tf, "idf": idf, "norms": stored("norms", lengths)}
 
 
 def corpus_stats(docs: DataFrame, text: str) -> DataFrame:
-    terms = docs.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    terms = docs.select(elements(F.array_distinct(tokens(F.col(text)))).alias("term"))
     return docs.agg(F.count(F.lit(1)).alias("num_documents")).select(
         "num_documents", terms.agg(F.countDistinct("term").alias("v")).scalar().alias("vocab_size"))
 
@@ -57,10 +79,15 @@ def top_k(scored: DataFrame, query: str, order: list[Column], k: int) -> DataFra
 
 
 def tfidf_search(index: dict[str, DataFrame], key: str, queries: DataFrame, query: str, text: str, k: int = 5) -> DataFrame:
-    """(query, key, score, rank) with score > 0; unknown query terms still count in the query's length."""
-    asked = unit_weights(term_frequencies(queries, query, text), index["idf"], query).withColumnRenamed("weight", "_q")
-    scored = index["weights"].join(asked, "term").groupBy(query, key).agg(
-        F.round(F.sum(F.col("weight") * F.col("_q")), PLACES).alias("score"))
+    """(query, key, score, rank) with score > 0; unknown query terms still count in the query's length.
+
+    The query side carries the idf, so the postings are read once and meet only the
+    query terms; they are summed per (query, document) before anything is shuffled.
+    """
+    asked = unit_weights(term_frequencies(queries, query, text), index["idf"], query).select(
+        query, "term", (F.col("weight") * F.col("idf")).alias("_q"))
+    dots = index["tf"].join(asked, "term").groupBy(query, key).agg(F.sum(F.col("tf") * F.col("_q")).alias("_dot"))
+    scored = dots.join(index["norms"], key).select(query, key, F.round(F.col("_dot") / F.col("norm"), PLACES).alias("score"))
     return top_k(scored.where("score > 0"), query, [F.desc("score"), F.asc(key)], k)
 
 

@@ -258,8 +258,8 @@ SELECT (SELECT count(*) FROM documents) AS documents,
           lambda w: length(w) > 0)) AS term FROM documents)) AS terms""".replace("\\\\", "\\"))
 def a27(spark, d):
     path, docs = scratch(spark, "a27"), Tables(spark, d).base("documents")
-    index = retrieval.build_index(docs, "doc_id", "text")
-    writers.save_corpus(path, documents=docs, idf=index["idf"], weights=index["weights"])
-    saved = writers.load_corpus(spark, path, "documents", "idf", "weights")
+    retrieval.build_index(docs, "doc_id", "text", path)
+    writers.save_corpus(path, documents=docs)
+    saved = writers.load_corpus(spark, path, "documents", "idf", "norms")
     return saved["documents"].agg(F.count(F.lit(1)).alias("documents")).select(
         "documents", saved["idf"].agg(F.count(F.lit(1)).alias("n")).scalar().alias("terms"))

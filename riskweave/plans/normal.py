@@ -173,7 +173,7 @@ WITH s AS (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '[
              lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) > 0) AS parts FROM documents)
 SELECT doc_id, CAST(i - 1 AS INT) AS pos, parts[i] AS sentence FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM s)""")
 def b15(spark, d):
-    return Tables(spark, d).base("documents").select("doc_id", F.posexplode(text.sentences(F.col("text"))).alias("pos", "sentence"))
+    return Tables(spark, d).base("documents").select("doc_id", F.posexplode_outer(text.sentences(F.col("text"))).alias("pos", "sentence")).where("pos IS NOT NULL")
 
 
 @query("B16_truncated_text", """

@@ -6,6 +6,7 @@ from riskweave.functions import text
 from riskweave.operators import documents, retrieval
 from riskweave.plans.registry import query
 from riskweave.plans.tables import Tables
+from riskweave.session import scratch
 
 
 def docs(spark, d):
@@ -68,7 +69,8 @@ hit AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score,
 
 @query("K5_tfidf_weights", _INDEX + " SELECT doc_id, term, round(weight, 8) AS weight FROM unit")
 def k5(spark, d):
-    return retrieval.build_index(docs(spark, d), "doc_id", "text")["weights"].withColumn("weight", F.round("weight", 8))
+    index = retrieval.build_index(docs(spark, d), "doc_id", "text", scratch(spark, "k5"))
+    return retrieval.unit_weights(index["tf"], index["idf"], "doc_id").select("doc_id", "term", F.round("weight", 8).alias("weight"))
 
 
 @query("K6_corpus_stats", _INDEX + " SELECT (SELECT count(*) FROM documents) AS num_documents, count(*) AS vocab_size FROM idf")
@@ -77,9 +79,8 @@ def k6(spark, d):
 
 
 def _hits(spark, d, k=5):
-    t = Tables(spark, d)
-    found = docs(spark, d)
-    return retrieval.tfidf_search(retrieval.build_index(found, "doc_id", "text"), "doc_id", t.base("benchmark"), "item_id", "text", k)
+    index = retrieval.build_index(docs(spark, d), "doc_id", "text", scratch(spark, "index"))
+    return retrieval.tfidf_search(index, "doc_id", Tables(spark, d).base("benchmark"), "item_id", "text", k)
 
 
 @query("K7_tfidf_search", _SEARCH + " SELECT item_id, doc_id, CAST(rank AS INT) AS rank, round(score, 6) AS score FROM hit")
