@@ -257,6 +257,6 @@ def linear_percentiles(
     columns = []
     for i, (name, p) in enumerate(points.items()):
         at = (F.col("size") - 1) * F.lit(p)
-        low, high = F.col("values")[2 * i], F.col("values")[2 * i + 1]
+        low, high = F.get("values", F.lit(2 * i)), F.get("values", F.lit(2 * i + 1))
         columns.append((low + (high - low) * (at - F.floor(at))).alias(name))
     return picked.select(*keys, *columns)

@@ -174,10 +174,10 @@ def _shared_query_scores(
 
 def _blocked_scores(corpus: DataFrame, key: str, vector: str, asked: DataFrame, query: str, metric: str, size: int) -> DataFrame:
     blocks = -(-asked.count() // size)
-    dealt = asked.groupBy(F.pmod(F.xxhash64(query), F.lit(blocks)).alias("_block")).agg(
+    dealt = asked.groupBy(F.pmod(F.xxhash64(query), F.lit(blocks)).cast("int").alias("_block")).agg(
         F.collect_list(F.struct(query, "_q")).alias("_asked"))
     copies = corpus.where(F.col(vector).isNotNull()).select(
-        key, F.col(vector).cast("array<double>").alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("_block"))
+        key, F.col(vector).cast("array<double>").alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
     pairs = copies.join(dealt, "_block").select(key, "_v", F.explode("_asked").alias("_a"))
     return pairs.select(F.col(f"_a.{query}").alias(query), key, F.round(_score_column(metric, F.col("_a._q"), F.col("_v")), PLACES).alias("score"))
 

@@ -30,7 +30,7 @@ def describe(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """
     stats = df.groupBy(*keys).agg(*[m.alias(n) for n, m in _measures(value).items()])
     middle = values_at_ranks(df, keys, value, _median_ranks).select(
-        *keys, ((F.col("values")[0] + F.col("values")[1]) / 2).alias("median"))
+        *keys, ((F.get("values", F.lit(0)) + F.get("values", F.lit(1))) / 2).alias("median"))
     if keys:
         return stats.join(middle, list(keys), "left")
     with_median = stats.select("*", middle.select("median").scalar().alias("median"))
@@ -43,7 +43,7 @@ def percentiles(df: DataFrame, value: str, points: Sequence[int] = (25, 50, 75,
     def ranks(n: Column) -> list[Column]:
         return [F.greatest(F.lit(0), F.least(F.ceil(F.lit(p / 100.0) * n) - 1, n - 1)) for p in points]
 
-    picked = values_at_ranks(df, [], value, ranks)
+    picked = values_at_ranks(df, [], value, ranks).where("size IS NOT NULL")
     return picked.select(F.explode(F.arrays_zip(F.array(*[F.lit(p) for p in points]).alias("percentile"), F.col("values").alias("value"))).alias("p")).select(
         F.col("p.percentile").alias("percentile"), F.col("p.value").alias("value"))
 
@@ -57,7 +57,7 @@ def approximate_percentiles(df: DataFrame, value: str, points: Sequence[int] = (
 def outliers(df: DataFrame, value: str, factor: float = 1.5, least_rows: int = 4) -> DataFrame:
     """Rows strictly outside the quartile fences; none below ``least_rows`` rows."""
     picked = values_at_ranks(df, [], value, lambda n: [F.floor(n * 0.25), F.floor(n * 0.75)]).where(F.col("size") >= least_rows)
-    low, high = F.col("values")[0], F.col("values")[1]
+    low, high = F.get("values", F.lit(0)), F.get("values", F.lit(1))
     fences = picked.select((low - factor * (high - low)).alias("low"), (high + factor * (high - low)).alias("high"))
     v = F.col(value)
     return df.where((v < fences.select("low").scalar()) | (v > fences.select("high").scalar()))
