@@ -197,8 +197,9 @@ def j4_summary(spark, d):
 
 @query("J5_accuracy_drift", cte("predictions", """
 WITH o AS (SELECT (prediction = ground_truth)::INT AS h, row_number() OVER (ORDER BY logged_at, prediction_id) AS i, count(*) OVER () AS n FROM predictions),
-a AS (SELECT max(n) AS judged, avg(h) FILTER (i <= 50) AS b, avg(h) FILTER (i > n - 50) AS r FROM o)
-SELECT judged, round(b, 6) AS baseline_accuracy, round(r, 6) AS recent_accuracy, round(b - r, 6) AS "drop", b - r > 0.05 AS drift_detected,
+a AS (SELECT max(n) AS judged, CASE WHEN max(n) >= 100 THEN avg(h) FILTER (i <= 50) END AS b,
+             CASE WHEN max(n) >= 100 THEN avg(h) FILTER (i > n - 50) END AS r FROM o)
+SELECT judged, round(b, 6) AS baseline_accuracy, round(r, 6) AS recent_accuracy, round(b - r, 6) AS "drop", coalesce(b - r > 0.05, FALSE) AS drift_detected,
        CASE WHEN judged < 100 THEN 'Insufficient data' END AS reason FROM a"""))
 def j5(spark, d):
     return rounded(monitoring.accuracy_drift(Tables(spark, d).predictions, window=50), 6, "baseline_accuracy", "recent_accuracy", "drop")
