@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 # Fixed values. (?U) makes \s cover every Unicode blank.
 BLANKS = r"(?U)\s+"
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-NOT_BASIC = r"""[^a-zA-Z0-9\s.,!?;:\-()\[\]"']+"""
-NOT_ALPHANUMERIC = r"[^a-zA-Z0-9\s]+"
+PUNCTUATION = r"[!-/:-@\[-`{-~]+"
+NOT_BASIC = r"""(?U)[^a-zA-Z0-9\s.,!?;:\-()\[\]"']+"""
+NOT_ALPHANUMERIC = r"(?U)[^a-zA-Z0-9\s]+"
 
 
 def elements(array: str | Column) -> Column:
@@ -37,16 +37,20 @@ def calendar_features(ts: Column) -> dict[str, Column]:
 
 
 def text_features(text: Column) -> dict[str, Column]:
-    length, tokens = F.length(text), words(text)
-    letters = F.length(F.array_join(tokens, ""))
-    def share(pattern: str) -> Column:
-        return F.coalesce(F.try_divide(F.length(F.regexp_replace(text, pattern, "")), length), F.lit(0.0))
+    """Word figures from one pass: in single-spaced text there is a blank less than words."""
+    length, spaced = F.length(text), normalise_whitespace(text)
+    letters = F.length(F.replace(spaced, F.lit(" "), F.lit("")))
+    count = F.when(letters > 0, F.length(spaced) - letters + 1).otherwise(0)
+
+    def share(others: str) -> Column:
+        return F.coalesce(F.try_divide(F.length(F.regexp_replace(text, others, "")), length), F.lit(0.0))
+
     return {
         "text_length": length,
-        "word_count": F.size(tokens),
-        "avg_word_length": F.coalesce(F.try_divide(letters, F.size(tokens)), F.lit(0.0)),
-        "uppercase_ratio": share(r"[^\p{Lu}]"),
-        "digit_ratio": share(r"[^\p{Nd}]")}
+        "word_count": count,
+        "avg_word_length": F.coalesce(F.try_divide(letters, count), F.lit(0.0)),
+        "uppercase_ratio": share(r"[^\p{Lu}]+"),
+        "digit_ratio": share(r"[^\p{Nd}]+")}
 
 
 def normalise_whitespace(text: Column) -> Column:
@@ -54,8 +58,7 @@ def normalise_whitespace(text: Column) -> Column:
 
 
 def remove_special(text: Column, keep_punctuation: bool = True) -> Column:
-    pattern = NOT_BASIC if keep_punctuation else NOT_ALPHANUMERIC
-    return F.regexp_replace(text, "(?U)" + pattern if keep_punctuation else pattern, "")
+    return F.regexp_replace(text, NOT_BASIC if keep_punctuation else NOT_ALPHANUMERIC, "")
 
 
 def preprocess(text: Column, operations: tuple[str, ...] = ("normalize",)) -> Column:
@@ -81,7 +84,7 @@ def token_estimate(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower case, ASCII punctuation deleted, split on blanks."""
-    return words(F.translate(F.lower(text), PUNCTUATION, ""))
+    return words(F.regexp_replace(F.lower(text), PUNCTUATION, ""))
 
 
 def _starts(length: Column, step: int, last: Column) -> Column:

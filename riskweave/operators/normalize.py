@@ -26,14 +26,16 @@ ALIASES = {
     "day": ("Day",),
     "time": ("Time",),
 }
-# Timestamp patterns in the order they are tried.
+# Timestamp patterns in the order they are tried, each with the shape
+# a text needs to match it at all. A failed parse costs an exception per row, the
+# shape test a few comparisons.
 DATE_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSSSSS]",
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "MM/dd/yyyy",
-    "dd/MM/yyyy",
-    "yyyy/MM/dd",
+    ("yyyy-MM-dd'T'HH:mm[:ss][.SSSSSSSSS]", "%-__-__T__:__%"),
+    ("yyyy-MM-dd", "%-__-__"),
+    ("yyyy-MM-dd HH:mm:ss", "%-__-__ __:__:__"),
+    ("MM/dd/yyyy", "__/__/%"),
+    ("dd/MM/yyyy", "__/__/%"),
+    ("yyyy/MM/dd", "%/__/__"),
 )
 
 Lookup = Callable[[str], Column]
@@ -65,7 +67,8 @@ def parse_amount(text: Column) -> Column:
 
 def parse_date(text: Column, get: Lookup, extra_formats: tuple[str, ...] = ()) -> Column:
     """First matching format; then Year/Month/Day with optional Time; else null."""
-    single = [F.try_to_timestamp(text, F.lit(f)) for f in (*DATE_FORMATS, *extra_formats)]
+    single = [F.when(text.like(shape), F.try_to_timestamp(text, F.lit(f))) for f, shape in DATE_FORMATS]
+    single += [F.try_to_timestamp(text, F.lit(f)) for f in extra_formats]
 
     def two(part: Column) -> Column:
         return F.lpad(part.try_cast("int").cast("string"), 2, "0")

@@ -1,5 +1,6 @@
 import math
 import random
+import string
 
 import numpy as np
 import pytest
@@ -113,7 +114,7 @@ def test_corpus_upkeep(spark):
 
 def brute_tfidf(docs, queries, k):
     def toks(s):
-        return "".join(c for c in s.lower() if c not in text.PUNCTUATION).split()
+        return "".join(c for c in s.lower() if c not in string.punctuation).split()
     tokenised = [toks(d) for d in docs]
     df = {}
     for t in tokenised:
