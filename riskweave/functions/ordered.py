@@ -47,65 +47,53 @@ def value_slice(value: str | Column, cells: int = 1024) -> Column:
     return F.coalesce(F.floor(F.signum(v) * F.greatest(place, F.lit(0.0)) * cells), F.lit(0)).cast("bigint")
 
 
-def trailing_count(df: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
+def _sweep(points: DataFrame, key: str, at: str, width: int, parts: int, leaves: int, upto: int) -> DataFrame:
+    """Sum of ``n`` over a trailing window of ``width`` positions, as running totals.
+
+    A point counts from its position on and is taken off again ``width + leaves``
+    later, so every row costs the same whatever the window holds; a sliding frame
+    would add up the whole window again for each row. A slice is ``width / parts``
+    long and starts from the total of the ``parts`` slices before it.
+    """
+    step = -(-width // parts)
+    parts, reach = -(-width // step), -(-width // step) * step
+    if reach != width:
+        raise ValueError("the window must be a whole number of slices")
+    cell = F.floor(F.col(at) / step).cast("bigint")
+    totals = points.groupBy(F.col(key), cell.alias(SLICE)).agg(F.sum("n").alias("n"))
+    before = Window.partitionBy(key).orderBy(SLICE).rangeBetween(-parts, -1)
+    opening = totals.select(
+        F.col(key), F.col(SLICE), (F.col(SLICE) * step - 1).alias("_at"), F.sum("n").over(before).alias("_delta"),
+        F.lit(False).alias("_own")).where("_delta IS NOT NULL")
+    own = F.struct(cell.alias(SLICE), F.col(at).alias("_at"), F.col("n").alias("_delta"), F.lit(True).alias("_own"))
+    gone = F.struct(
+        (cell + parts).alias(SLICE), (F.col(at) + width + leaves).alias("_at"), (-F.col("n")).alias("_delta"), F.lit(False).alias("_own"))
+    moves = points.select(F.col(key), F.explode(F.array(own, gone)).alias("_m")).select(key, "_m.*")
+    w = Window.partitionBy(key, SLICE).orderBy("_at").rangeBetween(UNBOUNDED, upto)
+    return (
+        moves.unionByName(opening)
+        .withColumn("_sum", F.coalesce(F.sum("_delta").over(w), F.lit(0)))
+        .where("_own")
+        .select(key, F.col("_at").alias(at), "_sum"))
+
+
+def trailing_count(df: DataFrame, key: str, ts: str, seconds: int, parts: int = 120) -> DataFrame:
     """Rows of the same key in ``[t - seconds, t]``, whole seconds, both ends included.
 
     One output row per (key, second). Rows are counted per second before anything
-    is ordered, so a slice holds at most ``2 * seconds`` rows however hot the key is.
+    is ordered, so a slice holds a bounded number of rows however hot the key is.
     """
     per_second = df.groupBy(F.col(key), whole_seconds(ts).alias("second")).agg(F.count(F.lit(1)).alias("n"))
-    # A window reaches back at most one slice: give every count to its own slice
-    # and to the next one.
-    shifted = per_second.select(
-        "*",
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("shift"),
-    ).withColumn(SLICE, F.floor(F.col("second") / seconds) + F.col("shift"))
-    w = Window.partitionBy(key, SLICE).orderBy("second").rangeBetween(-seconds, 0)
-    return (
-        shifted.withColumn("trailing", F.sum("n").over(w))
-        .where("shift = 0")
-        .select(key, "second", F.col("trailing"))
-    )
+    return _sweep(per_second, key, "second", seconds, parts, 1, 0).withColumnRenamed("_sum", "trailing")
 
 
-def strict_trailing_count(df: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
+def strict_trailing_count(df: DataFrame, key: str, ts: str, seconds: int, parts: int = 120) -> DataFrame:
     """Rows of the same key in the open interval ``(t - seconds, t)``, to the microsecond.
 
-    One output row per (key, instant). The interval is cut into the rest of the
-    current second, the whole seconds between, and the tail of the far second.
+    One output row per (key, instant).
     """
-    second = F.floor(F.col(MICROS) / 1_000_000).cast("bigint")
-    instants = (
-        df.groupBy(F.col(key), micros(ts).alias(MICROS)).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("second", second)
-        .withColumn("part", F.col(MICROS) - F.col("second") * 1_000_000)
-    )
-    near_far = instants.select(
-        key, MICROS, "part", "n",
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("shift"),
-        "second",
-    ).withColumn("second", F.col("second") + F.col("shift") * seconds)
-    edge = Window.partitionBy(key, "second").orderBy("part")
-    here = F.when(F.col("shift") == 0, F.col("n"))
-    far = F.when(F.col("shift") == 1, F.col("n"))
-    edges = (
-        near_far
-        .withColumn("near", F.sum(here).over(edge.rangeBetween(UNBOUNDED, -1)))
-        .withColumn("far", F.sum(far).over(edge.rangeBetween(1, Window.unboundedFollowing)))
-        .where("shift = 0")
-        .select(key, "second", MICROS, F.coalesce("near", F.lit(0)).alias("near"), F.coalesce("far", F.lit(0)).alias("far"))
-    )
-    per_second = df.groupBy(F.col(key), whole_seconds(ts).alias("second")).agg(F.count(F.lit(1)).alias("n"))
-    spread = per_second.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("shift")).withColumn(
-        SLICE, F.floor(F.col("second") / seconds) + F.col("shift"))
-    between_w = Window.partitionBy(key, SLICE).orderBy("second").rangeBetween(-(seconds - 1), -1)
-    between = (
-        spread.withColumn("between", F.coalesce(F.sum("n").over(between_w), F.lit(0)))
-        .where("shift = 0 AND between > 0")
-        .select(key, "second", "between")
-    )
-    return edges.join(between, [key, "second"], "left").select(
-        key, MICROS, (F.col("near") + F.col("far") + F.coalesce("between", F.lit(0))).alias("recent"))
+    instants = df.groupBy(F.col(key), micros(ts).alias(MICROS)).agg(F.count(F.lit(1)).alias("n"))
+    return _sweep(instants, key, MICROS, seconds * 1_000_000, parts, -1, -1).withColumnRenamed("_sum", "recent")
 
 
 def prior_moments(df: DataFrame, key: str, ts: str, value: str, slice_seconds: int = 3600) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values. (?U) makes \s cover every Unicode blank.
@@ -36,21 +36,25 @@ def calendar_features(ts: Column) -> dict[str, Column]:
         "hour": F.hour(ts), "is_weekend": F.when(day >= 5, 1).otherwise(0)}
 
 
-def text_features(text: Column) -> dict[str, Column]:
-    """Word figures from one pass: in single-spaced text there is a blank less than words."""
-    length, spaced = F.length(text), normalise_whitespace(text)
-    letters = F.length(F.replace(spaced, F.lit(" "), F.lit("")))
-    count = F.when(letters > 0, F.length(spaced) - letters + 1).otherwise(0)
+def text_features(df: DataFrame, text: str) -> DataFrame:
+    """Add length, word count, mean word length and shares of capitals and digits.
 
-    def share(others: str) -> Column:
-        return F.coalesce(F.try_divide(F.length(F.regexp_replace(text, others, "")), length), F.lit(0.0))
+    Word figures come from one pass: in single-spaced text there is a blank less
+    than words. Costly parts are columns of their own, so each is worked out once.
+    """
+    body = F.col(text)
+    parts = df.withColumns({
+        "text_length": F.length(body), "_spaced": normalise_whitespace(body),
+        "_upper": F.length(F.regexp_replace(body, r"[^\p{Lu}]+", "")), "_digits": F.length(F.regexp_replace(body, r"[^\p{Nd}]+", ""))})
+    parts = parts.withColumns({"_all": F.length("_spaced"), "_letters": F.length(F.replace("_spaced", F.lit(" "), F.lit("")))})
+    parts = parts.withColumn("word_count", F.when(F.col("_letters") > 0, F.col("_all") - F.col("_letters") + 1).otherwise(0))
 
-    return {
-        "text_length": length,
-        "word_count": count,
-        "avg_word_length": F.coalesce(F.try_divide(letters, count), F.lit(0.0)),
-        "uppercase_ratio": share(r"[^\p{Lu}]+"),
-        "digit_ratio": share(r"[^\p{Nd}]+")}
+    def ratio(a: str, b: str) -> Column:
+        return F.coalesce(F.try_divide(a, b), F.lit(0.0))
+
+    return parts.select(
+        *df.columns, "text_length", "word_count", ratio("_letters", "word_count").alias("avg_word_length"),
+        ratio("_upper", "text_length").alias("uppercase_ratio"), ratio("_digits", "text_length").alias("digit_ratio"))
 
 
 def normalise_whitespace(text: Column) -> Column:
@@ -105,10 +109,12 @@ def char_chunks(text: Column, size: int = 1000, overlap: int = 200) -> Column:
     return F.transform(starts, chunk)
 
 
-def word_chunks(text: Column, size: int = 500, overlap: int = 50) -> Column:
-    """Array of texts starting every ``size - overlap`` words, tail included even when it repeats."""
+def word_chunks(tokens_: str, size: int = 500, overlap: int = 50) -> Column:
+    """Array of texts starting every ``size - overlap`` words, tail included even when it repeats.
+
+    Takes the name of a column of words: an expression would be split again for every chunk.
+    """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
-    step, tokens_ = size - overlap, words(text)
-    starts = _starts(F.size(tokens_), step, F.size(tokens_) - 1)
+    starts = _starts(F.size(tokens_), size - overlap, F.size(tokens_) - 1)
     return F.transform(starts, lambda s: F.array_join(F.slice(tokens_, s + 1, F.lit(size)), " "))

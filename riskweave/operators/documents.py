@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.ordered import numbered
-from riskweave.functions.text import char_chunks, elements, strip, word_chunks
+from riskweave.functions.text import char_chunks, elements, strip, word_chunks, words
 
 
 def chunk_by_chars(docs: DataFrame, key: str, text: str, size: int = 1000, overlap: int = 200) -> DataFrame:
@@ -16,7 +16,8 @@ def chunk_by_chars(docs: DataFrame, key: str, text: str, size: int = 1000, overl
 
 
 def chunk_by_words(docs: DataFrame, key: str, text: str, size: int = 500, overlap: int = 50) -> DataFrame:
-    return docs.select(key, F.posexplode_outer(word_chunks(F.col(text), size, overlap)).alias("chunk_id", "text")).where("text IS NOT NULL")
+    split = docs.select(key, words(F.col(text)).alias("_words"))
+    return split.select(key, F.posexplode_outer(word_chunks("_words", size, overlap)).alias("chunk_id", "text")).where("text IS NOT NULL")
 
 
 def merged_metadata(chunk: dict[str, Column], document: Column) -> Column:

@@ -68,7 +68,7 @@ def build_index(docs: DataFrame, key: str, text: str, path: str) -> dict[str, Da
 
 
 def corpus_stats(docs: DataFrame, text: str) -> DataFrame:
-    terms = docs.select(elements(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    terms = docs.select(elements(tokens(F.col(text))).alias("term"))
     return docs.agg(F.count(F.lit(1)).alias("num_documents")).select(
         "num_documents", terms.agg(F.countDistinct("term").alias("v")).scalar().alias("vocab_size"))
 

@@ -153,9 +153,8 @@ SELECT doc_id, length(text)::INT AS text_length, len({_WORDS})::INT AS word_coun
        round(coalesce(length(regexp_replace(text, '[^\p{{Nd}}]', '', 'g')) / nullif(length(text), 0), 0), 6) AS digit_ratio
 FROM documents""")
 def b13(spark, d):
-    return Tables(spark, d).base("documents").select("doc_id", *[
-        (F.round(c, 6) if n.startswith("avg") or n.endswith("ratio") else c).alias(n)
-        for n, c in text.text_features(F.col("text")).items()])
+    features = text.text_features(Tables(spark, d).base("documents").select("doc_id", "text"), "text").drop("text")
+    return features.withColumns({c: F.round(c, 6) for c in ("avg_word_length", "uppercase_ratio", "digit_ratio")})
 
 
 @query("B14_preprocessed_text", r"""

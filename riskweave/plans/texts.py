@@ -46,8 +46,8 @@ _TOKENS = r"""list_filter(string_split_regex(translate(lower(text), '!"#$%&''()*
 
 @query("K4_tokens", f"SELECT doc_id, len({_TOKENS}) AS n, array_to_string({_TOKENS}, ' ') AS tokens FROM documents")
 def k4(spark, d):
-    words = text.tokens(F.col("text"))
-    return docs(spark, d).select("doc_id", F.size(words).cast("bigint").alias("n"), F.array_join(words, " ").alias("tokens"))
+    split = docs(spark, d).select("doc_id", text.tokens(F.col("text")).alias("w"))
+    return split.select("doc_id", F.size("w").cast("bigint").alias("n"), F.array_join("w", " ").alias("tokens"))
 
 
 _INDEX = f"""
