@@ -1 +1,9 @@
 """Transaction-risk and document analytics as PySpark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the Python workers by value, so executors need
+# no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
