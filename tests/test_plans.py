@@ -31,7 +31,10 @@ def test_rows_are_never_ordered_per_whole_customer(spark, name):
     for line in re.findall(r"Window \[.*", plan):
         over_rows = re.search(r"(row_number|rangeframe|RangeFrame)", line)
         if over_rows and "Limit" not in line:
-            partition = line.rsplit("], [", 2)[1]
+            lists = line.split("], [")
+            if lists[-1].startswith("_slice"):
+                continue  # one summary row per slice
+            partition = lists[-2]
             assert "_slice" in partition or "second" in partition or "_block" in partition, line
 
 
