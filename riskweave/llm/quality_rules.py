@@ -57,8 +57,8 @@ RULES = (
 def _repeated(words: Column) -> Column:
     """Words inside 8-word windows that the text holds twice or more.
 
-    Windows are named by a 64-bit hash, built by doubling runs of one, two and four words. Only a text with a repeated name sorts its
-    (name, start) pairs; neighbours with one name give the starts, and the starts in
+    Windows are named by a 64-bit hash of the names of their halves, and only where a half
+    occurs twice. Only a text with a repeated name sorts its (name, start) pairs; neighbours with one name give the starts, and the starts in
     order give the words they cover.
     """
     def covered(starts: Column) -> Column:
@@ -74,14 +74,23 @@ def _repeated(words: Column) -> Column:
             F.slice(s, F.lit(1), F.size(s) - 1), F.slice(s, F.lit(2), F.size(s) - 1),
             lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>")))))
 
-    def doubled(names: Column, step: int) -> Column:
-        """Names of runs twice as long, from the names of runs of ``step`` words."""
-        count = F.size(names) - step
-        return F.zip_with(F.slice(names, F.lit(1), count), F.slice(names, F.lit(1 + step), count), lambda a, b: F.xxhash64(a, b))
+    half = WINDOW // 2
 
-    windows = F.when(F.size(words) >= WINDOW, let(hashed(words), lambda one: let(
-        doubled(one, 1), lambda two: let(doubled(two, 2), lambda four: doubled(four, 4))))).otherwise(F.array().cast("array<bigint>"))
-    return let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(starts(h))))
+    def halves(one: Column) -> Column:
+        """Names of runs of four words; a repeated window repeats some of them."""
+        return F.transform(F.slice(one, F.lit(1), F.size(one) - (half - 1)), lambda x, i: F.xxhash64(x, *[F.get(one, i + k) for k in range(1, half)]))
+
+    def whole(four: Column) -> Column:
+        count = F.size(four) - half
+        return F.zip_with(F.slice(four, F.lit(1), count), F.slice(four, F.lit(1 + half), count), lambda a, b: F.xxhash64(a, b))
+
+    none = F.lit(0).cast("long")
+
+    def repeats(four: Column) -> Column:
+        return F.when(F.size(F.array_distinct(four)) == F.size(four), none).otherwise(let(
+            whole(four), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), none).otherwise(covered(starts(h)))))
+
+    return F.when(F.size(words) < WINDOW, none).otherwise(let(hashed(words), lambda one: let(halves(one), repeats)))
 
 
 def measures(text: Column) -> Column:
@@ -149,7 +158,8 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     results = {*counts, "base_failed", "failed_rules", "kept"}
     passing = [F.col(f"`{c}`") for c in docs.columns if c not in results and c != "_m"]
-    measured = docs.select(*passing, measures(text_of(text)).alias("_m"))
+    # explode keeps the optimizer from copying the measures into a later filter
+    measured = docs.select(*passing, F.explode(F.array(measures(text_of(text)))).alias("_m"))
     return measured.select(
         *[F.col(f"`{c}`") for c in measured.columns if c != "_m"],
         *[value[c].alias(c) for c in counts],
