@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import table
+from riskweave.llm import html_main_text, licences, quality_classifier, toxicity
 from riskweave.llm.decontamination import contaminated
 from riskweave.llm.line_dedup import line_dedup
 from riskweave.llm.ngram_join import near_duplicates
 from riskweave.llm.packing import pack
 from riskweave.llm.quality_rules import quality_rules
+from riskweave.llm.suffix_dedup import remove_repeats
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -26,6 +28,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _remainder(modulus: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"), _remainder(4) != 2)
+    return toxicity.toxicity(docs, lexicon).select(
+        "doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def piece_digests(docs: DataFrame) -> DataFrame:
     return pack(docs, tokenizer_path()).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -44,11 +57,34 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.array_join("sentences", "").alias("sentences"), F.size("matches").cast("long").alias("n_matches"),
+        F.array_join("licences", ",").alias("licences"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), usable=_remainder(5) != 0)
+    return quality_classifier.score(docs, weights).select(
+        "doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
