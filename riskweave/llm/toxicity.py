@@ -180,7 +180,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30)
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample: int = 20_000, max_terms: int = 20_000,
-          least: float = 2.5, support: int = 5) -> Lexicon:
+          least: float = 2.5, support: int = 4) -> Lexicon:
     """Lexicon, exceptions and curve from a bounded sample of labelled rows; at most ``max_terms`` candidates reach the driver."""
     rows = training_rows(docs, labels, "toxic", F.lit(True) if usable is None else usable, sample).select("_text", "_y")
     totals = {r[0]: r[1] for r in rows.groupBy("_y").count().collect()}
