@@ -12,8 +12,9 @@ so suffixes carry names instead of ranks:
 * ``head`` names the bytes after an anchor that all strings anchored there share. A head
   that occurs once ends the search; that is most of a corpus.
 * A phrase whose dictionary entry occurs twice is repeated as a whole, without a look at its strings.
-* Only heads with several dictionary entries have their strings named one by one, each
-  entry once, however often it occurs; a name in two entries is a repeated string.
+* Only heads with several dictionary entries have their strings named, each entry once
+  however often it occurs: first the bytes that a class of neighbouring starts shares,
+  then, where these occur twice, string by string. A name in two entries is a repeated string.
 Hot phrases are counted in partial aggregates and never gathered.
 
 Defined cases: a null text is empty; texts shorter than ``length`` bytes lose nothing;
@@ -28,15 +29,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import NULL_ID, store, text_of
 
-LENGTH, GRAM, WINDOW = 400, 8, 192
+LENGTH, GRAM, WINDOW, STEP = 400, 8, 192, 32
 _SEGMENT = 1 << 20
 PHRASES = "head long, entry long, _id long, _row int, first int, last int, anchor int"
-NAMED = "head long, back int, name long, _id long, _row int, at int, once boolean"
+CUT = "head long, _id long, _row int, first int, last int, anchor int, once boolean, bytes binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<first:int,end:int>>"
 
 
@@ -98,22 +99,17 @@ def _parse(length: int, window: int):
     return run
 
 
-def _name_strings(length: int):
+def _cut_phrases(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = xxhash.xxh3_64_intdigest
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 rows: list[tuple] = []
                 for doc, row, data, wanted in zip(*[c.to_pylist() for c in part.columns]):
-                    view = memoryview(data)
-                    rows += [(w["head"], w["anchor"] - i, name(view[i:i + length]), doc, row, i, w["once"])
-                             for w in wanted for i in range(w["first"], w["last"] + 1)]
-                columns = list(zip(*rows)) if rows else [[]] * 7
-                kinds = [pa.int64(), pa.int32(), None, pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(c) if t is None else pa.array(c, type=t) for c, t in zip(columns, kinds)],
-                    names=[x.split()[0] for x in NAMED.split(", ")])
+                    rows += [(w["head"], doc, row, w["first"], w["last"], w["anchor"], w["once"], data[w["first"]:w["last"] + length]) for w in wanted]
+                columns = list(zip(*rows)) if rows else [[]] * 8
+                kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in CUT.split(", ")])
     return run
 
 
@@ -159,9 +155,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW)
         (F.col("chosen") == F.struct("_id", "_row", "first")).alias("named")), "mixed")
     wanted = mixed.where("named").groupBy("_id", "_row").agg(
         F.collect_list(F.struct("head", "first", "last", "anchor", "once")).alias("wanted"))
-    strings = store(
+    cut = store(
         side.join(wanted, ["_id", "_row"]).select("_id", "_row", F.col("_text").cast("binary").alias("_text"), "wanted")
-        .mapInArrow(_name_strings(length), NAMED), "strings")
+        .mapInArrow(_cut_phrases(length), CUT), "cut")
+    strings = store(_named_strings(cut, length, min(STEP, length - window)), "strings")
     same = ["head", "back", "name"]
     twice = strings.groupBy(*same).count().where("count > 1").select(*same)
     whole = found.where("entries = 1").select("_id", "_row", "first", (F.col("last") + length).alias("end"))
@@ -170,6 +167,29 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW)
     return whole.unionByName(single).groupBy("_id", "_row").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
 
 
+def _named_strings(cut: DataFrame, length: int, step: int) -> DataFrame:
+    """(head, back, name, _id, _row, at, once): strings of the cut phrases that can occur twice, by name.
+
+    ``back`` is the distance from the string's start to its anchor. Strings whose
+    ``back`` falls into one class of ``step`` share all but ``step - 1`` of their bytes; the
+    shared bytes are named first, and only classes named twice name their strings.
+    """
+    phrase = ["_id", "_row", "first"]
+
+    def part(start: Column, size: int) -> Column:
+        return F.xxhash64(F.substring(F.col("bytes"), start - F.col("first") + 1, F.lit(size)))
+
+    classes = F.sequence(F.floor((F.col("anchor") - F.col("last")) / step).cast("int"), F.floor((F.col("anchor") - F.col("first")) / step).cast("int"))
+    rough = cut.select(*phrase, "head", "anchor", "bytes", F.explode(classes).alias("class")).select(
+        *phrase, "head", "class", part(F.col("anchor") - F.col("class") * step, length - step + 1).alias("shared"))
+    key = ["head", "class", "shared"]
+    alive = rough.join(rough.groupBy(*key).count().where("count > 1").select(*key), key).groupBy(*phrase).agg(F.collect_list("class").alias("classes"))
+    starts = F.filter(F.sequence("first", "last"), lambda i: F.array_contains(
+        F.col("classes"), F.floor((F.col("anchor") - i) / step).cast("int")))
+    return cut.join(alive, phrase).select("head", "anchor", "bytes", *phrase, "once", F.explode(starts).alias("at")).select(
+        "head", (F.col("anchor") - F.col("at")).alias("back"), part(F.col("at"), length).alias("name"), "_id", "_row", "at", "once")
+
+
 def _side(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"),
