@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from riskweave.functions.ordered import row_index
 from riskweave.operators import monitoring, retrieval
 from riskweave.plans.normal import INGEST_TS, _AMOUNT
 from riskweave.plans.registry import query
@@ -76,11 +75,24 @@ def a5(spark, d):
     return readers.read_raw_csv(spark, path)
 
 
-def _write_arrays(rows, path, size=5000):
-    """JSON array files of ``size`` rows: such a file is always read by one task."""
-    item = F.struct(*[c for c in rows.columns if c != "transaction_date"])
-    blocks = row_index(rows, "transaction_date", "transaction_id").groupBy(F.floor(F.col("row_index") / size).alias("block"))
-    blocks.agg(F.to_json(F.collect_list(item)).alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
+def _write_array(rows, path):
+    """One JSON array file with all rows, one record a line; written by one task, as such a file is."""
+    item = F.to_json(F.struct(*[c for c in rows.columns if c != "transaction_date"]))
+    first = rows.agg(F.min("transaction_id").alias("i")).scalar()
+    records = rows.select(F.lit(1).alias("part"), F.col("transaction_id").alias("i"),
+                          F.concat(F.when(F.col("transaction_id") == first, "").otherwise(","), item).alias("value"))
+    brackets = rows.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], "part int, i bigint, value string")
+    records.unionByName(brackets).coalesce(1).sortWithinPartitions("part", "i").select("value").write.text(path)
+    _add_ending(rows.sparkSession, path, ".json")
+
+
+def _add_ending(spark, folder, ending):
+    """The text writer only knows ``.txt``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(root):
+        if status.getPath().getName().startswith("part-"):
+            files.rename(status.getPath(), status.getPath().suffix(ending))
 
 
 @query("A6_raw_json", cte("tx", """
@@ -90,7 +102,7 @@ def a6(spark, d):
     rows = Tables(spark, d).tx.select(
         "transaction_date", "transaction_id", F.col("merchant_name").alias("merchant"), F.struct("location_country").alias("place"),
         F.col("is_fraud").alias("fraud"))
-    _write_arrays(rows, path)
+    _write_array(rows, path)
     record = readers.read_raw_json(spark, path)
     return record.select(F.col("record")["transaction_id"].alias("id"), F.col("record")["merchant"].alias("merchant"),
                          F.col("record")["place"].alias("place"), F.col("record")["fraud"].alias("fraud"))
@@ -112,22 +124,33 @@ def a7(spark, d):
     return readers.read_fixed_width(spark, path).withColumn("amount", F.col("amount").cast("double"))
 
 
-@query("A8_mixed_tree", cte("tx", "SELECT source_system AS format, count(*) AS n, round(sum(amount), 2) AS total FROM tx GROUP BY source_system"))
-def a8(spark, d):
-    root, rows = scratch(spark, "a8"), Tables(spark, d).tx
+def _mixed_tree(spark, d, label):
+    """CSV with two headers, one JSON array and fixed-width files, by the source of the row."""
+    root, rows = scratch(spark, label), Tables(spark, d).tx
     keep = rows.select("source_system", *_COLS)
-    keep.where("source_system = 'CSV'").drop("source_system").write.option("header", True).csv(f"{root}/csv")
-    _write_arrays(keep.where("source_system = 'JSON'").drop("source_system"), f"{root}/arrays")
+    csv = keep.where("source_system = 'CSV'").drop("source_system")
+    csv.where("transaction_id % 2 = 0").write.option("header", True).csv(f"{root}/csv/a")
+    csv.where("transaction_id % 2 = 1").select(
+        F.col("amount").alias("Amount"), F.col("customer_id").alias("customer"), F.col("transaction_id").alias("id"),
+        F.col("transaction_date").alias("date"), F.col("merchant_name").alias("merchant")).write.option("header", True).csv(f"{root}/csv/b")
+    _write_array(keep.where("source_system = 'JSON'").drop("source_system"), f"{root}/arrays")
     _fixed_line(keep.where("source_system = 'FIXED_WIDTH'")).write.text(f"{root}/fixed")
-    parts = [
-        readers.read_raw_csv(spark, f"{root}/csv").withColumn("format", F.lit("CSV")),
-        readers.read_raw_json(spark, f"{root}/arrays").select(F.col("record")["amount"].alias("amount"), F.lit("JSON").alias("format")),
-        readers.read_fixed_width(spark, f"{root}/fixed").withColumn("format", F.lit("FIXED_WIDTH")),
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part, allowMissingColumns=True)
-    return union.groupBy("format").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("amount").cast("double")), 2).alias("total"))
+    return root
+
+
+@query("A8_mixed_tree", cte("tx", """
+SELECT source_system AS format, count(*) AS n, round(sum(amount), 2) AS total, CAST(sum(transaction_id) AS BIGINT) AS ids FROM tx GROUP BY source_system"""))
+def a8(spark, d):
+    record = F.col("record")
+    amount, key = F.coalesce(record["amount"], record["Amount"]), F.coalesce(record["transaction_id"], record["id"])
+    return readers.read_tree(spark, _mixed_tree(spark, d, "a8")).groupBy("format").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(amount.cast("double")), 2).alias("total"), F.sum(key.cast("bigint")).alias("ids"))
+
+
+@query("A9_csv_report", cte("tx", "SELECT count(*) AS records, CAST(5 AS INT) AS header_columns, TRUE AS valid FROM tx WHERE source_system = 'CSV'"))
+def a9_report(spark, d):
+    return readers.csv_file_report(spark, f"{_mixed_tree(spark, d, 'a9')}/csv/*").agg(
+        F.sum("records").alias("records"), F.max("header_columns").alias("header_columns"), F.bool_and("valid").alias("valid"))
 
 
 @query("A9_clean_lines", r"""
@@ -159,6 +182,18 @@ def a10(spark, d):
         F.lit(result.saved).cast("bigint").alias("saved"), F.lit(result.success).alias("success"), "stored")
 
 
+@query("A10_ingest_folder", cte("tx", """
+SELECT source_system AS format, count(*) AS records_read, count(*) AS saved, CAST((source_system = 'JSON')::INT AS BIGINT) AS failed_files FROM tx GROUP BY source_system"""))
+def a10_folder(spark, d):
+    root, target = _mixed_tree(spark, d, "a10tree"), scratch(spark, "a10all")
+    spark.createDataFrame([('[{"transaction_id": "X", "amount": 1},',)], "value string").write.text(f"{root}/broken")
+    _add_ending(spark, f"{root}/broken", ".json")
+    results = writers.ingest_folder(spark, root, target, INGEST_TS)
+    rows = spark.createDataFrame([(r.format, r.read, r.saved, r.success) for r in results], "format string, read bigint, saved bigint, success boolean")
+    return rows.groupBy("format").agg(
+        F.sum("read").alias("records_read"), F.sum("saved").alias("saved"), F.count_if(~F.col("success")).alias("failed_files"))
+
+
 @query("A11_import_log", """
 WITH r AS (SELECT o_orderpriority AS source, count(*) AS processed, count(*) FILTER (o_orderstatus <> CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE 'P' END) AS succeeded,
                   min(o_orderdate) AS s, CASE WHEN o_orderpriority <> '5-LOW' THEN max(o_orderdate) END AS f FROM orders GROUP BY 1)
@@ -178,7 +213,7 @@ def a11(spark, d):
 def a12(spark, d):
     path, rows = scratch(spark, "a12"), _tx(spark, d)
     writers.write_parquet(rows.where("amount > 5000"), path)
-    writers.append_new(spark, rows.unionByName(rows.where("amount < 1000")), path)
+    writers.append_new(spark, rows.unionByName(rows.where("amount < 1000")), path, on_duplicate="skip")
     return spark.read.parquet(path)
 
 
@@ -260,6 +295,6 @@ def a27(spark, d):
     path, docs = scratch(spark, "a27"), Tables(spark, d).base("documents")
     retrieval.build_index(docs, "doc_id", "text", path)
     writers.save_corpus(path, documents=docs)
-    saved = writers.load_corpus(spark, path, "documents", "idf", "norms")
+    saved = writers.load_corpus(spark, path, "documents", "idf", "postings")
     return saved["documents"].agg(F.count(F.lit(1)).alias("documents")).select(
         "documents", saved["idf"].agg(F.count(F.lit(1)).alias("n")).scalar().alias("terms"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,17 +25,18 @@ EXTENSIONS = {".csv": "CSV", ".json": "JSON", ".txt": "FIXED_WIDTH"}
 
 
 def read_transactions(
-    spark: SparkSession, path: str, source_format: str = "parquet", schema: StructType = TRANSACTION, **options: str
+    spark: SparkSession, path: str, source_format: str = "parquet", schema: StructType | None = None, **options: str
 ) -> DataFrame:
+    """``schema`` is the transaction schema if not given; CSV infers one then, which reads the files twice."""
     kind = source_format.lower()
     reader = spark.read.options(**options)
     if kind == "parquet":
-        return reader.schema(schema).parquet(path)
+        return reader.schema(schema or TRANSACTION).parquet(path)
     if kind == "csv":
-        return spark.read.options(**{
-            "header": "true", "inferSchema": "true", "dateFormat": "yyyy-MM-dd HH:mm:ss", **options}).csv(path)
+        csv = spark.read.options(**{"header": "true", "dateFormat": "yyyy-MM-dd HH:mm:ss", **options})
+        return (csv.schema(schema) if schema else csv.option("inferSchema", "true")).csv(path)
     if kind == "json":
-        return reader.schema(schema).json(path)
+        return reader.schema(schema or TRANSACTION).json(path)
     if kind == "jdbc":
         return read_jdbc(spark, path, **options)
     raise ValueError(f"Unsupported format: {source_format}")
@@ -76,22 +80,96 @@ def read_json(spark: SparkSession, path: str, multiline: bool = False, schema: S
     return (reader.schema(schema) if schema else reader).json(path)
 
 
-def read_raw_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """All-string rows, cells trimmed, quotes doubled inside quoted cells, blank lines skipped."""
-    raw = spark.read.options(
-        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
-        nullValue="\u0000", emptyValue="", **options).csv(path)
+def read_raw_csv(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
+    """All-string rows, cells trimmed, quotes doubled inside quoted cells, blank lines skipped.
+
+    A quoted cell may hold line breaks, so a file is read by one task; pass
+    ``multiLine=False`` for large files known to have none, which are then split.
+    """
+    raw = spark.read.options(**{
+        "header": True, "quote": '"', "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": True,
+        "ignoreTrailingWhiteSpace": True, "nullValue": "\u0000", "emptyValue": "", **options}).csv(path)
     return raw.select(*[F.coalesce(F.trim(f"`{c}`"), F.lit("")).alias(c.strip()) for c in raw.columns])
 
 
-def read_raw_json(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Records of JSON array files as ``record MAP<STRING, STRING>``; nested values become ''."""
-    whole = spark.read.options(multiLine=True, singleVariantColumn="v", **options).json(path)
-    items = whole.select(F.explode(F.expr("try_variant_get(v, '$', 'array<variant>')")).alias("item"))
-    return items.select(F.expr("""
-        transform_values(CAST(item AS MAP<STRING, VARIANT>), (k, x) ->
-            CASE WHEN schema_of_variant(x) LIKE 'OBJECT%' OR schema_of_variant(x) LIKE 'ARRAY%' THEN ''
-                 ELSE CAST(x AS STRING) END)""").alias("record"))
+def _as_text(value: object) -> str | None:
+    if value is None or isinstance(value, str):
+        return value
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    return ""  # an object or array
+
+
+def json_records(pieces: Iterable[str], name: str = "file") -> Iterator[dict[str, str | None]]:
+    """Records of a JSON array given as the text between closing braces.
+
+    Only the current record is held. Text that is no array of objects, is cut off or
+    goes on after the array raises ``ValueError``.
+    """
+    def refused(word: str) -> str:
+        raise ValueError(f"{name}: malformed JSON, {word}")
+
+    decoder = json.JSONDecoder(parse_float=lambda x: repr(float(x)), parse_int=str, parse_constant=refused)
+    rest, begun, first = "", False, True
+
+    def take(text: str) -> Iterator[dict[str, str | None]]:
+        nonlocal rest, begun, first
+        rest = (rest + text).lstrip()
+        if not begun and rest:
+            if rest[0] != "[":
+                raise ValueError(f"{name}: expected a JSON array")
+            begun, rest = True, rest[1:].lstrip()
+        while rest and rest[0] != "]":
+            at = rest
+            if not first:
+                if at[0] != ",":
+                    raise ValueError(f"{name}: malformed JSON, expected a comma")
+                at = at[1:].lstrip()
+            if not at:
+                return
+            if at[0] != "{":
+                raise ValueError(f"{name}: array item is not an object")
+            try:
+                record, end = decoder.raw_decode(at)
+            except json.JSONDecodeError as problem:
+                if problem.pos < len(at.rstrip()) and "Unterminated string" not in problem.msg:
+                    raise ValueError(f"{name}: malformed JSON, {problem.msg}") from None
+                return  # the record goes on
+            first, rest = False, at[end:].lstrip()
+            yield {k: _as_text(v) for k, v in record.items()}
+
+    held = None
+    for piece in pieces:
+        if held is not None:
+            yield from take(held + "}")
+        held = piece
+    if held is not None:
+        yield from take(held)
+    if not begun:
+        raise ValueError(f"{name}: expected a JSON array")
+    if rest.strip() != "]":
+        raise ValueError(f"{name}: malformed JSON, cut off or with text after the array")
+
+
+def read_raw_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Records of JSON array files as ``record MAP<STRING, STRING>``; null stays null, nested values become ''.
+
+    Each file is one task that streams it up to the next closing brace and keeps one
+    record in memory, so the size of a file has no limit. Broken files fail the read.
+    """
+    paths = [path] if isinstance(path, str) else path
+    for name in paths:  # no task ever sees an empty file
+        at = spark._jvm.org.apache.hadoop.fs.Path(name)
+        for status in at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []:
+            if status.isFile() and status.getLen() == 0:
+                raise ValueError(f"{name}: expected a JSON array")
+    # One split per file, in order, wherever the file system is: the text source cannot promise that.
+    pieces = spark.sparkContext.newAPIHadoopFile(
+        ",".join(paths), "org.apache.hadoop.mapreduce.lib.input.TextInputFormat", "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text",
+        conf={"textinputformat.record.delimiter": "}", "mapreduce.input.fileinputformat.split.minsize": str(2 ** 62),
+              "mapreduce.input.fileinputformat.input.dir.recursive": "true"})
+    records = pieces.mapPartitions(lambda part: ((r,) for r in json_records(text for _, text in part)))
+    return spark.createDataFrame(records, "record map<string,string>")
 
 
 def fixed_width_fields(line: Column, layout: tuple[tuple[str, int, int], ...]) -> list[Column]:
@@ -101,7 +179,7 @@ def fixed_width_fields(line: Column, layout: tuple[tuple[str, int, int], ...]) -
 
 
 def read_fixed_width(
-    spark: SparkSession, path: str, layout: tuple[tuple[str, int, int], ...] = DEFAULT_LAYOUT, **options: str
+    spark: SparkSession, path: str | list[str], layout: tuple[tuple[str, int, int], ...] = DEFAULT_LAYOUT, **options: str
 ) -> DataFrame:
     """Fields cut by position. A file's first line is skipped when it starts with ``#``."""
     lines = spark.read.options(**options).text(path).select(
@@ -121,26 +199,46 @@ def detect_format(path: str) -> str:
     raise ValueError(f"Unsupported file format: {path}")
 
 
+def file_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """First line -> the files that begin with it. One short line per file reaches the driver."""
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("offset"),
+        F.monotonically_increasing_id().alias("line")).where("offset = 0 AND length(trim(value)) > 0")
+    found: dict[str, list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "line").alias("head")).collect():
+        found.setdefault(row["head"], []).append(row["file"])
+    return found
+
+
+def _as_records(rows: DataFrame, kind: str) -> DataFrame:
+    pairs = [x for c in rows.columns for x in (F.lit(c), F.col(f"`{c}`"))]
+    return rows.select(F.lit(kind).alias("format"), F.create_map(*pairs).alias("record"))
+
+
 def read_tree(spark: SparkSession, root: str) -> DataFrame:
-    """Every supported file below ``root`` as raw string columns, tagged with its format."""
-    options = {"recursiveFileLookup": "true"}
-    listing = [detect_format(name) for name in
-               list_files(spark, root).select(F.regexp_extract("path", r"(\.[^./]+)$", 1).alias("e")).distinct()
-               .where(F.lower("e").isin(*EXTENSIONS)).toPandas()["e"]]
+    """Every supported file below ``root`` as (format, record MAP<STRING, STRING>).
+
+    Extensions are matched whatever their case. CSV files are grouped by their header
+    and read by name; all fields stay, so ``normalise`` can resolve their aliases.
+    """
+    paths: dict[str, list[str]] = {}
+    for row in list_files(spark, root).select("path").toLocalIterator():
+        if row["path"].lower().endswith(tuple(EXTENSIONS)):
+            paths.setdefault(detect_format(row["path"]), []).append(row["path"])
     parts = []
-    if "CSV" in listing:
-        parts.append(read_raw_csv(spark, root, pathGlobFilter="*.csv", **options).withColumn("format", F.lit("CSV")))
-    if "JSON" in listing:
-        records = read_raw_json(spark, root, pathGlobFilter="*.json", **options)
-        names = ("transaction_id", "customer_id", "amount", "transaction_date", "merchant_name")
-        parts.append(records.select(*[F.col("record")[n].alias(n) for n in names], F.lit("JSON").alias("format")))
-    if "FIXED_WIDTH" in listing:
-        parts.append(read_fixed_width(spark, root, pathGlobFilter="*.txt", **options).withColumn("format", F.lit("FIXED_WIDTH")))
-    if not parts:
+    for same in file_headers(spark, paths["CSV"]).values() if "CSV" in paths else ():
+        parts.append(_as_records(read_raw_csv(spark, same), "CSV"))
+    if "JSON" in paths:
+        parts.append(read_raw_json(spark, paths["JSON"]).select(F.lit("JSON").alias("format"), "record"))
+    if "FIXED_WIDTH" in paths:
+        parts.append(_as_records(read_fixed_width(spark, paths["FIXED_WIDTH"]), "FIXED_WIDTH"))
+    if not paths:
         raise ValueError(f"No supported files below {root}")
+    if not parts:
+        return spark.createDataFrame([], "format string, record map<string,string>")
     out = parts[0]
     for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
+        out = out.unionByName(part)
     return out
 
 
@@ -177,7 +275,7 @@ def json_syntax_report(lines: DataFrame) -> DataFrame:
     return lines.agg(F.count(F.lit(1)).alias("documents"), F.count_if(is_json(F.col("value"))).alias("valid"))
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
     """Path, size and modification time of the files below ``path``, contents unread."""
     return spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern).load(path).select(
         "path", F.col("length").alias("size_bytes"), "modificationTime")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators.normalize import accepted, normalise
+from riskweave.operators.relational import last_per_key
 from riskweave.sources import readers
 
 
@@ -17,7 +21,7 @@ def write_parquet(
 ) -> None:
     """Snappy parquet; ``files`` bounds the file count, ``max_records_per_file`` the file size."""
     if files:
-        df = df.coalesce(files)
+        df = df.repartition(files)  # coalesce would also narrow what is computed upstream
     writer = df.write.mode(mode).option("compression", "snappy")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -35,9 +39,13 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", proper
 
 
 def append_new(
-    spark: SparkSession, batch: DataFrame, path: str, key: str = "transaction_id", on_duplicate: str = "skip"
+    spark: SparkSession, batch: DataFrame, path: str, key: str = "transaction_id", on_duplicate: str = "fail"
 ) -> None:
-    """Append rows whose key is new; with ``on_duplicate="fail"`` any repeated key stops the whole batch."""
+    """Append a batch of rows with new keys.
+
+    By default any repeated key stops the whole batch and nothing is written. With
+    ``on_duplicate="skip"`` stored keys are left out and of repeated ones the highest row is taken.
+    """
     stored = spark.read.parquet(path).select(key)
     if on_duplicate == "fail":
         repeated = batch.groupBy(key).count().where("count > 1").select(key)
@@ -46,16 +54,19 @@ def append_new(
             raise ValueError(f"duplicate {key} in batch, nothing written")
         fresh = batch
     else:
-        fresh = batch.dropDuplicates([key]).join(stored, key, "left_anti")
+        fresh = last_per_key(batch, key).join(stored, key, "left_anti")
     fresh.write.mode("append").parquet(path)
 
 
 @dataclass(frozen=True)
 class IngestResult:
+    path: str
+    format: str | None
     read: int
     normalised: int
     saved: int
     success: bool
+    duration: float
     error: str | None = None
 
 
@@ -63,20 +74,38 @@ _READERS = {"CSV": readers.read_raw_csv, "JSON": readers.read_raw_json, "FIXED_W
 
 
 def ingest(spark: SparkSession, path: str, target: str, ingest_ts: str, source_format: str | None = None) -> IngestResult:
-    """Read, normalise and store in one pass; the counts are observed while writing."""
+    """Read, normalise and store in one pass; the counts are observed while writing.
+
+    What is wrong with the input (unknown format, missing or broken file) is the result;
+    any other error is raised.
+    """
+    start, kind = time.monotonic(), None
+
+    def result(read: int = 0, normalised: int = 0, saved: int = 0, error: str | None = None) -> IngestResult:
+        return IngestResult(path, kind, read, normalised, saved, error is None, time.monotonic() - start, error)
+
     try:
         kind = source_format or readers.detect_format(path)
         if kind not in _READERS:
             raise ValueError(f"Unsupported format: {kind}")
-        seen = Observation("ingest")
+    except ValueError as problem:
+        return result(error=str(problem))
+    seen, stored = Observation("ingest"), Observation("store")
+    try:
         rows = normalise(_READERS[kind](spark, path), kind, ingest_ts).observe(
             seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col("reject_reason").isNull()).alias("normalised"))
-        stored = Observation("store")
         accepted(rows).observe(stored, F.count(F.lit(1)).alias("saved")).write.mode("append").parquet(target)
-        counts = seen.get
-        return IngestResult(counts["read"], counts["normalised"], stored.get["saved"], True)
-    except Exception as problem:  # noqa: BLE001 - the failure is the result
-        return IngestResult(0, 0, 0, False, str(problem).splitlines()[0])
+    except (PySparkException, Py4JError, ValueError) as problem:
+        lines = [x.strip() for x in str(problem).splitlines() if x.strip()]
+        return result(error=next((x for x in lines if "ValueError: " in x), lines[0] if lines else "failed"))
+    counts = seen.get
+    return result(counts["read"], counts["normalised"], stored.get["saved"])
+
+
+def ingest_folder(spark: SparkSession, root: str, target: str, ingest_ts: str) -> list[IngestResult]:
+    """Ingest every supported file below ``root``, one after the other; a broken file does not stop the next."""
+    paths = [r["path"] for r in readers.list_files(spark, root).select("path").orderBy("path").toLocalIterator()]
+    return [ingest(spark, p, target, ingest_ts) for p in paths if p.lower().endswith(tuple(readers.EXTENSIONS))]
 
 
 def import_status(processed: Column, succeeded: Column, finished: Column) -> Column:

@@ -28,6 +28,35 @@ def test_raw_json_array(spark, tmp_path):
     assert rows == [{"id": "1", "amount": "125.5", "n": None, "o": "", "l": "", "b": "true", "t": "{not json"}, {"id": "2"}]
 
 
+@pytest.mark.parametrize("text,problem", [
+    ('{"id": 1}', "expected a JSON array"), ("", "expected a JSON array"), ('[{"id": 1},', "cut off"), ('[{"id": 1}', "cut off"), ('[{"id": 1}] x', "cut off"),
+    ('[{"id": 1} {"id": 2}]', "comma"), ('[{"id": oops}, {"a": 1}]', "malformed"), ("[1, 2]", "not an object"), ('[{"a": "cut', "cut off")])
+def test_broken_json_is_an_error(spark, tmp_path, text, problem):
+    with pytest.raises(ValueError, match=problem):
+        list(readers.json_records(text.split("}")))
+    result = writers.ingest(spark, put(tmp_path, "in/a.json", text), str(tmp_path / "out"), "2024-02-01 00:00:00")
+    assert not result.success and problem in result.error and result.format == "JSON" and result.duration > 0
+
+
+def test_json_pieces_of_any_cut():
+    text = ' [ {"a": "x}y", "b": {"c": [1, {"d": 2}]}, "e": "\\"}"} , {} ,{"f": -1.50e1}\n] '
+    assert list(readers.json_records(text.split("}"))) == [{"a": "x}y", "b": "", "e": '"}'}, {}, {"f": "-15.0"}]
+    assert list(readers.json_records(["[]"])) == []
+
+
+def test_large_json_array(spark, tmp_path):
+    path = tmp_path / "big.json"
+    with path.open("w") as out:
+        out.write("[" + ",".join('{"id": "%d", "note": "%s"}' % (i, "n" * 400) for i in range(200_000)) + "]")
+    assert path.stat().st_size > 80_000_000
+    assert readers.read_raw_json(spark, str(path)).where("length(record['note']) = 400").count() == 200_000
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = put(tmp_path, "q.csv", 'id,shop,amount\n1,"Shop\nA",5\n2,B,6\n')
+    assert [tuple(r) for r in readers.read_raw_csv(spark, path).collect()] == [("1", "Shop\nA", "5"), ("2", "B", "6")]
+
+
 def line(*parts):
     return "".join(p.ljust(w) for p, w in zip(parts, (20, 20, 20, 20, 30)))
 
@@ -54,8 +83,13 @@ def test_tree_of_formats(spark, tmp_path):
     put(tmp_path, "x/y/b.json", '[{"transaction_id": "B", "amount": 3}]')
     put(tmp_path, "x/y/z/c.txt", line("C", "1", "4", "2024-01-01", "S") + "\n")
     put(tmp_path, "x/ignored.xml", "<a/>")
-    got = {r["transaction_id"]: (r["format"], r["amount"]) for r in readers.read_tree(spark, str(tmp_path / "x")).collect()}
-    assert got == {"A": ("CSV", "2"), "B": ("JSON", "3"), "C": ("FIXED_WIDTH", "4")}
+    put(tmp_path, "x/Q.CSV", "customer_id,Amount,id\nc3,9,D\n")
+    put(tmp_path, "x/y/e.JSON", '[{"id": "E", "Amount": 5, "is_fraud": true, "extra": "kept"}]')
+    rows = [(r["format"], r["record"]) for r in readers.read_tree(spark, str(tmp_path / "x")).collect()]
+    got = {r.get("transaction_id", r.get("id")): (f, r.get("amount", r.get("Amount"))) for f, r in rows}
+    assert got == {"A": ("CSV", "2"), "B": ("JSON", "3"), "C": ("FIXED_WIDTH", "4"), "D": ("CSV", "9"), "E": ("JSON", "5")}
+    assert {"customer_id": "c3", "Amount": "9", "id": "D"} in [r for _, r in rows]
+    assert next(r for _, r in rows if r.get("id") == "E")["is_fraud"] == "true" and any(r.get("extra") == "kept" for _, r in rows)
     with pytest.raises(ValueError):
         readers.detect_format("a.xml")
     assert [readers.detect_format(n) for n in ("A.CSV", "b.json", "c.txt")] == ["CSV", "JSON", "FIXED_WIDTH"]
@@ -102,7 +136,7 @@ def test_append_guards_the_key(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     with pytest.raises(ValueError):
         writers.append_new(spark, batch.where("v = 3").unionByName(batch.where("v = 3")), path, on_duplicate="fail")
-    writers.append_new(spark, batch.unionByName(batch), path)
+    writers.append_new(spark, batch.unionByName(batch), path, on_duplicate="skip")
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("A", 1), ("B", 2), ("C", 3)]
 
 
