@@ -96,41 +96,54 @@ def strict_trailing_count(df: DataFrame, key: str, ts: str, seconds: int, parts:
     return _sweep(instants, key, MICROS, seconds * 1_000_000, parts, -1, -1).withColumnRenamed("_sum", "recent")
 
 
+def merged_moments(n: Column, mean: Column, m2: Column, n2: Column, mean2: Column, m22: Column) -> tuple[Column, Column, Column]:
+    """Count, mean and sum of squared distances from the mean of two parts taken together; a part without rows is null or 0."""
+    n, n2 = F.coalesce(n, F.lit(0)), F.coalesce(n2, F.lit(0))
+    gap = F.coalesce(mean2 - mean, F.lit(0.0))
+    both = F.nullif(n + n2, F.lit(0))
+    middle = F.when(n == 0, mean2).when(n2 == 0, mean).otherwise(mean + gap * n2 / both)
+    return n + n2, middle, F.coalesce(m2, F.lit(0.0)) + F.coalesce(m22, F.lit(0.0)) + F.coalesce(gap * gap * n * n2 / both, F.lit(0.0))
+
+
 def prior_moments(df: DataFrame, key: str, ts: str, value: str, slice_seconds: int = 3600) -> DataFrame:
-    """Add count, sum, sum of squares, min and max of strictly earlier rows of the key.
+    """Add count, mean, squared distances, min and max of strictly earlier rows of the key.
 
-    Columns ``prior_n``, ``prior_sum``, ``prior_sumsq``, ``prior_min``, ``prior_max``.
+    Columns ``prior_n``, ``prior_mean``, ``prior_m2``, ``prior_min``, ``prior_max``. Inside a
+    slice the engine's running variance is used. The slices before are merged around
+    the mean of the key's first slice, so large values with small differences keep them.
     """
     v = F.col(value).cast("double")
     sliced = df.withColumn(SLICE, time_slice(ts, slice_seconds)).withColumn(MICROS, micros(ts))
     inside = Window.partitionBy(key, SLICE).orderBy(MICROS).rangeBetween(UNBOUNDED, -1)
-    parts = {
-        "n": (F.count(v), F.sum), "sum": (F.sum(v), F.sum), "sumsq": (F.sum(v * v), F.sum),
-        "min": (F.min(v), F.min), "max": (F.max(v), F.max),
-    }
-    totals = df.groupBy(F.col(key), time_slice(ts, slice_seconds).alias(SLICE)).agg(
-        *[first.alias(f"c_{name}") for name, (first, _) in parts.items()])
-    earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(UNBOUNDED, -1)
-    carry = totals.select(
-        F.col(key), F.col(SLICE),
-        *[merge(f"c_{name}").over(earlier).alias(f"c_{name}") for name, (_, merge) in parts.items()])
-    rows = sliced.select("*", *[first.over(inside).alias(f"i_{name}") for name, (first, _) in parts.items()])
+    parts = {"n": F.count(v), "mean": F.avg(v), "var": F.var_pop(v), "min": F.min(v), "max": F.max(v)}
+    totals = df.groupBy(F.col(key), time_slice(ts, slice_seconds).alias(SLICE)).agg(*[c.alias(f"c_{name}") for name, c in parts.items()])
+    order = Window.partitionBy(key).orderBy(SLICE)
+    earlier = order.rowsBetween(UNBOUNDED, -1)
+    centre = F.first("c_mean", ignorenulls=True).over(order.rowsBetween(UNBOUNDED, Window.unboundedFollowing))
+    shifted = totals.withColumn("_c", centre).withColumn("_d", F.col("c_mean") - F.col("_c"))
+
+    def total(x: Column) -> Column:
+        return F.sum(x).over(earlier)
+
+    n, d = F.col("c_n"), F.col("_d")
+    run_n, run_d = total(n), total(n * d)
+    spread = total(n * F.col("c_var")) + F.greatest(total(n * d * d) - run_d * run_d / F.nullif(run_n, F.lit(0)), F.lit(0.0))
+    carry = shifted.select(
+        F.col(key), F.col(SLICE), run_n.alias("c_n"), (F.col("_c") + run_d / F.nullif(run_n, F.lit(0))).alias("c_mean"), spread.alias("c_m2"),
+        F.min("c_min").over(earlier).alias("c_min"), F.max("c_max").over(earlier).alias("c_max"))
+    rows = sliced.select("*", *[c.over(inside).alias(f"i_{name}") for name, c in parts.items()])
     joined = rows.join(carry, [key, SLICE], "left")
-
-    def added(name: str) -> Column:
-        return F.coalesce(f"i_{name}", F.lit(0)) + F.coalesce(f"c_{name}", F.lit(0))
-
+    count, mean, m2 = merged_moments(
+        F.col("i_n"), F.col("i_mean"), F.col("i_n") * F.col("i_var"), F.col("c_n"), F.col("c_mean"), F.col("c_m2"))
     return joined.select(
-        *[F.col(c) for c in df.columns],
-        added("n").alias("prior_n"), added("sum").alias("prior_sum"), added("sumsq").alias("prior_sumsq"),
+        *[F.col(c) for c in df.columns], count.alias("prior_n"), mean.alias("prior_mean"), m2.alias("prior_m2"),
         F.least("i_min", "c_min").alias("prior_min"), F.greatest("i_max", "c_max").alias("prior_max"))
 
 
-def deviation_of(n: Column, total: Column, squares: Column, low: Column, high: Column, sample: bool) -> Column:
-    """Standard deviation from running sums; exactly 0 where all values were equal."""
-    spread = F.greatest(squares - total * total / F.nullif(n, F.lit(0)), F.lit(0.0))
+def deviation_of(n: Column, m2: Column, low: Column, high: Column, sample: bool) -> Column:
+    """Standard deviation from squared distances; exactly 0 where all values were equal."""
     freedom = F.nullif(n - 1, F.lit(0)) if sample else F.nullif(n, F.lit(0))
-    return F.when(low == high, F.when(freedom.isNotNull(), F.lit(0.0))).otherwise(F.sqrt(spread / freedom))
+    return F.when(low == high, F.when(freedom.isNotNull(), F.lit(0.0))).otherwise(F.sqrt(F.greatest(m2, F.lit(0.0)) / freedom))
 
 
 def previous_event(

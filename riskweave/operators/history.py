@@ -31,9 +31,8 @@ def with_velocity(df: DataFrame) -> DataFrame:
 def with_amount_deviation(df: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     """Add ``z_score`` against earlier amounts (population deviation) and ``deviation_score``."""
     had = prior_moments(df, "customer_id", "transaction_date", "amount", slice_seconds)
-    n, total = F.col("prior_n"), F.col("prior_sum")
-    deviation = deviation_of(n, total, F.col("prior_sumsq"), F.col("prior_min"), F.col("prior_max"), sample=False)
-    z = F.when(deviation > 0, F.abs(F.col("amount") - F.try_divide(total, n)) / deviation).otherwise(F.lit(0.0))
+    deviation = deviation_of(F.col("prior_n"), F.col("prior_m2"), F.col("prior_min"), F.col("prior_max"), sample=False)
+    z = F.when(deviation > 0, F.abs(F.col("amount") - F.col("prior_mean")) / deviation).otherwise(F.lit(0.0))
     return had.withColumn("z_score", z).select(
         *df.columns, "z_score", tier(F.col("z_score"), [(3, 25.0), (2, 15.0), (1.5, 10.0)], 0.0).alias("deviation_score"))
 

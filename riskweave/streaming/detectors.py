@@ -15,8 +15,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from riskweave.functions.ordered import deviation_of, previous_event, prior_moments, row_index, whole_seconds
+from riskweave.functions.ordered import deviation_of, merged_moments, previous_event, prior_moments, row_index, whole_seconds
 from riskweave.operators.detectors import tier
 
 ALERT = ["transaction_id", "customer_id", "event_time", "risk_factor", "risk_score"]
@@ -58,9 +59,30 @@ def union_alerts(*alerts: DataFrame) -> DataFrame:
     return out.withColumn("risk_level", alert_level(F.col("risk_score")))
 
 
-def within_watermark(df: DataFrame, watermark: str, key: str = "transaction_id") -> DataFrame:
-    """Rows older than the watermark and repeated keys are dropped by the engine."""
-    return df.withWatermark("transaction_date", watermark).dropDuplicatesWithinWatermark([key])
+def within_watermark(df: DataFrame, watermark: str) -> DataFrame:
+    """Rows older than the watermark are dropped by the engine, and no others.
+
+    Only a stateful operator drops late rows, so each row gets a name of its own to be distinct by.
+    """
+    named = df.withColumn("_row", F.expr("uuid()")).withWatermark("transaction_date", watermark)
+    return named.dropDuplicatesWithinWatermark(["_row"]).drop("_row")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the engine has dropped behind the watermark, over the progress it still remembers."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def _versions(spark: SparkSession, state: str) -> list[int]:
+    root = spark._jvm.org.apache.hadoop.fs.Path(state)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    return sorted(int(f.getPath().getName()[1:]) for f in found if f.getPath().getName()[1:].isdigit())
+
+
+def _forget(spark: SparkSession, state: str, batch_id: int) -> None:
+    """A batch can only come again right after the one before it; older versions go."""
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/v{batch_id - 2}")
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 @dataclass(frozen=True)
@@ -101,31 +123,38 @@ class EventTimeDetector:
         self.score(ready, summary).write.mode("overwrite").parquet(f"{self.output}/batch_id={batch_id}")
         self.fold(ready, summary).write.mode("overwrite").parquet(f"{version}/summary")
         rows.where(~due).write.mode("overwrite").parquet(f"{version}/buffer")
+        _forget(spark, self.state, batch_id)
 
-
-_MOMENTS = {"n": F.sum, "sum": F.sum, "sumsq": F.sum, "min": F.min, "max": F.max}
+    def flush(self, spark: SparkSession) -> None:
+        """Score the rows that still wait, at the end of a stream."""
+        end = _versions(spark, self.state)[-1] + 1
+        waiting, summary = self._load(spark, end, "buffer"), self._load(spark, end, "summary")
+        self.score(waiting, summary).write.mode("overwrite").parquet(f"{self.output}/batch_id={end}")
 
 
 def _fold_moments(ready: DataFrame, summary: DataFrame | None) -> DataFrame:
     v = F.col("amount").cast("double")
     part = ready.groupBy("customer_id").agg(
-        F.count(v).alias("n"), F.sum(v).alias("sum"), F.sum(v * v).alias("sumsq"), F.min(v).alias("min"), F.max(v).alias("max"))
+        F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"), F.min(v).alias("min"), F.max(v).alias("max"))
     if summary is None:
         return part
-    return summary.unionByName(part).groupBy("customer_id").agg(*[f(n).alias(n) for n, f in _MOMENTS.items()])
+    new = part.select(*[F.col(c) if c == "customer_id" else F.col(c).alias(f"_{c}") for c in part.columns])
+    both = summary.join(new, "customer_id", "full_outer")
+    n, mean, m2 = merged_moments(*[F.col(c) for c in ("n", "mean", "m2", "_n", "_mean", "_m2")])
+    return both.select("customer_id", n.alias("n"), mean.alias("mean"), m2.alias("m2"), F.least("min", "_min").alias("min"), F.greatest("max", "_max").alias("max"))
 
 
 def _score_moments(ready: DataFrame, summary: DataFrame | None) -> DataFrame:
     """|amount - mean| / sample deviation of strictly earlier rows, kept from 2 up."""
     rows = prior_moments(ready, "customer_id", "transaction_date", "amount")
     if summary is None:
-        n, total, squares, low, high = (F.col(f"prior_{c}") for c in ("n", "sum", "sumsq", "min", "max"))
+        n, mean, m2, low, high = (F.col(f"prior_{c}") for c in ("n", "mean", "m2", "min", "max"))
     else:
         rows = rows.join(summary, "customer_id", "left")
-        n, total, squares = (F.col(f"prior_{c}") + F.coalesce(c, F.lit(0)) for c in ("n", "sum", "sumsq"))
+        n, mean, m2 = merged_moments(*[F.col(c) for c in ("prior_n", "prior_mean", "prior_m2", "n", "mean", "m2")])
         low, high = F.least("prior_min", "min"), F.greatest("prior_max", "max")
-    deviation = deviation_of(n, total, squares, low, high, sample=True)
-    z = F.when(deviation > 0, F.abs(F.col("amount") - F.try_divide(total, n)) / deviation).otherwise(F.lit(0.0))
+    deviation = deviation_of(n, m2, low, high, sample=True)
+    z = F.when(deviation > 0, F.abs(F.col("amount") - mean) / deviation).otherwise(F.lit(0.0))
     return rows.withColumn("z_score", z).where("z_score >= 2").select(
         "transaction_id", "customer_id", F.col("transaction_date").alias("event_time"), "amount", "z_score",
         F.lit("STATISTICAL_ANOMALY").alias("risk_factor"), tier(F.col("z_score"), [(3, 25.0)], 15.0).alias("risk_score"))
@@ -195,9 +224,10 @@ class CountWindows:
         full = spark.read.parquet(f"{version}/seen").first()["seen"] // self.size
         self._aggregate(rows.where(F.col("window_no") < full)).write.mode("overwrite").parquet(f"{self.output}/batch_id={batch_id}")
         rows.where(F.col("window_no") >= full).drop("window_no").write.mode("overwrite").parquet(f"{version}/rest")
+        _forget(spark, self.state, batch_id)
 
-    def flush(self, spark: SparkSession, last_batch_id: int) -> None:
-        rest = spark.read.parquet(f"{self.state}/v{last_batch_id}/rest")
+    def flush(self, spark: SparkSession) -> None:
+        rest = spark.read.parquet(f"{self.state}/v{_versions(spark, self.state)[-1]}/rest")
         rest = rest.withColumn("window_no", F.floor(F.col("row_index") / self.size))
         self._aggregate(rest).write.mode("overwrite").parquet(f"{self.output}/batch_id=flush")
 

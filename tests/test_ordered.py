@@ -56,8 +56,9 @@ def test_prior_moments(frame, rows, width):
     for r in ordered.prior_moments(frame, "key", "ts", "v", width).collect():
         before = [v for _, k, t, v in rows if k == r["key"] and t < r["ts"]]
         assert r["prior_n"] == len(before)
-        assert r["prior_sum"] == pytest.approx(sum(before))
-        assert r["prior_sumsq"] == pytest.approx(sum(v * v for v in before))
+        mean = sum(before) / len(before) if before else None
+        assert r["prior_mean"] == (pytest.approx(mean) if before else None)
+        assert r["prior_m2"] == pytest.approx(sum((v - mean) ** 2 for v in before))
         assert r["prior_min"] == (min(before) if before else None)
         assert r["prior_max"] == (max(before) if before else None)
 
@@ -109,8 +110,24 @@ def test_value_slices_never_fall(spark):
 
 
 def test_deviation_of_equal_values_is_zero(spark):
-    df = spark.createDataFrame([(3, 0.3, 0.03, 0.1, 0.1), (1, 5.0, 25.0, 5.0, 5.0), (2, 3.0, 5.0, 1.0, 2.0)], "n int, s double, q double, lo double, hi double")
-    cols = [F.col(c) for c in ("n", "s", "q", "lo", "hi")]
+    df = spark.createDataFrame([(3, 1e-17, 0.1, 0.1), (1, 0.0, 5.0, 5.0), (2, 0.5, 1.0, 2.0)], "n int, q double, lo double, hi double")
+    cols = [F.col(c) for c in ("n", "q", "lo", "hi")]
     got = df.select(ordered.deviation_of(*cols, sample=False).alias("p"), ordered.deviation_of(*cols, sample=True).alias("s")).collect()
     assert [r["p"] for r in got] == [0.0, 0.0, 0.5]
     assert got[0]["s"] == 0.0 and got[1]["s"] is None and got[2]["s"] == pytest.approx(math.sqrt(0.5))
+
+
+@pytest.mark.parametrize("offset", [1e6, 1e9, 1e12])
+def test_deviations_do_not_depend_on_the_level(spark, offset):
+    """z-scores of shifted amounts equal those of the amounts, in one slice and over many."""
+    from datetime import datetime, timedelta
+    rnd = random.Random(4)
+    values = [float(rnd.randrange(100)) for _ in range(40)]
+    at = [datetime(2024, 1, 1) + timedelta(minutes=7 * i) for i in range(40)]
+    df = spark.createDataFrame([(i, 1, at[i], v, v + offset) for i, v in enumerate(values)], "id int, key int, ts timestamp, v double, w double")
+    for width in (600, 10 ** 7):
+        got = {r["id"]: r for r in ordered.prior_moments(df, "key", "ts", "w", width).collect()}
+        for i in range(2, 40):
+            mean = sum(values[:i]) / i
+            assert got[i]["prior_mean"] - offset == pytest.approx(mean, abs=1e-3)
+            assert got[i]["prior_m2"] == pytest.approx(sum((v - mean) ** 2 for v in values[:i]), rel=1e-6, abs=2e-2 if offset > 1e10 else 1e-6)
