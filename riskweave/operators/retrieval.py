@@ -16,16 +16,23 @@ from riskweave.functions.text import elements, tokens
 PLACES = 10
 
 
+def _counted(sorted_terms: Column) -> Column:
+    """(term, n) of a sorted token array by run lengths."""
+    last = F.filter(F.sequence(F.lit(0), F.size(sorted_terms) - 1), lambda i: (i == F.size(sorted_terms) - 1) | (
+        F.get(sorted_terms, i) != F.get(sorted_terms, i + 1)))
+    return F.transform(F.array(last), lambda ends: F.transform(ends, lambda end, i: F.struct(
+        F.get(sorted_terms, end).alias("term"), (end - F.coalesce(F.get(ends, i - 1), F.lit(-1))).cast("long").alias("n"))))[0]
+
+
 def term_frequencies(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, n, tf) with tf = occurrences / all tokens of the document.
+    """(key, term, n, tf) with tf = occurrences / all tokens of the document; one text per key.
 
-    Texts are dealt out by key before they are cut into tokens: a text is smaller
-    than its postings, and counting per document then needs no further exchange.
+    Terms are counted inside the row, so texts are not shuffled.
     """
-    placed = docs.select(key, text).repartition(key)
-    words = placed.select(key, tokens(F.col(text)).alias("_t")).select(key, F.size("_t").alias("_all"), elements("_t").alias("term"))
-    return words.where("term IS NOT NULL").groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"), F.first("_all").alias("_all")).select(
-        key, "term", "n", (F.col("n") / F.col("_all")).alias("tf"))
+    counted = F.transform(F.array(F.array_sort(tokens(F.col(text)))), lambda t: F.struct(
+        F.size(t).alias("all"), F.when(F.size(t) > 0, _counted(t)).alias("terms")))[0]
+    rows = docs.select(key, elements(F.array(counted)).alias("_d")).select(key, F.col("_d.all").alias("_all"), elements("_d.terms").alias("_c"))
+    return rows.where("_c IS NOT NULL").select(key, "_c.term", "_c.n", (F.col("_c.n") / F.col("_all")).alias("tf"))
 
 
 def inverse_document_frequencies(tf: DataFrame, docs: DataFrame) -> DataFrame:
@@ -50,9 +57,9 @@ def unit_weights(tf: DataFrame, idf: DataFrame, key: str) -> DataFrame:
 def build_index(docs: DataFrame, key: str, text: str, path: str) -> dict[str, DataFrame]:
     """Write the index tables below ``path`` and return them as stored.
 
-    ``tf`` holds the postings, ``idf`` the vocabulary and ``norms`` the length of
-    every document vector. Each is computed once, from the stored one before it,
-    and the planner sees the true table sizes when it chooses joins.
+    ``tf`` holds the counts, ``idf`` the vocabulary and ``postings`` the unit weights of
+    every document. Each is computed once, from the stored ones before it, and the
+    planner sees the true table sizes when it chooses joins.
     """
     spark = docs.sparkSession
 
@@ -62,9 +69,7 @@ def build_index(docs: DataFrame, key: str, text: str, path: str) -> dict[str, Da
 
     tf = stored("tf", term_frequencies(docs, key, text))
     idf = stored("idf", inverse_document_frequencies(tf, docs))
-    # Postings were written document by document, so this folds before its shuffle.
-    lengths = _weighted(tf, idf, key).groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("norm"))
-    return {"tf": tf, "idf": idf, "norms": stored("norms", lengths)}
+    return {"tf": tf, "idf": idf, "postings": stored("postings", unit_weights(tf, idf, key).drop("idf"))}
 
 
 def corpus_stats(docs: DataFrame, text: str) -> DataFrame:
@@ -81,14 +86,15 @@ def top_k(scored: DataFrame, query: str, order: list[Column], k: int) -> DataFra
 def tfidf_search(index: dict[str, DataFrame], key: str, queries: DataFrame, query: str, text: str, k: int = 5) -> DataFrame:
     """(query, key, score, rank) with score > 0; unknown query terms still count in the query's length.
 
-    The query side carries the idf, so the postings are read once and meet only the
-    query terms; they are summed per (query, document) before anything is shuffled.
+    The postings carry unit weights, so they are read once, meet only the query terms and
+    are summed per (query, document) before anything is shuffled.
     """
     asked = unit_weights(term_frequencies(queries, query, text), index["idf"], query).select(
-        query, "term", (F.col("weight") * F.col("idf")).alias("_q"))
-    dots = index["tf"].join(asked, "term").groupBy(query, key).agg(F.sum(F.col("tf") * F.col("_q")).alias("_dot"))
-    scored = dots.join(index["norms"], key).select(query, key, F.round(F.col("_dot") / F.col("norm"), PLACES).alias("score"))
-    return top_k(scored.where("score > 0"), query, [F.desc("score"), F.asc(key)], k)
+        query, "term", F.col("weight").alias("_q"))
+    scored = index["postings"].join(asked, "term").groupBy(query, key).agg(
+        F.sum(F.col("weight") * F.col("_q")).alias("score")).where("score > 0")
+    # Rounded for the order only: copies of a text tie and the key decides.
+    return top_k(scored, query, [F.desc(F.round("score", PLACES)), F.asc(key)], k)
 
 
 def where_metadata(df: DataFrame, filters: dict[str, object]) -> DataFrame:
@@ -121,10 +127,10 @@ def dense_search(
     """Exact nearest vectors as (query, key, score, rank).
 
     ``metric``: "cosine" (best is highest) or "l2", the squared distance (best is
-    lowest). The corpus is never moved. Up to ``max_shared_queries`` queries are
+    lowest). Up to ``max_shared_queries`` queries are
     shared with every task, which multiplies whole Arrow batches and passes on its
-    own k best per query. More queries than that are dealt into blocks of about
-    that size and joined with the corpus block by block. The threshold applies
+    own k best per query, and the corpus stays where it is. More queries than that
+    are dealt into blocks of about that size; the corpus is then copied to every block. The threshold applies
     after the top k, as a limit on what is shown.
     """
     ascending = metric == "l2"
