@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.ordered import numbered
 from riskweave.functions.text import char_chunks, elements, strip, word_chunks, words
+from riskweave.operators.relational import last_per_key
 
 
 def chunk_by_chars(docs: DataFrame, key: str, text: str, size: int = 1000, overlap: int = 200) -> DataFrame:
@@ -102,8 +103,8 @@ def delete_documents(corpus: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def update_documents(corpus: DataFrame, updates: DataFrame) -> DataFrame:
-    """Replace the text of the ids in ``updates`` (id, text); unknown ids change nothing."""
-    new = updates.select("id", F.col("text").alias("_new"))
+    """Replace the text of the ids in ``updates`` (id, text); unknown ids change nothing, of repeated ids the highest text counts."""
+    new = last_per_key(updates.select("id", "text"), "id").select("id", F.col("text").alias("_new"))
     return corpus.join(new, "id", "left").withColumn("text", F.coalesce("_new", "text")).select(*corpus.columns)
 
 

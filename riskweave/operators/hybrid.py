@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.ordered import trailing_count, whole_seconds
 from riskweave.operators.detectors import tier
+from riskweave.operators.relational import last_per_key
 
 DAY = 86400
 
@@ -110,9 +113,13 @@ def profile_gate(df: DataFrame, profiles: DataFrame) -> DataFrame:
     return df.join(wanted, "customer_id", "left").withColumn("gate", gate)
 
 
-def upsert_alerts(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """New alerts by transaction_id; for known ones only score and description change."""
-    new = incoming.select([F.col(c).alias(f"n_{c}") for c in incoming.columns])
+def upsert_alerts(stored: DataFrame, incoming: DataFrame, order: Sequence[str] = ("created_at",)) -> DataFrame:
+    """New alerts by transaction_id; for known ones only score and description change.
+
+    Of several incoming rows with one id the last by ``order`` counts.
+    """
+    new = last_per_key(incoming, "transaction_id", [c for c in order if c in incoming.columns])
+    new = new.select([F.col(c).alias(f"n_{c}") for c in incoming.columns])
     joined = stored.join(new, stored["transaction_id"] == new["n_transaction_id"], "full_outer")
     known = F.col("transaction_id").isNotNull() & F.col("n_transaction_id").isNotNull()
     replaced = ("fraud_score", "description")

@@ -72,7 +72,8 @@ def data_drift(reference: DataFrame, current: DataFrame, features: Sequence[str]
     """Two-sample Kolmogorov-Smirnov test per feature.
 
     Both samples fold to counts per distinct value; the distribution functions are
-    running totals over value slices, so no feature is sorted in one task.
+    running totals over value slices, so no feature is sorted in one task. A feature
+    without values on one side has statistic 0, p-value 1 and no drift.
     """
     def long(df: DataFrame, is_ref: int) -> DataFrame:
         wide = df.select(*[F.col(f).cast("double").alias(f) for f in features])
@@ -81,9 +82,9 @@ def data_drift(reference: DataFrame, current: DataFrame, features: Sequence[str]
     both = long(reference, 1).unionByName(long(current, 0))
     steps = running_totals(both, ["feature"], "value", {
         "ref": F.sum("is_ref"), "cur": F.sum(1 - F.col("is_ref"))})
-    gap = F.abs(F.col("ref") / F.col("all_ref") - F.col("cur") / F.col("all_cur"))
+    gap = F.abs(F.try_divide("ref", "all_ref") - F.try_divide("cur", "all_cur"))
     tested = steps.groupBy("feature").agg(
-        F.max(gap).alias("statistic"), F.max("all_ref").alias("n_ref"), F.max("all_cur").alias("n_cur"))
+        F.coalesce(F.max(gap), F.lit(0.0)).alias("statistic"), F.max("all_ref").alias("n_ref"), F.max("all_cur").alias("n_cur"))
     return tested.withColumn(
         "p_value", _kolmogorov_tail(F.col("statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
     ).withColumn("drifted", F.col("p_value") < alpha)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.operators.relational import last_per_key
 from riskweave.schemas import ALERT_STATUSES, IMPORT_STATUSES, RISK_LEVELS
 
 # Source field names in the order they are tried.
@@ -71,7 +72,8 @@ def parse_date(text: Column, get: Lookup, extra_formats: tuple[str, ...] = ()) -
     single += [F.try_to_timestamp(text, F.lit(f)) for f in extra_formats]
 
     def two(part: Column) -> Column:
-        return F.lpad(part.try_cast("int").cast("string"), 2, "0")
+        number = part.try_cast("int")
+        return F.when(number.between(0, 99), F.lpad(number.cast("string"), 2, "0"))
 
     day = F.concat(get("year"), F.lit("-"), two(get("month")), F.lit("-"), two(get("day")))
     time = get("time")
@@ -166,9 +168,10 @@ def alert_flags(df: DataFrame) -> DataFrame:
 
 
 def mark_reviewed(alerts: DataFrame, reviews: DataFrame, reviewed_at: str) -> DataFrame:
-    """Apply ``(alert_id, reviewer, new_status)`` to the alerts they name."""
+    """Apply ``(alert_id, reviewer, new_status)`` to the alerts they name; of repeated ids the highest row counts."""
     hit = F.col("new_status").isNotNull()
-    return alerts.join(reviews, "alert_id", "left").select(
+    named = last_per_key(reviews.select("alert_id", "reviewer", "new_status"), "alert_id")
+    return alerts.join(named, "alert_id", "left").select(
         *[F.when(hit, F.col("new_status")).otherwise(F.col("status")).alias("status") if c == "status" else F.col(c)
           for c in alerts.columns],
         F.when(hit, F.col("reviewer")).alias("reviewed_by"),

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import Accumulator
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType, StructType
 
 log = logging.getLogger(__name__)
@@ -80,23 +85,61 @@ def quality_score(df: DataFrame, expected: StructType | None = None) -> DataFram
         F.greatest(score, F.lit(0.0)).alias("quality_score"))
 
 
-def apply_in_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str) -> DataFrame:
-    """Run a pandas function on each Arrow batch of each partition; a failing batch is skipped.
+def apply_in_batches(
+    df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str, skipped: Accumulator | None = None
+) -> DataFrame:
+    """Run a caller's pandas function on each Arrow batch of each partition.
 
-    Batch size is ``spark.sql.execution.arrow.maxRecordsPerBatch``.
+    A batch that fails, or whose result does not fit ``schema``, is skipped and its rows
+    are added to ``skipped``. Batch size is ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(wanted)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             try:
-                yield fn(batch)
+                result = fn(batch)[wanted.names]
+                pa.RecordBatch.from_pandas(result, schema=arrow, preserve_index=False)
             except Exception:  # noqa: BLE001 - the contract is to skip it
                 log.exception("batch of %d rows skipped", len(batch))
-
-    return df.mapInPandas(run, schema)
+                if skipped is not None:
+                    skipped.add(len(batch))
+                continue
+            yield result
+
+    return df.mapInPandas(run, wanted)
+
+
+@dataclass(frozen=True)
+class BatchStats:
+    total_rows: int
+    processed_rows: int
+    output_rows: int
+    seconds: float
+    rows_per_second: float
+    output: str
+
+
+def process_dataset(
+    spark: SparkSession, source: str, target: str, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str, source_format: str = "parquet"
+) -> BatchStats:
+    """Read csv or parquet, apply ``fn`` batch by batch, write parquet and report. Retried tasks count skipped rows again."""
+    start, seen, written = time.monotonic(), Observation("read"), Observation("written")
+    reader = spark.read.options(header=True, inferSchema=True) if source_format == "csv" else spark.read
+    rows = reader.format(source_format).load(source).observe(seen, F.count(F.lit(1)).alias("n"))
+    skipped = spark.sparkContext.accumulator(0)
+    apply_in_batches(rows, fn, schema, skipped).observe(written, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+    seconds, total = time.monotonic() - start, seen.get["n"]
+    done = total - skipped.value
+    return BatchStats(total, done, written.get["n"], seconds, done / seconds if seconds else 0.0, target)
 
 
 def parallel_map(df: DataFrame, column: str, fn: Callable[[object], object], result_type: DataType | str, output: str = "result") -> DataFrame:
-    """Item function over a column in its row order; an item that fails gives null."""
+    """A caller's Python function over a column in its row order; an item that fails gives null.
+
+    One call per item: for user code only, wherever a built-in function cannot say it.
+    """
     def safe(item: object) -> object:
         try:
             return fn(item)

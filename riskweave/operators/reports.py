@@ -20,18 +20,17 @@ def risk_dashboard(
     since = F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp")
     tx = transactions.where(F.col("transaction_date") >= since).groupBy("customer_id").agg(
         F.count("transaction_id").alias("n"), F.sum("amount").alias("volume"), F.avg("amount").alias("mean"))
-
-    def distinct_ids(condition: Column | None = None) -> Column:
-        return F.countDistinct(F.col("alert_id") if condition is None else F.when(condition, F.col("alert_id")))
-
     severity = F.col("severity")
-    al = alerts.where(F.col("created_at") >= since).groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("alert_rows"),
-        distinct_ids().alias("total_alerts"),
-        distinct_ids(severity.isin("HIGH", "CRITICAL")).alias("critical_alerts"),
-        distinct_ids(F.col("status") == "PENDING").alias("pending_alerts"),
-        distinct_ids(severity == "CRITICAL").alias("_critical"),
-        distinct_ids(severity == "HIGH").alias("_high"))
+    # One row per alert first: counting distinct ids five ways would multiply the alerts.
+    each = alerts.where(F.col("created_at") >= since).groupBy("customer_id", "alert_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_or(severity == "CRITICAL").alias("critical"), F.bool_or(severity == "HIGH").alias("high"),
+        F.bool_or(F.col("status") == "PENDING").alias("pending"))
+    named = F.col("alert_id").isNotNull()
+    al = each.groupBy("customer_id").agg(
+        F.sum("rows").alias("alert_rows"), F.count("alert_id").alias("total_alerts"),
+        F.count_if(named & (F.col("critical") | F.col("high"))).alias("critical_alerts"),
+        F.count_if(named & F.col("pending")).alias("pending_alerts"),
+        F.count_if(named & F.col("critical")).alias("_critical"), F.count_if(named & F.col("high")).alias("_high"))
     filed = reports.where("filed_with_regulator").select("customer_id", F.lit(True).alias("_filed")).distinct()
     repeat = F.greatest(F.coalesce("alert_rows", F.lit(0)), F.lit(1)) if as_written else F.lit(1)
     level = (
@@ -50,7 +49,7 @@ def risk_dashboard(
             F.coalesce("mean", F.lit(0.0)).alias("avg_transaction"),
             zero("total_alerts").alias("total_alerts"), zero("critical_alerts").alias("critical_alerts"),
             zero("pending_alerts").alias("pending_alerts"), level.alias("overall_risk_level"),
-            F.coalesce("_filed", F.lit(False)).alias("sar_filed"))
+            F.coalesce("_filed", F.lit(False)).alias("sar_filed"), F.col("last_updated").alias("profile_last_updated"))
     )
 
 

@@ -105,6 +105,7 @@ def trend(df: DataFrame, ts: str, tiebreak: str, value: str) -> DataFrame:
 
 
 def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Pearson correlation; 0 for a constant or empty series."""
+    """Pearson correlation over the rows where both are given; 0 for a constant or empty series."""
+    df = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     spread = F.stddev_pop(a) * F.stddev_pop(b)
     return df.agg(F.coalesce(F.try_divide(F.covar_pop(a, b), spread), F.lit(0.0)).alias("correlation"))

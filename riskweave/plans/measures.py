@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from riskweave.operators import monitoring, oplog, quality, statistics
 from riskweave.plans.registry import query
 from riskweave.plans.tables import Tables, cte
+from riskweave.session import scratch
 
 
 def rounded(df, places, *columns):
@@ -117,6 +118,16 @@ def i5(spark, d):
     return quality.apply_in_batches(Tables(spark, d).tx.select("transaction_id", "amount"), _band, "transaction_id bigint, band bigint")
 
 
+def _event_band(batch):
+    return batch.assign(band=(batch["value"] // 10).clip(upper=20).astype("int64"))[["event_id", "band"]]
+
+
+@query("I5_process_dataset", "SELECT count(*) AS total_rows, count(*) AS processed_rows, count(*) AS output_rows FROM events")
+def i5_dataset(spark, d):
+    stats = quality.process_dataset(spark, f"{d}/events.parquet", scratch(spark, "i5"), _event_band, "event_id bigint, band bigint")
+    return spark.createDataFrame([(stats.total_rows, stats.processed_rows, stats.output_rows)], "total_rows bigint, processed_rows bigint, output_rows bigint")
+
+
 def _merchant_number(name):
     number = int(name[1:])
     if number % 3 == 0:
@@ -190,9 +201,12 @@ def j4(spark, d):
 
 
 @query("J4_drift_summary", cte("tx", _KS + """
-SELECT coalesce(bool_or(p_value < 0.05), FALSE) AS drift_detected, count(*) FILTER (p_value < 0.05) AS num_features_drifted, count(*) AS total_features FROM p"""))
+SELECT coalesce(bool_or(p_value < 0.05), FALSE) AS drift_detected, count(*) FILTER (p_value < 0.05) AS num_features_drifted, count(*) AS total_features,
+       string_agg(printf('%s %.6f %.4f', feature, statistic, greatest(0, least(1, p_value))), '; ' ORDER BY feature) AS drift_scores FROM p"""))
 def j4_summary(spark, d):
-    return monitoring.drift_summary(monitoring.data_drift(*_halves(spark, d), ["amount", "hour"])).drop("drift_scores")
+    found = monitoring.drift_summary(monitoring.data_drift(*_halves(spark, d), ["amount", "hour"]))
+    shown = F.transform("drift_scores", lambda s: F.format_string("%s %.6f %.4f", s["feature"], s["statistic"], s["p_value"]))
+    return found.withColumn("drift_scores", F.array_join(shown, "; "))
 
 
 @query("J5_accuracy_drift", cte("predictions", """

@@ -127,11 +127,13 @@ def b9(spark, d):
 SELECT 'alert_score' AS rule, count(*) FILTER (fraud_score * 1.2 NOT BETWEEN 0 AND 100) AS violations FROM alerts
 UNION ALL SELECT 'alert_level', count(*) FILTER (severity NOT IN ('LOW','MEDIUM','HIGH','CRITICAL')) FROM alerts
 UNION ALL SELECT 'alert_status', count(*) FILTER (status NOT IN ('PENDING','CONFIRMED','FALSE_POSITIVE','UNDER_REVIEW')) FROM alerts
-UNION ALL SELECT 'customer_level', count(*) FILTER (lower(risk_level) = 'low') FROM customers"""))
+UNION ALL SELECT 'customer_level', count(*) FILTER (lower(risk_level) = 'low') FROM customers
+UNION ALL SELECT 'import_status', count(*) FILTER (severity = 'HIGH') FROM alerts"""))
 def b10(spark, d):
     t = Tables(spark, d)
     spoiled = t.customers.withColumn("risk_level", F.when(F.col("risk_level") == "LOW", "low").otherwise(F.col("risk_level")))
-    return normalize.domain_violations(t.alerts.withColumn("fraud_score", F.col("fraud_score") * 1.2), spoiled)
+    imports = t.alerts.select(F.when(F.col("severity") == "HIGH", "DONE").otherwise("COMPLETED").alias("status"))
+    return normalize.domain_violations(t.alerts.withColumn("fraud_score", F.col("fraud_score") * 1.2), spoiled, imports)
 
 
 @query("B12_calendar_features", cte("tx", """

@@ -135,7 +135,8 @@ class Tables:
             (F.lit(5000.0) + 1000 * (key % 10)).alias("expected_max_amount"),
             F.concat(F.lit("{"), F.col("segment"), F.lit(","), F.col("risk_level"), F.lit("}")).alias("risk_indicators"),
             (F.col("customer_id") % 10 / 10.0).alias("confidence_score"),
-            F.concat(F.lit("kyc_"), key.cast("string"), F.lit(".pdf")).alias("kyc_document_source"))
+            F.concat(F.lit("kyc_"), key.cast("string"), F.lit(".pdf")).alias("kyc_document_source"),
+            F.col("account_created_date").cast("timestamp").alias("last_updated"))
 
     @cached_property
     def alerts(self) -> DataFrame:
@@ -235,7 +236,8 @@ _CTE = {
   SELECT customer_id, segment AS business_type, 20000.0::DOUBLE * (1 + customer_id % 5) AS expected_monthly_volume,
          5000.0::DOUBLE + 1000 * (customer_id % 10) AS expected_max_amount,
          '{' || segment || ',' || risk_level || '}' AS risk_indicators,
-         (customer_id % 10) / 10.0::DOUBLE AS confidence_score, concat('kyc_', customer_id, '.pdf') AS kyc_document_source
+         (customer_id % 10) / 10.0::DOUBLE AS confidence_score, concat('kyc_', customer_id, '.pdf') AS kyc_document_source,
+         CAST(account_created_date AS TIMESTAMP) AS last_updated
   FROM customers WHERE segment <> 'HOUSEHOLD'""",
     "alerts": """
   SELECT transaction_id + 1000000 AS alert_id, transaction_id, customer_id, transaction_date AS created_at,

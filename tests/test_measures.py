@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.operators import monitoring, oplog, quality, statistics
+from riskweave.operators import hybrid, monitoring, oplog, quality, relational, statistics
 from riskweave.plans.registry import SQL  # noqa: F401 - keeps the registry importable on its own
 
 
@@ -135,3 +135,31 @@ def test_dashboard_uses_the_newest_hundred(spark, ts):
 def test_empty_log(spark):
     df = spark.createDataFrame([], "tokens int, latency double")
     assert tuple(oplog.kpis(df).first()) == (0, 0, 0.0)
+
+
+def test_correlation_uses_complete_pairs(spark):
+    rows = [(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (1000.0, None), (None, 5.0)]
+    assert statistics.correlation(spark.createDataFrame(rows, "a double, b double"), "a", "b").first()[0] == pytest.approx(1.0)
+
+
+def test_drift_of_an_empty_sample(spark):
+    some = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    r = monitoring.data_drift(some, some.limit(0), ["x"]).first()
+    assert (r["statistic"], r["p_value"], r["drifted"]) == (0.0, 1.0, False)
+
+
+def test_batches_that_do_not_fit_are_skipped(spark):
+    df = spark.range(10).repartition(1).sortWithinPartitions("id")
+    skipped = spark.sparkContext.accumulator(0)
+    got = quality.apply_in_batches(df, lambda b: b.assign(x="text") if b["id"].iloc[0] >= 0 else b, "id bigint, x bigint", skipped)
+    assert got.count() == 0 and skipped.value == 10
+
+
+def test_repeated_keys_change_a_row_once(spark):
+    stored = spark.createDataFrame([(1, 5.0, "a", 1), (2, 6.0, "b", 1)], "transaction_id int, fraud_score double, description string, created_at int")
+    incoming = spark.createDataFrame([(1, 7.0, "old", 1), (1, 8.0, "new", 2), (3, 1.0, "c", 1), (3, 2.0, "d", 2)], stored.schema)
+    got = {r["transaction_id"]: (r["fraud_score"], r["description"]) for r in hybrid.upsert_alerts(stored, incoming).collect()}
+    assert got == {1: (8.0, "new"), 2: (6.0, "b"), 3: (2.0, "d")} and hybrid.upsert_alerts(stored, incoming).count() == 3
+    people = spark.createDataFrame([(1, "x")], "customer_id int, name string")
+    more = spark.createDataFrame([(1, "y"), (2, "z"), (2, "zz")], people.schema)
+    assert sorted(map(tuple, relational.insert_new(people, more).collect())) == [(1, "x"), (2, "zz")]

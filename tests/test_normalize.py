@@ -110,3 +110,11 @@ def test_domain_checks_let_nulls_pass(spark):
     imports = spark.createDataFrame([("DONE",), ("PARTIAL",)], "status string")
     got = {r["rule"]: r["violations"] for r in normalize.domain_violations(alerts, customers, imports).collect()}
     assert got == {"alert_score": 1, "alert_level": 1, "alert_status": 1, "customer_level": 1, "import_status": 1}
+
+
+def test_parts_of_a_date_have_two_digits(spark):
+    rows = [("2024", "3", "5"), ("2024", "100", "1"), ("2024", "1", "123"), ("2024", "12", "31")]
+    df = spark.createDataFrame(rows, "Year string, Month string, Day string")
+    get = {"year": F.col("Year"), "month": F.col("Month"), "day": F.col("Day"), "time": F.lit("")}.__getitem__
+    got = [r[0] for r in df.select(normalize.parse_date(F.lit(None).cast("string"), get)).collect()]
+    assert [g and (g.month, g.day) for g in got] == [(3, 5), None, None, (12, 31)]
