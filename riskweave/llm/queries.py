@@ -134,10 +134,47 @@ FROM b
 """
 
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN c cx ON cx.doc_id = x JOIN c cy ON cy.doc_id = y WHERE 10 * k >= 8 * (cx.n + cy.n - k)),
+r AS (SELECT doc_id AS d, doc_id AS o FROM documents UNION SELECT r.d, l.y FROM r JOIN l ON l.x = r.o),
+m AS (SELECT d, min(o) AS class_id FROM r GROUP BY d),
+n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT d AS doc_id, class_id, coalesce(n_links, 0) AS n_links FROM m LEFT JOIN n ON n.x = d
+"""
+
+OP6_SQL = r"""
+WITH s AS (
+  SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.;:!?])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), chr(10)) AS pieces FROM documents),
+u AS (SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS pos FROM s),
+n AS (SELECT doc_id, pos, trim(regexp_replace(lower(piece), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm FROM u),
+k(norm, ident) AS (VALUES SENTENCES),
+q AS (SELECT doc_id, string_agg('<' || ident || '>', '' ORDER BY pos) AS sentences FROM n JOIN k USING (norm) GROUP BY doc_id),
+h AS (SELECT doc_id, unnest(regexp_extract_all(sentences, 'PATTERN')) AS hit FROM q),
+r(hit, licence) AS (VALUES RULES),
+a AS (SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM h JOIN r USING (hit) GROUP BY doc_id)
+SELECT doc_id, coalesce(sentences, '') AS sentences, coalesce(n_matches, 0) AS n_matches, coalesce(licences, '') AS licences
+FROM documents LEFT JOIN q USING (doc_id) LEFT JOIN a USING (doc_id)
+"""
+
+
+def _pairs(table: dict[str, str]) -> str:
+    return ", ".join(f"('{a}', '{b}')" for a, b in table.items())
+
+
 def oracle_sql() -> dict[str, str]:
     from riskweave.llm.quality_rules import STOP_WORDS
     stops = sorted({*STOP_WORDS, *[w.capitalize() for w in STOP_WORDS]})
+    pattern, names = licences.rule_pattern()
     return {
+        "op4_ngram_join": OP4_SQL,
         "op5_quality_rules": OP5_SQL.replace("STOPS", "[" + ", ".join(f"'{w}'" for w in stops) + "]"),
+        "op6_licences": OP6_SQL.replace("SENTENCES", _pairs(licences.cut_table())).replace("PATTERN", pattern).replace("RULES", _pairs(names)),
         "op7_line_dedup": OP7_SQL,
     }
