@@ -15,6 +15,7 @@ are sampled once per execution: store the result before using it in two actions.
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 import unicodedata
@@ -22,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +32,8 @@ from riskweave.llm.common import store, text_of
 END = 2
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
-_CACHE_WORDS, _CACHE_CHUNKS = 700_000, 500_000
+_CACHE_WORDS, _CACHE_CHUNKS = 1_000_000, 1_100_000
+_MARKS, _LAST_LETTER = ".,;:!?*%&$#)", "ž"
 
 CHUNKS = "doc_id long, curve_key long, start long, doc_tokens long, ids binary"
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, curve_key long, ids binary"
@@ -77,8 +78,6 @@ class WordIds:
     separate pieces to it. A chunk of plain Latin letters with trailing marks is put
     together from the ids of both parts; any other chunk goes through the tokenizer whole.
     """
-    _plain = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ž]+)([.,;:!?*%&$#)]*)")
-
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
@@ -110,25 +109,33 @@ class WordIds:
     def _learn(self, chunks: set[str]) -> None:
         if len(self.words) > _CACHE_WORDS:
             self.words = {"": b""}
-        parts = {}
+        known, parts, wanted = self.words, [], set()
         for chunk in chunks:
-            m = self._plain.fullmatch(chunk)
-            if m:
-                parts[chunk] = (m[1].lower(), m[2])
+            word = chunk.rstrip(_MARKS)
+            if word.isalpha() and (word.isascii() or max(word) <= _LAST_LETTER):
+                part = (chunk, word.lower(), chunk[len(word):])
+                parts.append(part)
+                wanted.update(w for w in part[1:] if w not in known)
             else:
                 self.chunks[chunk] = self._whole(chunk)
-        self._encode(sorted({w for pair in parts.values() for w in pair if w not in self.words}))
-        for chunk, (word, marks) in parts.items():
-            self.chunks[chunk] = self.words[word] + self.words[marks]
+        self._encode(sorted(wanted))
+        self.chunks.update([(chunk, known[word] + known[marks]) for chunk, word, marks in parts])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [unicodedata.normalize("NFC", t).replace("\n", " ").split(" ") for t in texts]
-        chunks = set().union(*split)
         if len(self.chunks) > _CACHE_CHUNKS:
             self.chunks = {}
-        self._learn(chunks - self.chunks.keys())
+        coded = [list(map(self.chunks.get, words)) for words in split]
+        gaps = [[w for w, x in zip(words, ids) if x is None] if None in ids else () for words, ids in zip(split, coded)]
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here refers to itself, and a collection walks through all of it
+        try:
+            self._learn(set().union(*gaps))
+        finally:
+            if collecting:
+                gc.enable()
         find = self.chunks.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+        return [b"".join(map(find, words) if gap else ids) for words, ids, gap in zip(split, coded, gaps)]
 
 
 def word_ids(path: str, dtype: str) -> WordIds:
@@ -149,7 +156,7 @@ def _tokenise(path: str, dtype: str, length: int, end: int):
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 coded = [x + last for x in encode(part.column(1).to_pylist())]
-                means = np.stack([directions[np.frombuffer(x, dtype=dtype) & 0xFFFF].mean(axis=0) for x in coded])
+                means = np.stack([directions.take(np.frombuffer(x, dtype=dtype) & 0xFFFF, axis=0).sum(axis=0) / (len(x) // width) for x in coded])
                 cube = np.clip(((np.tanh(means * 6) + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
                 keys = hilbert_key(cube, BITS).tolist()
                 rows = [(doc, key, at // width, len(x) // width, x[at:at + step])
