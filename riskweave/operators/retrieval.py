@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -111,81 +113,55 @@ def _scores(queries: np.ndarray, vectors: np.ndarray, metric: str) -> np.ndarray
     return np.maximum(squares - 2 * dots, 0.0)
 
 
-def _score_column(metric: str, q: Column, v: Column) -> Column:
-    def dot(a: Column, b: Column) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
-    if metric == "cosine":
-        return dot(q, v) / (F.sqrt(dot(q, q)) * F.sqrt(dot(v, v)) + 1e-8)
-    gap = F.zip_with(q, v, lambda x, y: x.cast("double") - y.cast("double"))
-    return F.aggregate(gap, F.lit(0.0), lambda acc, x: acc + x * x)
-
-
 def dense_search(
     corpus: DataFrame, key: str, vector: str, queries: DataFrame, query: str, query_vector: str,
-    k: int = 5, metric: str = "cosine", threshold: float | None = None, max_shared_queries: int = 2048,
+    k: int = 5, metric: str = "cosine", threshold: float | None = None, block: int = 1024,
 ) -> DataFrame:
     """Exact nearest vectors as (query, key, score, rank).
 
     ``metric``: "cosine" (best is highest) or "l2", the squared distance (best is
-    lowest). Up to ``max_shared_queries`` queries are
-    shared with every task, which multiplies whole Arrow batches and passes on its
-    own k best per query, and the corpus stays where it is. More queries than that
-    are dealt into blocks of about that size; the corpus is then copied to every block. The threshold applies
-    after the top k, as a limit on what is shown.
+    lowest). The queries are the asked set: they come in blocks of ``block``, each of
+    which travels to the tasks that hold the corpus, multiplies whole Arrow batches and
+    leaves its own k best per query. The corpus stays where it is, and any number of
+    queries takes the same path, one pass over the corpus per block. The threshold
+    applies after the top k, as a limit on what is shown.
     """
-    ascending = metric == "l2"
     asked = queries.select(F.col(query), F.col(query_vector).cast("array<double>").alias("_q"))
-    first = asked.limit(max_shared_queries + 1).toPandas()
-    order = [F.asc("score") if ascending else F.desc("score"), F.asc(key)]
-    if len(first) <= max_shared_queries:
-        scored = _shared_query_scores(corpus, key, vector, first, asked, query, k, metric)
-    else:
-        scored = _blocked_scores(corpus, key, vector, asked, query, metric, max_shared_queries)
-    best = top_k(scored, query, order, k)
+    kinds = {f.name: f.dataType.simpleString() for f in [*corpus.schema.fields, *asked.schema.fields]}
+    schema = f"`{query}` {kinds[query]}, `{key}` {kinds[key]}, score double"
+    side = corpus.select(key, vector).where(F.col(vector).isNotNull())
+    rows, parts = asked.toLocalIterator(), []
+    while taken := list(islice(rows, block)):
+        names, matrix = [r[0] for r in taken], np.array([r[1] for r in taken], dtype="float64")
+        parts.append(side.mapInPandas(_block_scores(names, matrix, query, key, vector, k, metric), schema))
+    scored = reduce(DataFrame.unionByName, parts) if parts else corpus.sparkSession.createDataFrame([], schema)
+    best = top_k(scored, query, [F.asc("score") if metric == "l2" else F.desc("score"), F.asc(key)], k)
     return best if threshold is None else best.where(F.col("score") >= threshold)
 
 
-def _shared_query_scores(
-    corpus: DataFrame, key: str, vector: str, first: pd.DataFrame, asked: DataFrame, query: str, k: int, metric: str
-) -> DataFrame:
-    names = first[query].tolist()
-    shared = corpus.sparkSession.sparkContext.broadcast(
-        np.array(first["_q"].tolist(), dtype="float64").reshape(len(names), -1) if names else np.zeros((0, 0)))
-    kinds = {f.name: f.dataType.simpleString() for f in [*corpus.schema.fields, *asked.schema.fields]}
-    schema = f"`{query}` {kinds[query]}, `{key}` {kinds[key]}, score double"
-    sign = 1.0 if metric == "l2" else -1.0
+def _block_scores(names: list, queries: np.ndarray, query: str, key: str, vector: str, k: int, metric: str, rows: int = 2048):
+    sign, labels = (1.0 if metric == "l2" else -1.0), pd.Series(names)
 
-    def cut(pool: pd.DataFrame) -> pd.DataFrame:
-        ranked = pool.assign(_o=pool["score"] * sign).sort_values([query, "_o", key], kind="stable")
-        return ranked.groupby(query, sort=False).head(k).drop(columns="_o")
+    def best(pool: pd.DataFrame) -> pd.DataFrame:
+        ranked = pool.assign(_o=pool["score"] * sign).sort_values(["_i", "_o", key], kind="stable")
+        return ranked.groupby("_i", sort=False).head(k).drop(columns="_o")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pool = None
         for batch in batches:
-            if not names or batch.empty:
-                continue
-            scores = np.round(_scores(shared.value, np.array(batch[vector].tolist(), dtype="float64"), metric), PLACES)
-            parts = [] if pool is None else [pool]
-            for i, name in enumerate(names):
-                row = scores[i] * sign
+            for low in range(0, len(batch), rows):
+                part = batch.iloc[low:low + rows]
+                scores = np.round(_scores(queries, np.array(part[vector].tolist(), dtype="float64"), metric), PLACES)
+                ordered = scores * sign
                 # Everything as good as the k-th best, so ties are settled by key below.
-                keep = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1]) if len(row) > k else np.arange(len(row))
-                parts.append(pd.DataFrame({query: [name] * len(keep), key: batch[key].to_numpy()[keep], "score": scores[i][keep]}))
-            pool = cut(pd.concat(parts, ignore_index=True))
+                bound = np.partition(ordered, k - 1, axis=1)[:, k - 1:k] if ordered.shape[1] > k else np.inf
+                i, j = np.nonzero(ordered <= bound)
+                found = pd.DataFrame({"_i": i, key: part[key].to_numpy()[j], "score": scores[i, j]})
+                pool = best(found if pool is None else pd.concat([pool, found], ignore_index=True))
         if pool is not None:
+            pool[query] = labels.to_numpy()[pool["_i"].to_numpy()]
             yield pool[[query, key, "score"]]
-
-    return corpus.select(key, vector).where(F.col(vector).isNotNull()).mapInPandas(run, schema)
-
-
-def _blocked_scores(corpus: DataFrame, key: str, vector: str, asked: DataFrame, query: str, metric: str, size: int) -> DataFrame:
-    blocks = -(-asked.count() // size)
-    dealt = asked.groupBy(F.pmod(F.xxhash64(query), F.lit(blocks)).cast("int").alias("_block")).agg(
-        F.collect_list(F.struct(query, "_q")).alias("_asked"))
-    copies = corpus.where(F.col(vector).isNotNull()).select(
-        key, F.col(vector).cast("array<double>").alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
-    pairs = copies.join(dealt, "_block").select(key, "_v", F.explode("_asked").alias("_a"))
-    return pairs.select(F.col(f"_a.{query}").alias(query), key, F.round(_score_column(metric, F.col("_a._q"), F.col("_v")), PLACES).alias("score"))
+    return run
 
 
 def similarity_above(found: DataFrame, threshold: float = 0.0) -> DataFrame:

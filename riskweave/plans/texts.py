@@ -126,6 +126,16 @@ def k8(spark, d):
     return retrieval.dense_search(vectors, "vec_id", "embedding", queries, "query_id", "qv", threshold=0.3).withColumn("score", F.round("score", 4))
 
 
+@query("K8_cosine_neighbours", """
+WITH p AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / (sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]))
+             * sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])) + 1e-8) AS cosine FROM embeddings a, embeddings b)
+SELECT query_id, vec_id, round(cosine, 4) AS score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 10) DESC, vec_id) AS INT) AS rank FROM p QUALIFY rank <= 3""")
+def k8_neighbours(spark, d):
+    vectors = Tables(spark, d).base("embeddings")
+    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
+    return retrieval.dense_search(vectors, "vec_id", "embedding", asked, "query_id", "qv", k=3, block=200).withColumn("score", F.round("score", 4))
+
+
 @query("K9_l2_search", _CENTROIDS + f"SELECT query_id, vec_id, round(l2, 4) AS score, CAST(rank AS INT) AS rank FROM ({_top('l2')})")
 def k9(spark, d):
     vectors, queries = _vectors(spark, d)

@@ -148,15 +148,15 @@ def test_tfidf_search_matches_brute_force(spark, tmp_path):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
-@pytest.mark.parametrize("shared", [100, 2])
-def test_dense_search(spark, metric, shared):
+@pytest.mark.parametrize("block", [100, 2])
+def test_dense_search(spark, metric, block):
     rng = np.random.default_rng(0)
     vectors = rng.normal(size=(90, 8)).round(2)
     vectors[60:] = vectors[:30]  # exact copies: the lower id comes first
     corpus = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "i int, v array<double>").repartition(5)
     queries = spark.createDataFrame([(j, [float(x) for x in vectors[j] + 0.01]) for j in range(7)], "q int, qv array<double>")
     got = {}
-    for r in retrieval.dense_search(corpus, "i", "v", queries, "q", "qv", 4, metric, max_shared_queries=shared).orderBy("q", "rank").collect():
+    for r in retrieval.dense_search(corpus, "i", "v", queries, "q", "qv", 4, metric, block=block).orderBy("q", "rank").collect():
         got.setdefault(r["q"], []).append(r["i"])
     for j in range(7):
         q = vectors[j] + 0.01
