@@ -119,7 +119,7 @@ def _search(ids: list, items: list[np.ndarray], masks: tuple[str, ...], penalty:
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, need: int = 16,
+def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, need: int = 13,
                  share: float = 0.8, penalty: int = 3, min_item_words: int = 5, block_words: int = 1_000_000) -> DataFrame:
     """One row per (document, item) whose best stretch has ``need`` equal tokens, or ``share`` of a shorter item."""
     words = hashed(plain_words(text_of()))

@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton over folded text.
 
 Folding lower-cases, removes accents and invisible characters, maps look-alike letters to
-Latin ones and undoes digit substitutions inside words. The lexicon (words, and stems that
+Latin ones and undoes digit substitutions inside words; l and i, both of which 1 may stand
+for, become one letter. The lexicon (words, and stems that
 several words share) and its weights come from labelled documents: the log-odds of a term
 between toxic and other documents. Exception phrases are two-word phrases around a hit that
 only occur in clean documents; a hit inside one does not count. The weight of a document, by
@@ -51,12 +52,15 @@ def fold(text: str) -> str:
         text = _MARKS.sub("", unicodedata.normalize("NFKD", text)).translate(_LETTERS)
     if _HAS_DIGIT.search(text):
         text = _MIXED.sub(lambda m: m[0] if m[0].isdigit() else m[0].translate(_DIGITS), text)
-    return " " + " ".join(_WORDS.findall(text)) + " "
+    return " " + " ".join(_WORDS.findall(text.replace("l", "i"))) + " "
 
 
 @dataclass
 class Lexicon:
-    """``terms``: " word " or " stem" -> weight; ``exceptions``: " two words "; ``curve``: logistic coefficients."""
+    """``terms``: " word " or " stem" -> weight; ``exceptions``: " two words "; ``curve``: logistic coefficients.
+
+    Terms and phrases are lower-case; l and i count as one letter in them too.
+    """
     terms: dict[str, float] = field(default_factory=dict)
     exceptions: tuple[str, ...] = ()
     curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
@@ -64,9 +68,9 @@ class Lexicon:
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
         for phrase in self.exceptions:
-            found.add_word(phrase, (len(phrase), None))
+            found.add_word(phrase.replace("l", "i"), (len(phrase), None))
         for term, weight in self.terms.items():
-            found.add_word(term, (len(term), weight))
+            found.add_word(term.replace("l", "i"), (len(term), weight))
         if len(found):
             found.make_automaton()
         return found
