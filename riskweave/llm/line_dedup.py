@@ -59,11 +59,12 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col
     run = Window.partitionBy(*order).orderBy(F.desc("_id"), "_pos")
     streamed = lines.repartitionByRange(*order).select(
         "_h1", "_h2", "_id", F.lag("_id").over(run).alias("_before"))
-    shared = (
+    # Stored, so that both sides of the join are shuffled for it and a hot line can be split.
+    shared = store(
         streamed.groupBy("_h1", "_h2")
         .agg(F.sum(F.when(F.col("_before").isNull() | (F.col("_before") != F.col("_id")), 1).otherwise(0)).alias("_docs"),
              F.max("_id").alias("_top"))
-        .where(F.col("_docs") >= min_docs).select("_h1", "_h2", "_top"))
+        .where(F.col("_docs") >= min_docs).select("_h1", "_h2", "_top"), "shared")
     dropped = lines.join(shared, ["_h1", "_h2"]).where(F.col("_id") != F.col("_top"))
     return dropped.groupBy("_id", "_row").agg(F.collect_set("_pos").alias("_p")).select(
         "_id", "_row", let(F.sort_array("_p"), _runs).alias("dropped"))
