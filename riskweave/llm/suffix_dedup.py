@@ -145,11 +145,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW)
     side = _side(docs)
     parsed = side.select("_id", "_row", F.col("_text").cast("binary").alias("_text")).mapInArrow(_parse(length, window), PHRASES)
     entries = parsed.groupBy("head", "entry").count()
-    heads = entries.groupBy("head").agg(F.sum("count").alias("phrases"), F.count(F.lit(1)).alias("entries")).where("phrases > 1")
-    found = store(parsed.join(heads.select("head", "entries"), "head"), "phrases")
+    # Counts are stored before they meet the rows again: both sides of such a join are then
+    # shuffled for it, and a hot phrase can be split.
+    heads = store(entries.groupBy("head").agg(
+        F.sum("count").alias("phrases"), F.count(F.lit(1)).alias("entries")).where("phrases > 1").select("head", "entries"), "heads")
+    found = store(parsed.join(heads, "head"), "phrases")
     mixed = found.where("entries > 1")
-    by_entry = mixed.groupBy("head", "entry").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "_row", "first")).alias("chosen"))
+    by_entry = store(mixed.groupBy("head", "entry").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "_row", "first")).alias("chosen")), "entries")
     mixed = store(mixed.join(by_entry, ["head", "entry"]).select(
         "head", "_id", "_row", "first", "last", "anchor", (F.col("n") == 1).alias("once"),
         (F.col("chosen") == F.struct("_id", "_row", "first")).alias("named")), "mixed")
@@ -160,7 +163,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW)
         .mapInArrow(_cut_phrases(length), CUT), "cut")
     strings = store(_named_strings(cut, length, min(STEP, length - window)), "strings")
     same = ["head", "back", "name"]
-    twice = strings.groupBy(*same).count().where("count > 1").select(*same)
+    twice = store(strings.groupBy(*same).count().where("count > 1").select(*same), "twice")
     whole = found.where("entries = 1").select("_id", "_row", "first", (F.col("last") + length).alias("end"))
     whole = whole.unionByName(mixed.where("NOT once").select("_id", "_row", "first", (F.col("last") + length).alias("end")))
     single = strings.where("once").join(twice, same).select("_id", "_row", F.col("at").alias("first"), (F.col("at") + length).alias("end"))
@@ -183,7 +186,8 @@ def _named_strings(cut: DataFrame, length: int, step: int) -> DataFrame:
     rough = cut.select(*phrase, "head", "anchor", "bytes", F.explode(classes).alias("class")).select(
         *phrase, "head", "class", part(F.col("anchor") - F.col("class") * step, length - step + 1).alias("shared"))
     key = ["head", "class", "shared"]
-    alive = rough.join(rough.groupBy(*key).count().where("count > 1").select(*key), key).groupBy(*phrase).agg(F.collect_list("class").alias("classes"))
+    twice = store(rough.groupBy(*key).count().where("count > 1").select(*key), "classes")
+    alive = rough.join(twice, key).groupBy(*phrase).agg(F.collect_list("class").alias("classes"))
     starts = F.filter(F.sequence("first", "last"), lambda i: F.array_contains(
         F.col("classes"), F.floor((F.col("anchor") - i) / step).cast("int")))
     return cut.join(alive, phrase).select("head", "anchor", "bytes", *phrase, "once", F.explode(starts).alias("at")).select(
