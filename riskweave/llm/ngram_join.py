@@ -160,7 +160,8 @@ def _units(keyed: DataFrame, unit: int) -> DataFrame:
     side 0: any two members are a pair; 1 and 2: only pairs across.
     """
     met = keyed.select("_text", F.posexplode("keys").alias("tree", "key"))
-    sizes = met.groupBy("tree", "key").count().where("count > 1")
+    # Stored, so that both sides of the join are shuffled for it and a hot bucket can be split.
+    sizes = store(met.groupBy("tree", "key").count().where("count > 1"), "sizes")
     met = met.join(sizes, ["tree", "key"])
     small = (
         met.where(F.col("count") <= unit).groupBy("tree", "key").agg(F.sort_array(F.collect_list("_text")).alias("members"))
@@ -227,7 +228,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, target:
         labels.select(F.col("node").alias("_text"), "label"), "_text", "left").select(
         "_text", "first_id", "copies", "links", F.coalesce("label", "_text").alias("group_class"))
     grouped = store(grouped, "grouped")
-    heads = grouped.groupBy("group_class").agg(F.min("first_id").alias("class_id"))
+    heads = store(grouped.groupBy("group_class").agg(F.min("first_id").alias("class_id")), "heads")
     by_text = grouped.join(heads, "group_class").select(
         "_text", "class_id", "group_class", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     worded = signed.select("_id", "_text").join(by_text, "_text").select(
