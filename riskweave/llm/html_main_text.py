@@ -136,10 +136,12 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 
 def fitted_weights(pages: DataFrame, sample: int = 400, longest: int = 100_000) -> dict[str, float]:
     """Weights from at most ``sample`` marked pages of at most ``longest`` characters, chosen by a hash of their key."""
-    chosen = (
-        pages.where(F.col("html").rlike(MARKED) & (F.length("html") <= longest)).select("page_id", "html")
-        .orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample))
-    return train([r[0] for r in chosen.select("html").collect()])
+    marked = pages.where(F.col("html").rlike(MARKED) & (F.length("html") <= longest)).select(
+        F.xxhash64("page_id").alias("_order"), F.xxhash64("html").alias("_page"), "html")
+    # Keys first: a task then sends its few candidates without their pages.
+    chosen = marked.select("_order", "_page").orderBy("_order", "_page").limit(sample)
+    rows = marked.join(F.broadcast(chosen.distinct()), ["_order", "_page"]).select("html").limit(sample)
+    return train(sorted(r[0] for r in rows.collect()))
 
 
 def extract(pages: DataFrame, weights: dict[str, float] | None = None, column: str = "html") -> DataFrame:
