@@ -5,7 +5,7 @@ negative; one linear scan finds the contiguous region with the highest sum. The
 are trained here with a perceptron on a bounded sample of pages that mark their own
 content with one ``article`` or ``main`` element: the features of the marked region are
 rewarded, those of the region found are punished, and the signs are kept.
-Text of scripts, styles, menus, forms, adverts, comments and the like counts for nothing.
+Scripts, styles, menus, forms, adverts, comments and the like count for nothing, tags included.
 
 Defined cases: null or empty html gives an empty text; unclosed elements end with the page;
 a page without a positive region gives an empty text; without pages that mark their content
@@ -54,10 +54,10 @@ def parse(page: str) -> tuple[list[tuple[str, int, str, bool]], tuple[int, int]
     for m in _TOKEN.finditer(page):
         name = (m[3] or "").lower()
         if name:
-            closing = m[2] == "/"
+            closing, skipped = m[2] == "/", bool(outside)
             if outside:
                 if name in ("article", "main"):
-                    outside = ""  # an element that was never closed
+                    outside, skipped = "", False  # an element that was never closed
                 elif name == outside:
                     depth += -1 if closing else 1
                     if not depth:
@@ -73,7 +73,7 @@ def parse(page: str) -> tuple[list[tuple[str, int, str, bool]], tuple[int, int]
                     begun = None
                 elif not closing and begun is None:
                     begun = len(tokens) + 1
-            tokens.append((name, 1, "", name in _BLOCKS))
+            tokens.append((name, 0 if outside or skipped else 1, "", name in _BLOCKS))
         elif m[1] or m[0].startswith("<!") or m[0].startswith("<?"):
             tokens.append(("other", 0, "", False))
         elif not outside:
