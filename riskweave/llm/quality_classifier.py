@@ -131,11 +131,13 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, w_cuts = lists(batch.column(len(kept)))
-            shapes, s_cuts = lists(batch.column(len(kept) + 1))
-            total = np.full(batch.num_rows, float(weights[-1]))
-            for doc, slot, value in features(words.view(np.uint64), w_cuts, shapes.view(np.uint64), s_cuts, bits):
-                total += np.bincount(doc, weights=weights[slot] * value, minlength=batch.num_rows)
-            out = pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], out], names=schema.names)
+            for low in range(0, batch.num_rows, 512):  # the arrays below are several times a slice
+                part = batch.slice(low, 512)
+                words, w_cuts = lists(part.column(len(kept)))
+                shapes, s_cuts = lists(part.column(len(kept) + 1))
+                total = np.full(part.num_rows, float(weights[-1]))
+                for doc, slot, value in features(words.view(np.uint64), w_cuts, shapes.view(np.uint64), s_cuts, bits):
+                    total += np.bincount(doc, weights=weights[slot] * value, minlength=part.num_rows)
+                out = pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-2], out], names=schema.names)
     return side.mapInArrow(run, schema)
