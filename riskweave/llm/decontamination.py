@@ -100,7 +100,7 @@ def _hits(tokens: np.ndarray, offsets: np.ndarray, index: list) -> np.ndarray:
 def _search(ids: list, items: list[np.ndarray], masks: tuple[str, ...], penalty: int, need: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(items, masks)
-        for batch in batches:
+        for batch in (whole.slice(low, 512) for whole in batches for low in range(0, whole.num_rows, 512)):
             tokens, offsets = lists(batch.column(1))
             tokens = tokens.view(np.uint64)
             docs = batch.column(0).to_pylist()
