@@ -1,6 +1,7 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -70,6 +71,25 @@ def test_decontamination_finds_every_shared_passage(spark):
     assert want <= got and len(got) <= len(want) + 3
 
 
+def test_whole_copies_of_short_items_are_found_wherever_words_differ(spark):
+    """Items of 5 to 20 words with one to three words changed at every choice of places."""
+    items = {n: [f"item{n}word{k}" for k in range(n)] for n in (*range(5, 21), 40)}
+    rows, want = [], set()
+    for n, words in items.items():
+        spread = [range(0, n, 5)] if n == 40 else [p for k in (1, 2, 3) for p in itertools.combinations(range(n), k)]
+        for places in spread:
+            copy = [w if k not in places else "other" for k, w in enumerate(words)]
+            if 5 * (n - len(places)) >= 4 * n:
+                want.add((len(rows), n))
+            rows.append((len(rows), " ".join(["before", "it", *copy, "after", "it"])))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    found = decontamination.contaminated(documents(spark, rows).repartition(8), bench).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert want <= got
+    assert all(r.item_id > 16 for r in found if (r.doc_id, r.item_id) not in want)  # thirteen equal words of a longer item
+    assert all(r.n_matched <= r.length <= r.n_item_words and r.doc_start == r.item_start + 2 for r in found)
+
+
 # 2 and 10: held-out figures
 
 LABELLED = DATA.replace("0.001", "0.1")
