@@ -10,9 +10,9 @@ A copy of a whole item counts from ``share`` equal tokens on, wherever the other
 at most s others, one of s + 1 equal blocks of the item is untouched, so the blocks are
 seeds too (two to four words long at 0.8) and no such copy is missed.
 
-The benchmark is the stated query set. It is met in blocks of at most ``block_words``
-tokens; a block of that bounded size travels to the tasks, documents never move. Work
-for any benchmark size is the same plan once per block.
+The benchmark is packed where it lies into blocks of about ``block_words`` tokens at most,
+the documents into slices, and every block meets every slice in some task. Nothing passes
+through this module's driver code and the plan is the same for any benchmark size.
 
 Defined cases: null texts have no words; items with fewer than ``min_item_words`` words
 are no evidence and are not searched; items shorter than the masks are searched by their
@@ -23,7 +23,6 @@ with a null id give rows with a null id; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +33,8 @@ from riskweave.llm.common import hashed, lists, plain_words, text_of
 
 MASKS = ("11111111", "11011011011", "1110010111001", "10101100101101")
 SCHEMA = "doc_id long, item_id long, doc_start long, item_start long, length long, n_matched long, n_item_words long"
+PACKED = {side: f"{side}_ids {side}_offsets {side}_words" for side in ("item", "doc")}
+KINDS = "{} array<long>, {} array<long>, {} binary"
 _FILTER_BITS = 22
 
 
@@ -133,17 +134,47 @@ def _hits(tokens: np.ndarray, offsets: np.ndarray, index: list, flat: np.ndarray
     return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 4), dtype=np.int64)
 
 
-def _search(ids: list, items: list[np.ndarray], masks: tuple[str, ...], penalty: int, need: int, share: float):
+def _pack(prefix: str, most_rows: int, most_words: int):
+    """Rows (id, words) to rows (ids, offsets, bytes of the words), bounded by rows and words; one row may be longer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(items, masks, share)
-        flat, bounds = np.concatenate(items), np.concatenate(([0], np.cumsum([len(x) for x in items])))
-        least = np.array([min(need, least_equal(len(x), share)) for x in items])
-        for batch in (whole.slice(low, 512) for whole in batches for low in range(0, whole.num_rows, 512)):
-            tokens, offsets = lists(batch.column(1))
-            tokens = tokens.view(np.uint64)
-            docs = batch.column(0).to_pylist()
+        for batch in batches:
+            words, offsets = lists(batch.column(1))
+            low = 0
+            while low < batch.num_rows:
+                high = int(np.searchsorted(offsets, offsets[low] + most_words, side="right")) - 1
+                high = min(max(high, low + 1), low + most_rows, batch.num_rows)
+                part = words[offsets[low]:offsets[high]]
+                columns = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (
+                    batch.column(0).slice(low, high - low), pa.array(offsets[low:high + 1] - offsets[low]))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([part.tobytes()], pa.binary())], names=PACKED[prefix].split())
+                low = high
+    return run
+
+
+class _Block:
+    """A block of test items and its index."""
+
+    def __init__(self, ids: list, bounds: np.ndarray, words: bytes, masks: tuple[str, ...], need: int, share: float):
+        self.ids, self.bounds, self.flat = ids, bounds, np.frombuffer(words, dtype=np.uint64)
+        self.items = [self.flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        self.index = _index(self.items, masks, share)
+        self.least = np.array([min(need, least_equal(len(x), share)) for x in self.items])
+
+
+def _search(masks: tuple[str, ...], penalty: int, need: int, share: float, block_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple, _Block] = {}  # as many blocks as hold ``block_words`` words, one at least
+        for row in (one for whole in batches for i in range(whole.num_rows) for one in whole.slice(i, 1).to_pylist()):
+            name = tuple(row["item_ids"]), tuple(row["item_offsets"]), row["item_words"]
+            if name not in known:
+                while known and sum(len(x.flat) for x in known.values()) + len(name[2]) // 8 > block_words:
+                    known.pop(next(iter(known)))
+                known[name] = _Block(row["item_ids"], np.array(row["item_offsets"]), name[2], masks, need, share)
+            block, docs = known[name], row["doc_ids"]
+            ids, items, least = block.ids, block.items, block.least
+            tokens, offsets = np.frombuffer(row["doc_words"], dtype=np.uint64), np.array(row["doc_offsets"])
             best: dict[tuple[int, int], tuple] = {}
-            for doc, item, diagonal, equal in _hits(tokens, offsets, index, flat, bounds, least).tolist():
+            for doc, item, diagonal, equal in _hits(tokens, offsets, block.index, block.flat, block.bounds, least).tolist():
                 text, want = tokens[offsets[doc]:offsets[doc + 1]], items[item]
                 start, end = max(0, diagonal), min(len(text), diagonal + len(want))
                 same = text[start:end] == want[start - diagonal:end - diagonal]
@@ -165,24 +196,8 @@ def _search(ids: list, items: list[np.ndarray], masks: tuple[str, ...], penalty:
 def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, need: int = 13,
                  share: float = 0.8, penalty: int = 3, min_item_words: int = 5, block_words: int = 1_000_000) -> DataFrame:
     """One row per (document, item) with ``need`` equal tokens in the best stretch, or ``share`` of the item's tokens equal."""
-    words = hashed(plain_words(text_of()))
-    side = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"))
-    parts, ids, items, size = [], [], [], 0
-
-    def flush() -> None:
-        nonlocal ids, items, size
-        if items:
-            parts.append(side.mapInArrow(_search(ids, items, masks, penalty, need, share), SCHEMA))
-        ids, items, size = [], [], 0
-
-    for row in benchmark.select(F.col("item_id").cast("long"), words.alias("words")).toLocalIterator():
-        if len(row[1]) >= max(1, min_item_words):
-            ids.append(row[0])
-            items.append(np.array(row[1], dtype=np.int64).view(np.uint64))
-            size += len(row[1])
-            if size >= block_words:
-                flush()
-    flush()
-    if not parts:
-        return docs.sparkSession.createDataFrame([], SCHEMA)
-    return reduce(DataFrame.unionByName, parts)
+    words = hashed(plain_words(text_of())).alias("words")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words).where(F.size("words") >= max(1, min_item_words))
+    packed = items.mapInArrow(_pack("item", block_words, block_words), KINDS.format(*PACKED["item"].split()))
+    slices = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words).mapInArrow(_pack("doc", 512, 500_000), KINDS.format(*PACKED["doc"].split()))
+    return packed.crossJoin(slices).mapInArrow(_search(masks, penalty, need, share, block_words), SCHEMA)

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,47 +119,57 @@ def dense_search(
     """Exact nearest vectors as (query, key, score, rank).
 
     ``metric``: "cosine" (best is highest) or "l2", the squared distance (best is
-    lowest). The queries are the asked set: they come in blocks of ``block``, each of
-    which travels to the tasks that hold the corpus, multiplies whole Arrow batches and
-    leaves its own k best per query. The corpus stays where it is, and any number of
-    queries takes the same path, one pass over the corpus per block. The threshold
-    applies after the top k, as a limit on what is shown.
+    lowest). Queries are packed where they lie into blocks of at most ``block``, the corpus
+    into slices, and every block meets every slice in some task, which multiplies the two
+    and leaves the k best per query. Nothing passes through the driver and the plan is the
+    same for any number of queries. The threshold applies after the top k, as a limit on
+    what is shown. Null vectors are left out on both sides.
     """
-    asked = queries.select(F.col(query), F.col(query_vector).cast("array<double>").alias("_q"))
-    kinds = {f.name: f.dataType.simpleString() for f in [*corpus.schema.fields, *asked.schema.fields]}
-    schema = f"`{query}` {kinds[query]}, `{key}` {kinds[key]}, score double"
-    side = corpus.select(key, vector).where(F.col(vector).isNotNull())
-    rows, parts = asked.toLocalIterator(), []
-    while taken := list(islice(rows, block)):
-        names, matrix = [r[0] for r in taken], np.array([r[1] for r in taken], dtype="float64")
-        parts.append(side.mapInPandas(_block_scores(names, matrix, query, key, vector, k, metric), schema))
-    scored = reduce(DataFrame.unionByName, parts) if parts else corpus.sparkSession.createDataFrame([], schema)
+    sides = [(queries, query, query_vector, "_names", "_q", block), (corpus, key, vector, "_keys", "_v", 2048)]
+    (asked, name_kind), (side, key_kind) = (_packed(*x) for x in sides)
+    schema = f"`{query}` {name_kind}, `{key}` {key_kind}, score double"
+    scored = asked.crossJoin(side).mapInPandas(_block_scores(query, key, k, metric), schema)
     best = top_k(scored, query, [F.asc("score") if metric == "l2" else F.desc("score"), F.asc(key)], k)
     return best if threshold is None else best.where(F.col("score") >= threshold)
 
 
-def _block_scores(names: list, queries: np.ndarray, query: str, key: str, vector: str, k: int, metric: str, rows: int = 2048):
-    sign, labels = (1.0 if metric == "l2" else -1.0), pd.Series(names)
+def _packed(df: DataFrame, key: str, vector: str, names: str, matrix: str, rows: int) -> tuple[DataFrame, str]:
+    """(keys, bytes of the vectors) for every ``rows`` rows of a partition, and the type of the keys."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (whole.slice(low, rows) for whole in batches for low in range(0, whole.num_rows, rows)):
+            values = np.array(part.column(1).to_pylist(), dtype="float64")
+            keys = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0))
+            yield pa.RecordBatch.from_arrays([keys, pa.array([values.tobytes()], pa.binary())], names=[names, matrix])
 
-    def best(pool: pd.DataFrame) -> pd.DataFrame:
-        ranked = pool.assign(_o=pool["score"] * sign).sort_values(["_i", "_o", key], kind="stable")
-        return ranked.groupby("_i", sort=False).head(k).drop(columns="_o")
+    side = df.select(F.col(key), F.col(vector).cast("array<double>").alias("_x")).where("_x IS NOT NULL")
+    kind = side.schema[0].dataType.simpleString()
+    return side.mapInArrow(run, f"{names} array<{kind}>, {matrix} binary"), kind
+
+
+def _block_scores(query: str, key: str, k: int, metric: str, held: int = 200_000):
+    sign = 1.0 if metric == "l2" else -1.0
+
+    def best(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        pool = pd.concat(parts, ignore_index=True)
+        ranked = pool.assign(_o=pool["score"] * sign).sort_values([query, "_o", key], kind="stable")
+        return ranked.groupby(query, sort=False, dropna=False).head(k).drop(columns="_o")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pool = None
-        for batch in batches:
-            for low in range(0, len(batch), rows):
-                part = batch.iloc[low:low + rows]
-                scores = np.round(_scores(queries, np.array(part[vector].tolist(), dtype="float64"), metric), PLACES)
-                ordered = scores * sign
-                # Everything as good as the k-th best, so ties are settled by key below.
-                bound = np.partition(ordered, k - 1, axis=1)[:, k - 1:k] if ordered.shape[1] > k else np.inf
-                i, j = np.nonzero(ordered <= bound)
-                found = pd.DataFrame({"_i": i, key: part[key].to_numpy()[j], "score": scores[i, j]})
-                pool = best(found if pool is None else pd.concat([pool, found], ignore_index=True))
-        if pool is not None:
-            pool[query] = labels.to_numpy()[pool["_i"].to_numpy()]
-            yield pool[[query, key, "score"]]
+        parts: list[pd.DataFrame] = []
+        for names, asked, keys, vectors in (row for batch in batches for row in batch[["_names", "_q", "_keys", "_v"]].itertuples(index=False)):
+            pair = [np.frombuffer(x, dtype="float64").reshape(len(n), -1) for n, x in ((names, asked), (keys, vectors))]
+            scores = np.round(_scores(*pair, metric), PLACES)
+            ordered = scores * sign
+            # Everything as good as the k-th best, so ties are settled by key below.
+            bound = np.partition(ordered, k - 1, axis=1)[:, k - 1:k] if ordered.shape[1] > k else np.inf
+            i, j = np.nonzero(ordered <= bound)
+            parts.append(pd.DataFrame({query: np.asarray(names)[i], key: np.asarray(keys)[j], "score": scores[i, j]}))
+            if sum(map(len, parts)) > held:
+                parts = [best(parts)]
+                if len(parts[0]) > held // 2:  # many queries: these are handed on and others take their place
+                    yield parts.pop()
+        if parts:
+            yield best(parts)
     return run
 
 
