@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm import queries as Q
 from riskweave.llm.common import store, table
-from riskweave.llm.decontamination import contaminated
+from riskweave.llm.decontamination import drop_contaminated
 from riskweave.llm.line_dedup import line_dedup
 from riskweave.llm.ngram_join import drop_near_duplicates
 from riskweave.llm.quality_rules import quality_rules
@@ -39,9 +39,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
-    hits = store(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "hits")
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["doc_id"]), "left_anti").select(COLUMNS)
+    """Documents that hold a benchmark passage go; rows that only share their id stay."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

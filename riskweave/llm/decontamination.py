@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import hashed, lists, plain_words, text_of
+from riskweave.llm.common import NULL_ID, hashed, lists, plain_words, store, text_of
 
 MASKS = ("11111111", "11011011011", "1110010111001", "10101100101101")
 SCHEMA = "doc_id long, item_id long, doc_start long, item_start long, length long, n_matched long, n_item_words long"
-PACKED = {side: f"{side}_ids {side}_offsets {side}_words" for side in ("item", "doc")}
-KINDS = "{} array<long>, {} array<long>, {} binary"
+KEYED = SCHEMA + ", _row long"
+PACKED = {"item": ["item_ids", "item_offsets", "item_words"], "doc": ["doc_ids", "doc_offsets", "doc_rows", "doc_words"]}
 _FILTER_BITS = 22
 
 
@@ -134,8 +134,8 @@ def _hits(tokens: np.ndarray, offsets: np.ndarray, index: list, flat: np.ndarray
     return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 4), dtype=np.int64)
 
 
-def _pack(prefix: str, most_rows: int, most_words: int):
-    """Rows (id, words) to rows (ids, offsets, bytes of the words), bounded by rows and words; one row may be longer."""
+def _packed(df: DataFrame, side: str, most_rows: int, most_words: int) -> DataFrame:
+    """Rows (id, words, more) to rows (ids, offsets, more, bytes of the words), bounded by rows and words; one row may be longer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, offsets = lists(batch.column(1))
@@ -145,10 +145,12 @@ def _pack(prefix: str, most_rows: int, most_words: int):
                 high = min(max(high, low + 1), low + most_rows, batch.num_rows)
                 part = words[offsets[low]:offsets[high]]
                 columns = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (
-                    batch.column(0).slice(low, high - low), pa.array(offsets[low:high + 1] - offsets[low]))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([part.tobytes()], pa.binary())], names=PACKED[prefix].split())
+                    batch.column(0).slice(low, high - low), pa.array(offsets[low:high + 1] - offsets[low]),
+                    *[more.slice(low, high - low) for more in batch.columns[2:]])]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([part.tobytes()], pa.binary())], names=PACKED[side])
                 low = high
-    return run
+
+    return df.mapInArrow(run, ", ".join(f"{x} {'binary' if x == PACKED[side][-1] else 'array<long>'}" for x in PACKED[side]))
 
 
 class _Block:
@@ -170,7 +172,7 @@ def _search(masks: tuple[str, ...], penalty: int, need: int, share: float, block
                 while known and sum(len(x.flat) for x in known.values()) + len(name[2]) // 8 > block_words:
                     known.pop(next(iter(known)))
                 known[name] = _Block(row["item_ids"], np.array(row["item_offsets"]), name[2], masks, need, share)
-            block, docs = known[name], row["doc_ids"]
+            block, docs, keys = known[name], row["doc_ids"], row["doc_rows"]
             ids, items, least = block.ids, block.items, block.least
             tokens, offsets = np.frombuffer(row["doc_words"], dtype=np.uint64), np.array(row["doc_offsets"])
             best: dict[tuple[int, int], tuple] = {}
@@ -186,18 +188,32 @@ def _search(masks: tuple[str, ...], penalty: int, need: int, share: float, block
                     a, b, matched = int(places[0]), int(places[-1]) + 1, equal
                 row = (matched, -(start + a), start + a - diagonal, b - a)
                 best[doc, item] = max(best.get((doc, item), row), row)
-            rows = [(docs[d], ids[i], -r[1], r[2], r[3], r[0], len(items[i])) for (d, i), r in sorted(best.items())]
+            rows = [(docs[d], ids[i], -r[1], r[2], r[3], r[0], len(items[i]), keys[d]) for (d, i), r in sorted(best.items())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=pa.int64()) for c in (zip(*rows) if rows else [[]] * 7)],
-                names=[x.split()[0] for x in SCHEMA.split(", ")])
+                [pa.array(c, type=pa.int64()) for c in (zip(*rows) if rows else [[]] * 8)],
+                names=[x.split()[0] for x in KEYED.split(", ")])
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, need: int = 13,
-                 share: float = 0.8, penalty: int = 3, min_item_words: int = 5, block_words: int = 1_000_000) -> DataFrame:
-    """One row per (document, item) with ``need`` equal tokens in the best stretch, or ``share`` of the item's tokens equal."""
+def _found(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, need: int = 13, share: float = 0.8,
+           penalty: int = 3, min_item_words: int = 5, block_words: int = 1_000_000) -> DataFrame:
     words = hashed(plain_words(text_of())).alias("words")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words).where(F.size("words") >= max(1, min_item_words))
-    packed = items.mapInArrow(_pack("item", block_words, block_words), KINDS.format(*PACKED["item"].split()))
-    slices = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words).mapInArrow(_pack("doc", 512, 500_000), KINDS.format(*PACKED["doc"].split()))
-    return packed.crossJoin(slices).mapInArrow(_search(masks, penalty, need, share, block_words), SCHEMA)
+    side = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words, F.xxhash64(text_of()).alias("_row"))
+    return _packed(items, "item", block_words, block_words).crossJoin(_packed(side, "doc", 512, 500_000)).mapInArrow(
+        _search(masks, penalty, need, share, block_words), KEYED)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    """One row per (document, item) with ``need`` equal tokens in the best stretch, or ``share`` of the item's tokens equal."""
+    return _found(docs, benchmark, **settings).drop("_row")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    """Documents without a hit. A row is known by its id and a hash of its text, as in line dedup: of rows
+    with one id, or with a null id, those that hold a passage go and the others stay; equal rows share their fate.
+    """
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), "_row"]
+    hits = store(_found(docs, benchmark, **settings).select(*key).distinct(), "hits")
+    return docs.select("*", key[0], F.xxhash64(text_of()).alias("_row")).join(hits, ["_id", "_row"], "left_anti").select(
+        *[F.col(f"`{c}`") for c in docs.columns])

@@ -95,3 +95,14 @@ def test_pipeline_stages_on_edges(spark, edge, none, tmp_path):
             if number < 4:
                 assert docs.columns == corpus_pipeline.COLUMNS, name
         assert (docs.count() == 0) == (start is none)
+
+
+def test_pipeline_drops_only_rows_that_hold_a_passage(spark, tmp_path):
+    item = "seven plain words and four more make this item"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    leak = f"before it {item} after it"
+    rows = [(None, leak), (None, "clean one"), (None, None), (4, leak), (4, "clean two"), (4, leak), (5, "clean one"), (-2 ** 63, "clean three")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert left.columns == corpus_pipeline.COLUMNS
+    assert sorted((str(r.doc_id), str(r.text)) for r in left.collect()) == sorted((str(i), str(t)) for i, t in rows if t != leak)
