@@ -1,7 +1,10 @@
 """Licence scan by sentence rules, as one projection of built-in functions.
 
-A text is cut into sentences, sentences are normalised to lower-case words, and a
-sentence that is in the table becomes its identifier. The identifiers of a document in
+A text is cut at stops, blank lines and line ends and normalised to lower-case words. A
+sentence of the table that begins and ends at cuts becomes its identifier, and may run over
+line ends between: licences are usually wrapped. Signs before a line (``#``, ``//``, ``*``)
+and the comment words ``dnl`` and ``rem`` do not count; of sentences that begin at one place
+the longest is taken. The identifiers of a document in
 order form a sequence, which is matched against ordered rules: longer rules come first,
 matched identifiers are used up, and a rule of one sentence is the fall-back.
 
@@ -17,6 +20,9 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.common import let, text_of
 
+# Signs that mark where a sentence ends, or may end, in a normalised text.
+CUT, WRAP = "\x01", "\x02"
+
 # Sentences of public licences, as published.
 SENTENCES = {
     "mit-notice": "Released under the MIT License.",
@@ -117,6 +123,20 @@ def rule_pattern() -> tuple[str, dict[str, str]]:
     return "|".join(x.replace(".", "[.]") for x in ordered), licences
 
 
+def sentence_pattern(table: dict[str, str]) -> str:
+    """Sentences between two cuts, longest first; a blank may be a line end."""
+    ordered = sorted(table, key=len, reverse=True)
+    return f"(?<=[{CUT}{WRAP}])(?:{'|'.join(w.replace(' ', f'[ {WRAP}]') for w in ordered)})(?=[{CUT}{WRAP}])"
+
+
+def _marked(text: Column) -> Column:
+    """Lower-case words with ``CUT`` for stops and blank lines and ``WRAP`` for other line ends, no blanks beside them."""
+    bare = F.regexp_replace(F.translate(F.lower(text), CUT + WRAP, "''"), r"(?dm)^(?:[^\p{L}\p{N}\n]+|(?:dnl|rem)(?=[\x20\t]))+", "")
+    cut = F.translate(F.regexp_replace(bare, r"[.;:!?][\x20\x09-\x0D]+|\n\n+", CUT), "\n", WRAP)
+    words = F.regexp_replace(F.concat(F.lit(CUT), cut, F.lit(CUT)), rf"[^\p{{L}}\p{{N}}{CUT}{WRAP}]+", " ")
+    return F.regexp_replace(words, f" ?([{CUT}{WRAP}]) ?", "$1")
+
+
 def _mapped(value: Column, table: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[value]
 
@@ -124,10 +144,8 @@ def _mapped(value: Column, table: dict[str, str]) -> Column:
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents with ``sentences`` (identifiers in order), ``matches`` and ``licences`` (distinct, sorted)."""
     table, (pattern, names) = cut_table(), rule_pattern()
-    pieces = F.split(F.regexp_replace(text_of(text), r"([.;:!?])[\x20\x09-\x0D]+", "$1\n"), "\n")
-    words = F.transform(pieces, lambda s: F.trim(F.regexp_replace(F.lower(s), r"[^\p{L}\p{N}]+", " ")))
-    known = F.filter(words, lambda w: w.isin(*table))
-    identified = F.transform(known, lambda w: F.concat(F.lit("<"), _mapped(w, table), F.lit(">")))
+    known = F.regexp_extract_all(_marked(text_of(text)), F.lit(f"({sentence_pattern(table)})"))
+    identified = F.transform(known, lambda w: F.concat(F.lit("<"), _mapped(F.translate(w, WRAP, " "), table), F.lit(">")))
 
     def matched(ids: Column) -> Column:
         found = F.transform(F.regexp_extract_all(F.array_join(ids, ""), F.lit(f"({pattern})")), lambda m: _mapped(m, names))

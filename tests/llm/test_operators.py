@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -216,6 +217,21 @@ def test_licence_rules(spark):
         5: (["Apache-2.0"],) * 2, 6: ([], []), 7: (["MPL-2.0", "Unlicense"],) * 2}
 
 
+def test_wrapped_and_commented_licences(spark):
+    S = licences.SENTENCES
+    mit = ["The MIT License (MIT)", "", "Copyright (c) 2020 Somebody", "", *[x for k in ("mit-grant", "mit-condition", "as-is") for x in (*textwrap.wrap(S[k], 60), "")]]
+    bsd = [*textwrap.wrap(S["bsd-grant"], 50), "", *textwrap.wrap("1. " + S["bsd-source"], 50), *textwrap.wrap("2. " + S["bsd-binary"], 50)]
+    gnu = [*textwrap.wrap(S["gnu-free"], 40), "", *textwrap.wrap(S["gnu-hope"], 40)]
+    mpl = textwrap.wrap(S["mpl-2.0"] + " If a copy of it was not distributed, get one.", 30)
+    plain = {"MIT": mit, "BSD-2-Clause": bsd, "GPL-3.0-or-later": gnu, "MPL-2.0": mpl, "ISC": textwrap.wrap(S["isc-grant"], 70)}
+    rows = [(name, "\n".join(["int x", *[(before + x).rstrip() + after for x in lines], "", "code"]))
+            for name, lines in plain.items() for before, after in (("", ""), ("# ", ""), (" * ", ""), ("// ", "\r"), (";; ", ""), ("dnl ", ""), ("REM ", "\r"))]
+    rows += [("MIT", "A heading\nReleased under the MIT License.\nmore"), ("MIT", "no stop\nThe MIT License (MIT)\nno stop")]
+    rows += [("", "Released under\n\nthe MIT License."), ("", "It is not Released under\nthe MIT License."), ("", "Released under\nthe MIT License of old"), ("", "Released. under the MIT License.")]
+    got = licences.scan(documents(spark, [(i, text) for i, (_, text) in enumerate(rows)])).collect()
+    assert [(r.doc_id, r.matches) for r in sorted(got)] == [(i, [name] if name else []) for i, (name, _) in enumerate(rows)]
+
+
 # 7 line dedup
 
 def test_line_dedup_by_brute_force(spark):
