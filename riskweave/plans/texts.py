@@ -67,15 +67,9 @@ pair AS (SELECT item_id, doc_id, sum(weight * q) AS score FROM unit JOIN qunit U
 hit AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 10) DESC, doc_id) AS rank FROM pair WHERE score > 0 QUALIFY rank <= 5)"""
 
 
-_BUILT: dict[tuple[str, str], dict] = {}
-
-
 def _index(spark, d):
-    """The index of a folder, built once per application and shared by the queries on it."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _BUILT:
-        _BUILT[key] = retrieval.build_index(docs(spark, d), "doc_id", "text", scratch(spark, "index"))
-    return _BUILT[key]
+    """The index of a folder as it is now; every query call builds its own."""
+    return retrieval.build_index(docs(spark, d), "doc_id", "text", scratch(spark, "index"))
 
 
 @query("K5_tfidf_weights", _INDEX + " SELECT doc_id, term, round(weight, 8) AS weight FROM unit")

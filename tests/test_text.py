@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from riskweave.functions import text
 from riskweave.operators import documents, retrieval
 
@@ -172,3 +173,12 @@ def test_threshold_applies_after_top_k(spark):
     corpus = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1])], "i int, v array<double>")
     queries = spark.createDataFrame([(0, [1.0, 0.0])], "q int, qv array<double>")
     assert [r["i"] for r in retrieval.dense_search(corpus, "i", "v", queries, "q", "qv", 3, threshold=0.5).orderBy("rank").collect()] == [0, 2]
+
+
+@pytest.mark.parametrize("name", ["K5_tfidf_weights", "K7_tfidf_search"])
+def test_tfidf_queries_see_a_changed_corpus(spark, tmp_path, name):
+    spark.createDataFrame([(0, "red stone")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for docs in ([(1, "red stone"), (2, "blue")], [(7, "red leaf"), (8, "blue"), (9, "stone")]):
+        spark.createDataFrame(docs, "doc_id long, text string").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+        got = {r["doc_id"] for r in entry.queries()[name](spark, str(tmp_path)).collect()}
+        assert got == {i for i, text in docs if name.startswith("K5") or text != "blue"}
