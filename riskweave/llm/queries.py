@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import table
-from riskweave.llm import html_main_text, licences, quality_classifier, toxicity
+from riskweave.llm.common import store, table
+from riskweave.llm import byte_bpe, html_main_text, licences, quality_classifier, ranked_search, source_divergence, toxicity
 from riskweave.llm.decontamination import contaminated
 from riskweave.llm.line_dedup import line_dedup
 from riskweave.llm.ngram_join import near_duplicates
@@ -16,7 +16,7 @@ from riskweave.llm.packing import pack
 from riskweave.llm.quality_rules import quality_rules
 from riskweave.llm.suffix_dedup import remove_repeats
 
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, RANKS = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -85,6 +85,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ranks = tokenizer_path(RANKS)
+    ids = store(byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), "ids")
+    return byte_bpe.decode(ids, ranks).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = store(ranked_search.build_index(table(spark, sf_dir, "documents")), "index")
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -149,6 +166,42 @@ n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
 SELECT d AS doc_id, class_id, coalesce(n_links, 0) AS n_links FROM m LEFT JOIN n ON n.x = d
 """
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+t AS (SELECT id, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lc FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+f AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, lc FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT *, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p,
+  1 + 1000000000::HUGEINT * (lc + 2) // (sum(lc) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS q FROM f),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 10
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0),
+t AS (SELECT id, doc_id, len(ts) AS n, unnest(ts) AS term FROM d),
+f AS (SELECT id, doc_id, n, term, count(*) AS tf FROM t SEMI JOIN i USING (term) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM f, c GROUP BY term, n_docs),
+s AS (SELECT item_id, id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM f JOIN i USING (term) JOIN w USING (term), c GROUP BY item_id, id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 OP6_SQL = r"""
 WITH s AS (
   SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.;:!?])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), chr(10)) AS pieces FROM documents),
@@ -177,4 +230,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": OP5_SQL.replace("STOPS", "[" + ", ".join(f"'{w}'" for w in stops) + "]"),
         "op6_licences": OP6_SQL.replace("SENTENCES", _pairs(licences.cut_table())).replace("PATTERN", pattern).replace("RULES", _pairs(names)),
         "op7_line_dedup": OP7_SQL,
+        "op12_source_divergence": OP12_SQL,
+        "op13_ranked_search": OP13_SQL,
     }
