@@ -4,8 +4,8 @@
 terms and turns every document into its exact sparse vector. A term carries its lang, so one
 fit learns the vocabularies of all langs side by side, each by the documents of its own lang,
 without a job per lang. The vocabulary passes through the driver while it is fitted;
-therefore the kept (lang, term) pairs are first counted and, beyond ``fitted_terms``,
-dealt by hash into several fits of bounded size. Vocabularies of different fits have
+therefore the kept (lang, term) pairs of one part of the hashes are counted first and,
+where all of them may be beyond ``fitted_terms``, dealt by hash into several fits of bounded size. Vocabularies of different fits have
 no term in common and all sums add up, so their number changes no result.
 
 The vectors are summed per (lang, source) as sparse sums: inside a task over its batches,
@@ -38,15 +38,19 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import let, store
+from riskweave.llm.common import store
 from riskweave.session import scratch
 
-NOT_LETTERS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bytes of ASCII that are no letter become spaces, A-Z become a-z; all others are part of terms. 0xFF is in no UTF-8 text.
+_TERM_BYTES = bytes(b if b >= 0x80 else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
+_CUT, _ROWS = b"\xff", 512
 MIN_DOCS, LARGEST, SCALE, TOP = 10, 2 ** 31 - 1, 1_000_000_000, 10
-#: Bounds of the terms of one fit (of whole places that terms are hashed to), of the sums a task holds, of the sources of a block and of the terms of a bucket.
-FITTED_TERMS, PLACES, HELD_SUMS, BLOCK, BUCKET = 1_000_000, 1024, 1 << 20, 128, 1024
-SUMS = "lang string, source string, slot int, count long"
+#: Bounds of the terms of one fit, of the sums a task holds, of the sources of a block and of the terms of a bucket;
+#: one of SHARE terms is counted to foresee how many are kept.
+FITTED_TERMS, SHARE, HELD_SUMS, BLOCK, BUCKET = 1_000_000, 64, 1 << 21, 128, 1024
+TERMS = "group long, lang string, source string, terms array<string>"
+SUMS = "group long, slot int, count long"
 PARTIAL = "lang string, source string, item string, partial long, covered long"
 
 
@@ -54,88 +58,92 @@ def _name(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def _split_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, _ROWS):
+            part = batch.slice(low, _ROWS)
+            texts, sizes = [], np.zeros(part.num_rows + 1, dtype=np.int32)
+            for row, (lang, text) in enumerate(zip(part.column(1).to_pylist(), part.column(3).to_pylist())):
+                words = text.translate(_TERM_BYTES).split()
+                sizes[row + 1] = len(words)
+                if words:
+                    key = lang + b"\0"
+                    texts.append(key + (_CUT + key).join(words) + _CUT)
+            raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
+            cuts = np.flatnonzero(raw == _CUT[0])
+            ends = np.concatenate(([0], cuts - np.arange(len(cuts)))).astype(np.int32)
+            words = pa.StringArray.from_buffers(len(cuts), pa.py_buffer(ends.tobytes()), pa.py_buffer(np.delete(raw, cuts).tobytes()))
+            terms = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), words)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.string()), part.column(2), terms],
+                                             names=["group", "lang", "source", "terms"])
+
+
 def terms_of(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms): the terms of each row, with repeats, each behind its lang and a zero character."""
-    words = F.filter(F.split(F.translate(_name("text"), UPPER, LOWER), NOT_LETTERS), lambda w: w != "")
-    return docs.select(
-        _name("lang").alias("lang"), _name("source").alias("source"),
-        let(F.concat(_name("lang"), F.lit("\0")), lambda key: F.transform(words, lambda w: F.concat(key, w))).alias("terms"))
+    """(group, lang, source, terms): the terms of each row, with repeats, each behind its lang and a zero character."""
+    return docs.select(F.xxhash64(_name("lang"), _name("source")).alias("group"), _name("lang").cast("binary").alias("lang"), _name("source").alias("source"),
+                       _name("text").cast("binary").alias("text")).mapInArrow(_split_terms, TERMS)
 
 
 def _sparse_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the sparse vectors per (lang, source), in parts of at most about HELD_SUMS entries."""
-    groups: dict[tuple[str, str], int] = {}
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    """Sums of the sparse vectors per group, in parts of at most about HELD_SUMS entries."""
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     held = 0
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([k for k, _ in parts])
-        order = np.argsort(keys, kind="stable")
-        keys, values = keys[order], np.concatenate([v for _, v in parts])[order]
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        return keys[first], np.add.reduceat(values, first)
-
-    def batch_of(keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-        owner = keys >> 32
-        names = list(groups)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([n[0] for n in names], pa.string()).take(pa.array(owner)), pa.array([n[1] for n in names], pa.string()).take(pa.array(owner)),
-             pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(values)],
-            names=["lang", "source", "slot", "count"])
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        group, slot, value = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((slot, group))
+        group, slot, value = group[order], slot[order], value[order]
+        first = np.flatnonzero(np.concatenate(([True], (slot[1:] != slot[:-1]) | (group[1:] != group[:-1]))))
+        return group[first], slot[first], np.add.reduceat(value, first)
+
+    def batch_of(sums: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in sums], names=["group", "slot", "count"])
 
     for batch in batches:
-        vectors = batch.column(2)
+        vectors = batch.column(1)
         indices, values = vectors.field("indices"), vectors.field("values")
-        sizes = indices.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        codes = np.array([groups.setdefault(g, len(groups)) for g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())], dtype=np.int64)
-        keys = np.repeat(codes << 32, sizes) | indices.flatten().to_numpy(zero_copy_only=False)
-        if len(keys):
-            parts.append((keys, values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)))
-            held += len(keys)
+        sizes = indices.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        slots = indices.flatten().to_numpy(zero_copy_only=False)
+        if len(slots):
+            groups = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
+            parts.append((groups, slots, values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)))
+            held += len(slots)
         if held > 2 * HELD_SUMS:
-            parts[:] = [merged()]
+            parts = [merged()]
             held = len(parts[0][0])
             if held > HELD_SUMS:
-                yield batch_of(*parts[0])
+                yield batch_of(parts[0])
                 parts, held = [], 0
-                groups.clear()
     if parts:
-        yield batch_of(*merged())
-
-
-def _ranges(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
-    """Neighbouring places joined into ranges (first, last) of at most ``most`` terms, or of one place."""
-    out: list[list[int]] = []
-    for place, count in sizes:
-        if out and out[-1][2] + count <= most:
-            out[-1] = [out[-1][0], place, out[-1][2] + count]
-        else:
-            out.append([place, place, count])
-    return [(low, high) for low, high, _ in out]
+        yield batch_of(merged())
 
 
 def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fitted_terms: int = FITTED_TERMS) -> tuple[DataFrame, DataFrame]:
     """(lang, source) of all occurring groups, and (lang, source, term, count) of their kept terms with a count."""
+    spark = docs.sparkSession
     rows = store(terms_of(docs), "terms")
-    place = F.pmod(F.xxhash64("term"), F.lit(PLACES))
-    kept = rows.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").count().where(F.col("count") >= min_docs)
-    sizes = kept.groupBy(place.alias("place")).count().orderBy("place").collect()  # at most PLACES rows
+    groups = store(rows.select("group", "lang", "source").distinct(), "groups")
+    if groups.groupBy("group").count().where("count > 1").limit(1).count():
+        raise RuntimeError("two (lang, source) groups have one 64-bit key")
+    some = rows.select(F.explode(F.array_distinct(F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(SHARE)) == 0))).alias("term"))
+    kept = SHARE * some.groupBy("term").count().where(F.col("count") >= min_docs).count()
+    fits = 1 + kept * 11 // (10 * fitted_terms)
+    # A vectoriser fails without a kept term; this one is no term of a text and gets no count.
+    spare = spark.range(max(min_docs, 1)).select(F.array(F.lit("\0")).alias("terms"))
     counts = None
-    for low, high in _ranges([tuple(r) for r in sizes], fitted_terms):
-        mine = rows if (low, high) == (sizes[0].place, sizes[-1].place) else rows.withColumn(
-            "terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(PLACES)).between(low, high)))
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=LARGEST).fit(mine)
-        path = scratch(docs.sparkSession, "vocabulary")
+    for number in range(fits):
+        mine = rows.select("group", "terms") if fits == 1 else rows.select(
+            "group", F.filter("terms", lambda t: F.pmod(F.xxhash64(t, F.lit(1)), F.lit(fits)) == number).alias("terms"))
+        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=LARGEST).fit(mine.select("terms").unionByName(spare))
+        path = scratch(spark, "vocabulary")
         model.save(path)
-        vocabulary = docs.sparkSession.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("slot", "key"))
-        sums = model.transform(mine).select("lang", "source", "vector").mapInArrow(_sparse_sums, SUMS)
-        sums = sums.groupBy("lang", "source", "slot").agg(F.sum("count").alias("count"))
-        found = sums.join(vocabulary, "slot").select("lang", "source", F.substring_index("key", "\0", -1).alias("term"), "count")
+        vocabulary = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("slot", "key"))
+        sums = model.transform(mine).select("group", "vector").mapInArrow(_sparse_sums, SUMS)
+        found = sums.groupBy("group", "slot").agg(F.sum("count").alias("count")).join(vocabulary, "slot").select(
+            "group", F.substring_index("key", "\0", -1).alias("term"), "count")
         counts = found if counts is None else counts.unionByName(found)
-    groups = rows.select("lang", "source").distinct()
-    if counts is None:
-        counts = groups.select("lang", "source", F.lit("").alias("term"), F.lit(0).cast("long").alias("count")).limit(0)
-    return store(groups, "groups"), store(counts, "counts")
+    counts = store(counts.join(groups, "group").select("lang", "source", "term", "count"), "counts")
+    return groups.select("lang", "source"), counts
 
 
 def _share(count: str, kept: str = "kept") -> Column:
@@ -165,7 +173,7 @@ def _block_sums(rows: pd.DataFrame) -> pd.DataFrame:
 
     left, p = matrix(0)
     right, q = matrix(1)
-    alone = not len(right)
+    alone = rows["low"].iloc[0] == rows["high"].iloc[0]
     if alone:
         right, q = left, p
     out = []
