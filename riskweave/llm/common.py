@@ -52,7 +52,17 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """Write below the shared folder and read back: cuts lineage, survives lost executors."""
     path = scratch(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove stored tables that no later step and no result reads; what was made from them is stored itself."""
+    for df in stored:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:

@@ -215,5 +215,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> Data
     """
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), "_row"]
     hits = store(_found(docs, benchmark, **settings).select(*key).distinct(), "hits")
-    return docs.select("*", key[0], F.xxhash64(text_of()).alias("_row")).join(hits, ["_id", "_row"], "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(F.struct("*").alias("_kept"), key[0], F.xxhash64(text_of()).alias("_row"))
+    return keyed.join(hits, ["_id", "_row"], "left_anti").select("_kept.*")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import hashed, lists, plain_words, store, text_of
+from riskweave.llm.common import discard, hashed, lists, plain_words, store, text_of
 
 TREES, DEPTH = 28, 5
 SIGNED = "_id long, _text string, _sig binary"
@@ -187,8 +187,11 @@ def components(edges: DataFrame) -> DataFrame:
             "node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         new = store(spread.join(jump, "label").select("node", "was", F.least("label", "further").alias("label")), "labels")
-        labels = new.select("node", "label")
+        old, labels = labels, new.select("node", "label")
+        labels.stored_at = new.stored_at
+        discard(old)
         if not new.where("label != was").limit(1).count():
+            discard(both)
             return labels
 
 
@@ -201,6 +204,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, target:
     signed = store(side.where("_text IS NOT NULL").mapInArrow(_sign(n, trees * depth), SIGNED), "signed")
     classes = store(signed.groupBy("_text").agg(
         F.min("_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("_sig").alias("_sig")), "classes")
+    named = store(signed.select("_id", "_text"), "texts")
+    discard(signed)
     level, sets, known = depth, None, None
     while True:
         keyed = classes.select("_text", "copies", "first_id", _keys(trees, depth, level).alias("keys"))
@@ -219,8 +224,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, target:
             units.join(sets.drop("first_id"), "_text").groupBy("unit")
             .applyInPandas(_verify(threshold, trees, level), LINKED).where("links > 0"), "linked")
         known = linked.agg(F.sum("pairs"), F.sum("expected")).first()
-        if level == 1 or not known[0] or known[0] >= target * known[1]:
+        discard(units, sets)
+        if level == 1 or known[0] and known[0] >= target * known[1]:
             break
+        discard(linked)
         level -= 1
     labels = components(linked.where("root != _text").select(F.col("_text").alias("a"), F.col("root").alias("b")))
     links = linked.groupBy("_text").agg(F.sum("links").alias("links"))
@@ -228,10 +235,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, target:
         labels.select(F.col("node").alias("_text"), "label"), "_text", "left").select(
         "_text", "first_id", "copies", "links", F.coalesce("label", "_text").alias("group_class"))
     grouped = store(grouped, "grouped")
+    discard(classes, linked, labels)
     heads = store(grouped.groupBy("group_class").agg(F.min("first_id").alias("class_id")), "heads")
     by_text = grouped.join(heads, "group_class").select(
         "_text", "class_id", "group_class", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    worded = signed.select("_id", "_text").join(by_text, "_text").select(
+    worded = named.join(by_text, "_text").select(
         F.col("_id").alias("doc_id"), "class_id", "n_links", F.col("_text").alias("text_class"), "group_class")
     empty = side.where("_text IS NULL").select(
         F.col("_id").alias("doc_id"), F.col("_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
@@ -244,8 +252,8 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     found = store(near_duplicates(docs, **options), "near")
     stays = found.where("text_class IS NOT NULL").groupBy("group_class").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("_id"), "text_class")).alias("_stay")).select("_stay.*")
-    columns = docs.columns
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(2 ** 63 - 1))).withColumn(
+    keyed = docs.select(F.struct("*").alias("_kept"), "doc_id", "text")
+    keyed = keyed.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(2 ** 63 - 1))).withColumn(
         "_words", plain_words(text_of())).withColumn("text_class", F.md5(F.array_join("_words", " ")))
     worded = keyed.where(F.size("_words") > 0).join(stays, ["_id", "text_class"]).dropDuplicates(["_id", "text_class"])
-    return worded.select(columns).unionByName(keyed.where(F.size("_words") == 0).select(columns))
+    return worded.select("_kept.*").unionByName(keyed.where(F.size("_words") == 0).select("_kept.*"))

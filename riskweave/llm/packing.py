@@ -16,8 +16,6 @@ are sampled once per execution: store the result before using it in two actions.
 from __future__ import annotations
 
 import gc
-import sys
-import types
 import unicodedata
 from collections.abc import Iterator
 
@@ -32,7 +30,8 @@ from riskweave.llm.common import store, text_of
 END = 2
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
-_CACHE_WORDS, _CACHE_CHUNKS = 1_000_000, 1_100_000
+#: Entries of the two memories of an encoder, some 70 MB together; a full memory is emptied.
+_CACHE_WORDS, _CACHE_CHUNKS = 150_000, 250_000
 _MARKS, _LAST_LETTER = ".,;:!?*%&$#)", "ž"
 
 CHUNKS = "doc_id long, curve_key long, start long, doc_tokens long, ids binary"
@@ -106,16 +105,23 @@ class WordIds:
     def _whole(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: list[str]) -> None:
         if len(self.words) > _CACHE_WORDS:
             self.words = {"": b""}
+        if len(self.chunks) > _CACHE_CHUNKS:
+            self.chunks = {}
         known, parts, wanted = self.words, [], set()
         for chunk in chunks:
             word = chunk.rstrip(_MARKS)
-            if word.isalpha() and (word.isascii() or max(word) <= _LAST_LETTER):
-                part = (chunk, word.lower(), chunk[len(word):])
-                parts.append(part)
-                wanted.update(w for w in part[1:] if w not in known)
+            lowered = word.lower()
+            # Lower case may end in a combining mark ("İ"), which belongs to the marks then.
+            if word.isascii() and word.isalpha() or word.isalpha() and lowered.isalpha() and max(word) <= _LAST_LETTER:
+                marks = chunk[len(word):]
+                parts.append((chunk, lowered, marks))
+                if lowered not in known:
+                    wanted.add(lowered)
+                if marks not in known:
+                    wanted.add(marks)
             else:
                 self.chunks[chunk] = self._whole(chunk)
         self._encode(sorted(wanted))
@@ -123,32 +129,25 @@ class WordIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [unicodedata.normalize("NFC", t).replace("\n", " ").split(" ") for t in texts]
-        if len(self.chunks) > _CACHE_CHUNKS:
-            self.chunks = {}
-        coded = [list(map(self.chunks.get, words)) for words in split]
-        gaps = [[w for w, x in zip(words, ids) if x is None] if None in ids else () for words, ids in zip(split, coded)]
+        distinct = set().union(*split)
         collecting = gc.isenabled()
         gc.disable()  # nothing here refers to itself, and a collection walks through all of it
         try:
-            self._learn(set().union(*gaps))
+            here = {chunk: ids for chunk in distinct if (ids := self.chunks.get(chunk)) is not None}
+            if len(here) < len(distinct):
+                new = [chunk for chunk in distinct if chunk not in here]
+                self._learn(new)
+                here.update((chunk, self.chunks[chunk]) for chunk in new)
         finally:
             if collecting:
                 gc.enable()
-        find = self.chunks.__getitem__
-        return [b"".join(map(find, words) if gap else ids) for words, ids, gap in zip(split, coded, gaps)]
-
-
-def word_ids(path: str, dtype: str) -> WordIds:
-    """The encoder of this Python worker, kept from task to task."""
-    home = sys.modules.setdefault("_riskweave_worker", types.ModuleType("_riskweave_worker"))
-    if (path, dtype) not in vars(home).setdefault("encoders", {}):
-        home.encoders[path, dtype] = WordIds(path, dtype)
-    return home.encoders[path, dtype]
+        find = here.__getitem__  # a small table stays in the processor's cache
+        return [b"".join(map(find, words)) for words in split]
 
 
 def _tokenise(path: str, dtype: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_ids(path, dtype)
+        encode = WordIds(path, dtype)  # goes when the task ends
         directions = np.random.default_rng(7).standard_normal((1 << 16, DIMENSIONS)).astype(np.float32)
         width, last = np.dtype(dtype).itemsize, np.array([end], dtype=dtype).tobytes()
         step = length * width
@@ -222,7 +221,8 @@ def _lay(dtype: str, length: int):
 
 def pack(docs: DataFrame, path: str, dtype: str = "uint16", length: int = LENGTH, end: int = END) -> DataFrame:
     """Pieces of documents in sequences of at most ``length`` ids; ``ids`` are little-endian unsigned 32-bit."""
-    chunks = store(token_chunks(docs, path, dtype, length, end), "tokens")
-    order = ["curve_key", "doc_id", "start"]
+    # The stored row number follows the starts of a document and tells equal rows apart, so that any place can be a border.
+    chunks = store(token_chunks(docs, path, dtype, length, end).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    order = ["curve_key", "doc_id", "row"]
     laid = chunks.repartitionByRange(*order).sortWithinPartitions(*order)
     return laid.select("doc_id", "curve_key", "start", "doc_tokens", "ids").mapInArrow(_lay(dtype, length), PIECES)

@@ -18,8 +18,8 @@ so suffixes carry names instead of ranks:
 Hot phrases are counted in partial aggregates and never gathered.
 
 Defined cases: a null text is empty; texts shorter than ``length`` bytes lose nothing;
-equal rows are copies of each other and lose all that a copy loses; a null id is
-allowed; an empty table gives no rows; other columns are not read.
+equal rows are copies of each other and lose all that a copy loses, whatever their
+number; a row is known by its id and a 64-bit hash of its text, null ids are one id; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,12 +32,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import NULL_ID, store, text_of
+from riskweave.llm.common import NULL_ID, discard, store, text_of
 
 LENGTH, GRAM, WINDOW, STEP = 400, 8, 192, 32
 _SEGMENT = 1 << 20
-PHRASES = "head long, entry long, _id long, _row int, first int, last int, anchor int"
-CUT = "head long, _id long, _row int, first int, last int, anchor int, once boolean, bytes binary"
+PHRASES = "head long, entry long, _id long, _row long, first int, last int, anchor int"
+CUT = "head long, _id long, _row long, first int, last int, anchor int, once boolean, bytes binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<first:int,end:int>>"
 
 
@@ -92,7 +92,7 @@ def _parse(length: int, window: int):
                     rows += [(name(view[t:t + shared]), name(view[a:b + length], (t - a) << 16 | (b - a)), doc, row, a, b, t)
                              for a, b, t in phrases(data, length, window)]
                 columns = list(zip(*rows)) if rows else [[]] * 7
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays(
                     [_signed(columns[0]), _signed(columns[1]), *[pa.array(c, type=t) for c, t in zip(columns[2:], kinds)]],
                     names=[x.split()[0] for x in PHRASES.split(", ")])
@@ -108,7 +108,7 @@ def _cut_phrases(length: int):
                 for doc, row, data, wanted in zip(*[c.to_pylist() for c in part.columns]):
                     rows += [(w["head"], doc, row, w["first"], w["last"], w["anchor"], w["once"], data[w["first"]:w["last"] + length]) for w in wanted]
                 columns = list(zip(*rows)) if rows else [[]] * 8
-                kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.binary()]
+                kinds = [pa.int64()] * 3 + [*[pa.int32()] * 3, pa.bool_(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in CUT.split(", ")])
     return run
 
@@ -149,19 +149,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW)
     # shuffled for it, and a hot phrase can be split.
     heads = store(entries.groupBy("head").agg(
         F.sum("count").alias("phrases"), F.count(F.lit(1)).alias("entries")).where("phrases > 1").select("head", "entries"), "heads")
-    found = store(parsed.join(heads, "head"), "phrases")
+    # Equal rows have the same phrases: they become one row with a count.
+    found = store(parsed.join(heads, "head").groupBy("head", "entry", "entries", "_id", "_row", "first", "last", "anchor").agg(
+        F.count(F.lit(1)).alias("copies")), "phrases")
+    discard(heads)
     mixed = found.where("entries > 1")
     by_entry = store(mixed.groupBy("head", "entry").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "_row", "first")).alias("chosen")), "entries")
+        F.sum("copies").alias("n"), F.min(F.struct("_id", "_row", "first")).alias("chosen")), "entries")
     mixed = store(mixed.join(by_entry, ["head", "entry"]).select(
         "head", "_id", "_row", "first", "last", "anchor", (F.col("n") == 1).alias("once"),
         (F.col("chosen") == F.struct("_id", "_row", "first")).alias("named")), "mixed")
+    discard(by_entry)
     wanted = mixed.where("named").groupBy("_id", "_row").agg(
         F.collect_list(F.struct("head", "first", "last", "anchor", "once")).alias("wanted"))
     cut = store(
-        side.join(wanted, ["_id", "_row"]).select("_id", "_row", F.col("_text").cast("binary").alias("_text"), "wanted")
+        side.join(wanted, ["_id", "_row"]).groupBy("_id", "_row").agg(F.first("_text").alias("_text"), F.first("wanted").alias("wanted"))
+        .select("_id", "_row", F.col("_text").cast("binary").alias("_text"), "wanted")
         .mapInArrow(_cut_phrases(length), CUT), "cut")
     strings = store(_named_strings(cut, length, min(STEP, length - window)), "strings")
+    discard(cut)
     same = ["head", "back", "name"]
     twice = store(strings.groupBy(*same).count().where("count > 1").select(*same), "twice")
     whole = found.where("entries = 1").select("_id", "_row", "first", (F.col("last") + length).alias("end"))
@@ -197,7 +203,7 @@ def _named_strings(cut: DataFrame, length: int, step: int) -> DataFrame:
 def _side(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"),
-        F.hash(text_of()).alias("_row"), text_of().alias("_text"))
+        F.xxhash64(text_of()).alias("_row"), text_of().alias("_text"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW) -> DataFrame:

@@ -129,7 +129,7 @@ def test_divergence_equals_brute_force_whatever_the_blocks(spark):
     rows += [(None, "fr", "only"), ("new words here", "it", "one"), (None, "it", "two")]
     docs = spark.createDataFrame(rows, "text string, lang string, source string")
     want = expected_divergence(rows, 5)
-    for options in ({}, {"fitted_terms": 7, "block": 2, "bucket": 3}):
+    for options in ({}, {"fitted_terms": 40, "block": 2, "bucket": 3}):
         got = [tuple(r) for r in source_divergence.divergence(docs, min_docs=5, **options).collect()]
         assert len(got) == len(set(got)) and set(got) == want
 
