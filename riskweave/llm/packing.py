@@ -16,6 +16,8 @@ are sampled once per execution: store the result before using it in two actions.
 from __future__ import annotations
 
 import gc
+import sys
+import types
 import unicodedata
 from collections.abc import Iterator
 
@@ -30,8 +32,8 @@ from riskweave.llm.common import store, text_of
 END = 2
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
-#: Entries of the two memories of an encoder, some 70 MB together; a full memory is emptied.
-_CACHE_WORDS, _CACHE_CHUNKS = 150_000, 250_000
+#: Entries of the two memories of an encoder, some 120 MB together; a full memory is emptied.
+_CACHE_WORDS, _CACHE_CHUNKS = 250_000, 400_000
 _MARKS, _LAST_LETTER = ".,;:!?*%&$#)", "ž"
 
 CHUNKS = "doc_id long, curve_key long, start long, doc_tokens long, ids binary"
@@ -145,9 +147,17 @@ class WordIds:
         return [b"".join(map(find, words)) for words in split]
 
 
+def word_ids(path: str, dtype: str) -> WordIds:
+    """The encoder of this Python worker: one at a time, kept from task to task, its memories bounded."""
+    home = sys.modules.setdefault("_riskweave_worker", types.ModuleType("_riskweave_worker"))
+    if getattr(home, "encoder", (None,))[0] != (path, dtype):
+        home.encoder = (path, dtype), WordIds(path, dtype)
+    return home.encoder[1]
+
+
 def _tokenise(path: str, dtype: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(path, dtype)  # goes when the task ends
+        encode = word_ids(path, dtype)
         directions = np.random.default_rng(7).standard_normal((1 << 16, DIMENSIONS)).astype(np.float32)
         width, last = np.dtype(dtype).itemsize, np.array([end], dtype=dtype).tobytes()
         step = length * width

@@ -149,10 +149,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW)
     # shuffled for it, and a hot phrase can be split.
     heads = store(entries.groupBy("head").agg(
         F.sum("count").alias("phrases"), F.count(F.lit(1)).alias("entries")).where("phrases > 1").select("head", "entries"), "heads")
-    # Equal rows have the same phrases: they become one row with a count.
-    found = store(parsed.join(heads, "head").groupBy("head", "entry", "entries", "_id", "_row", "first", "last", "anchor").agg(
+    # Equal rows have the same phrases: they become one row with a count, in a step of its own, so that the join can be split.
+    several = store(parsed.join(heads, "head"), "phrases")
+    found = store(several.groupBy("head", "entry", "entries", "_id", "_row", "first", "last", "anchor").agg(
         F.count(F.lit(1)).alias("copies")), "phrases")
-    discard(heads)
+    discard(heads, several)
     mixed = found.where("entries > 1")
     by_entry = store(mixed.groupBy("head", "entry").agg(
         F.sum("copies").alias("n"), F.min(F.struct("_id", "_row", "first")).alias("chosen")), "entries")
@@ -163,7 +164,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW)
     wanted = mixed.where("named").groupBy("_id", "_row").agg(
         F.collect_list(F.struct("head", "first", "last", "anchor", "once")).alias("wanted"))
     cut = store(
-        side.join(wanted, ["_id", "_row"]).groupBy("_id", "_row").agg(F.first("_text").alias("_text"), F.first("wanted").alias("wanted"))
+        side.join(wanted, ["_id", "_row"]).groupBy("_id", "_row").agg(
+            F.first("_text").alias("_text"), F.first("wanted").alias("wanted"))
         .select("_id", "_row", F.col("_text").cast("binary").alias("_text"), "wanted")
         .mapInArrow(_cut_phrases(length), CUT), "cut")
     strings = store(_named_strings(cut, length, min(STEP, length - window)), "strings")
