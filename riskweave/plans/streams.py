@@ -105,22 +105,23 @@ def l2_members(spark, d):
     return detectors.window_members(_velocity(spark, d), Tables(spark, d).tx)
 
 
-def _in_thirds(spark, d, label, write):
-    """Feed the events as three files in time order, each of which is a batch."""
+def _in_thirds(spark, d, label, start):
+    """Feed the events in three parts in time order; the stream is started on its checkpoint for each of them."""
     source, mark = scratch(spark, f"{label}-in"), scratch(spark, f"{label}-mark")
     events = Tables(spark, d).base("events")
     size = events.agg(F.max("event_id") - F.min("event_id") + 1).scalar()
     third = F.floor((F.col("event_id") - events.agg(F.min("event_id")).scalar()) * 3 / size)
     for part in range(3):
-        events.where(third == part).coalesce(1).write.mode("append").parquet(source)
-        _drain(messages.write_batches(transactions(event_stream(spark, source, events.schema, "*.parquet")), write, mark, every=None))
+        events.where(third == part).write.mode("append").parquet(source)
+        _drain(start(transactions(event_stream(spark, source, events.schema, "*.parquet")), mark))
+    return mark
 
 
-def _event_time(spark, d, make, label):
-    detector = make(scratch(spark, f"{label}-state"), scratch(spark, label))
-    _in_thirds(spark, d, label, detector)
-    detector.flush(spark)
-    return spark.read.parquet(detector.output).drop("batch_id")
+def _event_time(spark, d, detector, label):
+    """Alerts given by the stream and, at its end, of the rows that still wait."""
+    path = scratch(spark, label)
+    mark = _in_thirds(spark, d, label, lambda df, mark: messages.write_files(detector.alerts(df), path, mark, (), every=None))
+    return spark.read.parquet(path).unionByName(detector.rest(spark, mark))
 
 
 _EARLIER = "OVER (PARTITION BY customer_id ORDER BY epoch_us(transaction_date) RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -133,7 +134,7 @@ WHERE z >= 2"""
 
 @query("L3_stream_statistical", cte("tx", _L3))
 def l3(spark, d):
-    return _event_time(spark, d, detectors.statistical_detector, "l3").select(
+    return _event_time(spark, d, detectors.statistical_detector(), "l3").select(
         "transaction_id", "customer_id", F.round("z_score", 4).alias("z_score"), "risk_score")
 
 
@@ -142,7 +143,7 @@ _L4 = f"SELECT c5.* FROM ({_C5}) c5"
 
 @query("L4_stream_geographic", cte("tx", _L4))
 def l4(spark, d):
-    return _event_time(spark, d, detectors.geographic_detector, "l4").select(
+    return _event_time(spark, d, detectors.geographic_detector(), "l4").select(
         "transaction_id", "customer_id", "prev_country", "location_country", F.round("time_diff_hours", 6).alias("time_diff_hours"))
 
 
@@ -156,7 +157,7 @@ def l5(spark, d):
     values = _through_files(spark, detectors.high_value_alerts(Tables(spark, d).tx_stream), "l5").withColumn("event_time", F.col("transaction_date"))
     windows = _velocity(spark, d).withColumns({"transaction_id": F.lit(None).cast("bigint"), "event_time": F.col("window_end")})
     every = detectors.union_alerts(
-        values, windows, _event_time(spark, d, detectors.statistical_detector, "l5s"), _event_time(spark, d, detectors.geographic_detector, "l5g"))
+        values, windows, _event_time(spark, d, detectors.statistical_detector(), "l5s"), _event_time(spark, d, detectors.geographic_detector(), "l5g"))
     return every.groupBy("risk_factor", "risk_level").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -177,7 +178,7 @@ def l6(spark, d):
 @query("L6_stream_count_windows", cte("tx", _COUNTED))
 def l6_stream(spark, d):
     windows = detectors.CountWindows(scratch(spark, "l6-state"), scratch(spark, "l6"), 300, _measures())
-    _in_thirds(spark, d, "l6", windows)
+    _in_thirds(spark, d, "l6", lambda df, mark: messages.write_batches(df, windows, mark, every=None))
     windows.flush(spark)
     return spark.read.option("basePath", windows.output).parquet(f"{windows.output}/*").drop("batch_id").withColumn("total", F.round("total", 2))
 

@@ -1,21 +1,23 @@
 """Streaming detectors.
 
 High value and sliding-window velocity run on the built-in engine. The detectors
-that need the history of a customer work per micro-batch on a versioned state
-table: version ``n`` is written from version ``n - 1`` and batch ``n``, so a batch
-that is retried after a failure overwrites its own version and nothing else. Within
-a batch they use the sliced batch operators, hence a hot customer spreads over
-many tasks and only its small summary is kept between batches.
+that need the history of a customer use its keyed state, event-time timeouts and
+watermark. Count windows over all rows work per micro-batch on a versioned table of
+counts: version ``n`` is written from version ``n - 1`` and batch ``n``, so a batch that is
+retried after a failure overwrites its own version and nothing else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from riskweave.functions.ordered import deviation_of, merged_moments, previous_event, prior_moments, row_index, whole_seconds
 from riskweave.operators.detectors import tier
@@ -87,61 +89,99 @@ def _forget(spark: SparkSession, state: str, batch_id: int) -> None:
 
 @dataclass(frozen=True)
 class EventTimeDetector:
-    """Scores rows in event-time order across micro-batches.
-
-    Rows wait in a buffer until the watermark (largest event time seen less
-    ``delay_seconds``) has passed them. Rows arriving behind the watermark are late
-    and dropped. ``score(ready, summary)`` gives the alerts, ``fold(ready, summary)``
-    the next per-customer summary; ``summary`` is None before the first batch.
+    """Scores the rows of a customer in event-time order, on the engine's keyed state.
+
+    The state of a customer is the summary of the rows scored so far and the rows that the
+    watermark (largest event time seen less ``delay_seconds``) has not passed yet, as one
+    array per field. A row that arrives behind the watermark is late and dropped. An
+    event-time timeout is set to the earliest waiting row; when it runs out, or when other
+    rows of the customer arrive, ``step`` scores what the watermark has passed. State, timeouts,
+    watermark and recovery are the engine's: a stopped stream goes on from its checkpoint.
+    ``rest`` scores the rows that still wait with the batch operators, at the end of a stream.
+
+    Rows of one customer are scored by one task of a batch, one after another in constant
+    memory beside the rows themselves; only customers with new or passed rows are visited.
     """
 
-    state: str
-    output: str
     delay_seconds: int
+    #: Fields of the summary and of a waiting row besides its time and id, as DDL.
+    summary: str
+    fields: dict[str, str]
+    found: str
+    step: Callable[[tuple | None, list[tuple]], tuple[tuple, list[tuple]]]
+    finish: Callable[[DataFrame], DataFrame]
     score: Callable[[DataFrame, DataFrame | None], DataFrame]
-    fold: Callable[[DataFrame, DataFrame | None], DataFrame]
-
-    def _load(self, spark: SparkSession, batch_id: int, name: str) -> DataFrame | None:
-        return spark.read.parquet(f"{self.state}/v{batch_id - 1}/{name}") if batch_id > 0 else None
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark, version = batch.sparkSession, f"{self.state}/v{batch_id}"
-        summary, waiting, clock = (self._load(spark, batch_id, n) for n in ("summary", "buffer", "clock"))
-        passed = clock.first()["watermark"] if clock is not None else None
-        rows = batch if passed is None else batch.where(F.col("transaction_date") > F.lit(passed))
-        if waiting is not None:
-            rows = rows.unionByName(waiting)
-        # The batch is read by several jobs below; write it once.
-        rows.write.mode("overwrite").parquet(f"{version}/rows")
-        rows = spark.read.schema(rows.schema).parquet(f"{version}/rows")
-        newest = rows.agg((F.max("transaction_date") - F.expr(f"INTERVAL {self.delay_seconds} SECONDS")).alias("watermark"))
-        known = newest if clock is None else newest.unionByName(clock)
-        known.agg(F.max("watermark").alias("watermark")).write.mode("overwrite").parquet(f"{version}/clock")
-        watermark = spark.read.parquet(f"{version}/clock").first()["watermark"]
-        due = F.coalesce(F.col("transaction_date") <= F.lit(watermark).cast("timestamp"), F.lit(False))
-        ready = rows.where(due)
-        self.score(ready, summary).write.mode("overwrite").parquet(f"{self.output}/batch_id={batch_id}")
-        self.fold(ready, summary).write.mode("overwrite").parquet(f"{version}/summary")
-        rows.where(~due).write.mode("overwrite").parquet(f"{version}/buffer")
-        _forget(spark, self.state, batch_id)
-
-    def flush(self, spark: SparkSession) -> None:
-        """Score the rows that still wait, at the end of a stream."""
-        end = _versions(spark, self.state)[-1] + 1
-        waiting, summary = self._load(spark, end, "buffer"), self._load(spark, end, "summary")
-        self.score(waiting, summary).write.mode("overwrite").parquet(f"{self.output}/batch_id={end}")
-
-
-def _fold_moments(ready: DataFrame, summary: DataFrame | None) -> DataFrame:
-    v = F.col("amount").cast("double")
-    part = ready.groupBy("customer_id").agg(
-        F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"), F.min(v).alias("min"), F.max(v).alias("max"))
-    if summary is None:
-        return part
-    new = part.select(*[F.col(c) if c == "customer_id" else F.col(c).alias(f"_{c}") for c in part.columns])
-    both = summary.join(new, "customer_id", "full_outer")
-    n, mean, m2 = merged_moments(*[F.col(c) for c in ("n", "mean", "m2", "_n", "_mean", "_m2")])
-    return both.select("customer_id", n.alias("n"), mean.alias("mean"), m2.alias("m2"), F.least("min", "_min").alias("min"), F.greatest("max", "_max").alias("max"))
+    def alerts(self, df: DataFrame) -> DataFrame:
+        """Alerts of a stream in append mode, as soon as the watermark has passed their rows."""
+        rows = df.withWatermark("transaction_date", f"{self.delay_seconds} seconds").select(
+            "customer_id", "transaction_date", F.unix_micros("transaction_date").alias("_at"), F.col("transaction_id").alias("_id"),
+            *[F.col(name).cast(kind).alias(name) for name, kind in self.fields.items()])
+        kind = df.schema["customer_id"].dataType.simpleString()
+        found = rows.where("_at IS NOT NULL").groupBy("customer_id").applyInPandasWithState(
+            self._visit(), f"customer_id {kind}, _at bigint, _id bigint, {self.found}", self._state(), "append", GroupStateTimeout.EventTimeTimeout)
+        return self.finish(found.withColumns({"transaction_id": F.col("_id"), "event_time": F.timestamp_micros("_at")}))
+
+    def _state(self) -> str:
+        waiting = {"_at": "bigint", "_id": "bigint", **self.fields}
+        return ", ".join([self.summary, *[f"{name} array<{kind}>" for name, kind in waiting.items()]])
+
+    def _visit(self) -> Callable:
+        names, size, step = ["_at", "_id", *self.fields], self.summary.count(",") + 1, self.step
+        columns = ["customer_id", "_at", "_id", *[f.split()[0] for f in self.found.split(", ")]]
+
+        def visit(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+            held = state.get if state.exists else None
+            summary = tuple(held[:size]) if held and held[0] is not None else None
+            passed = state.getCurrentWatermarkMs() * 1000
+            waiting = list(zip(*held[size:])) if held else []
+            for batch in batches:  # plain lists: most batches of a customer have a row or two
+                rows = zip(*[batch[name].tolist() for name in names])
+                waiting += [(*row[:2], *[None if v != v else v for v in row[2:]]) for row in rows if row[0] > passed]
+            waiting.sort(key=lambda row: row[:2])
+            due = [row for row in waiting if row[0] <= passed]
+            alerts = []
+            if due:
+                summary, alerts = step(summary, due)
+            left = waiting[len(due):]
+            state.update((*(summary or (None,) * size), *(list(c) for c in (zip(*left) if left else [()] * len(names)))))
+            if left:
+                state.setTimeoutTimestamp(max(left[0][0] // 1000, passed // 1000 + 1))
+            if alerts:
+                yield pd.DataFrame([(key[0], *alert) for alert in alerts], columns=columns)
+        return visit
+
+    def rest(self, spark: SparkSession, checkpoint: str) -> DataFrame:
+        """Alerts of the rows that wait in the state of a stopped stream."""
+        state = spark.read.format("statestore").load(checkpoint).select("key.customer_id", "value.groupState.*")
+        columns = ["_at", "_id", *self.fields]
+        waiting = state.select("customer_id", F.explode(F.arrays_zip(*columns)).alias("_row")).select("customer_id", "_row.*")
+        waiting = waiting.withColumnsRenamed({"_id": "transaction_id"}).withColumn("transaction_date", F.timestamp_micros("_at")).drop("_at")
+        return self.score(waiting, state.drop(*columns).where(F.col(self.summary.split()[0]).isNotNull()))
+
+
+def _step_moments(summary: tuple | None, rows: list[tuple]) -> tuple[tuple, list[tuple]]:
+    """Compare each row with the moments of strictly earlier rows, then add it; rows of one instant are added together."""
+    n, mean, m2, low, high = summary or (0, 0.0, 0.0, None, None)
+    alerts = []
+    for at, same in groupby(rows, key=lambda row: row[0]):
+        same = [row for row in same if row[2] is not None]
+        if n > 1 and low != high and m2 > 0:
+            deviation = (m2 / (n - 1)) ** 0.5
+            alerts += [(at, name, v, abs(v - mean) / deviation) for _, name, v in same if abs(v - mean) >= 2 * deviation]
+        for _, _, v in same:
+            n += 1
+            gap = v - mean
+            mean += gap / n
+            m2 += gap * (v - mean)
+            low, high = (v, v) if low is None else (min(low, v), max(high, v))
+    return (n, mean, m2, low, high), alerts
+
+
+def _finish_moments(found: DataFrame) -> DataFrame:
+    return found.where("z_score >= 2").select(
+        "transaction_id", "customer_id", "event_time", "amount", "z_score",
+        F.lit("STATISTICAL_ANOMALY").alias("risk_factor"), tier(F.col("z_score"), [(3, 25.0)], 15.0).alias("risk_score"))
 
 
 def _score_moments(ready: DataFrame, summary: DataFrame | None) -> DataFrame:
@@ -155,40 +195,53 @@ def _score_moments(ready: DataFrame, summary: DataFrame | None) -> DataFrame:
         low, high = F.least("prior_min", "min"), F.greatest("prior_max", "max")
     deviation = deviation_of(n, m2, low, high, sample=True)
     z = F.when(deviation > 0, F.abs(F.col("amount") - mean) / deviation).otherwise(F.lit(0.0))
-    return rows.withColumn("z_score", z).where("z_score >= 2").select(
-        "transaction_id", "customer_id", F.col("transaction_date").alias("event_time"), "amount", "z_score",
-        F.lit("STATISTICAL_ANOMALY").alias("risk_factor"), tier(F.col("z_score"), [(3, 25.0)], 15.0).alias("risk_score"))
+    return _finish_moments(rows.withColumns({"z_score": z, "event_time": F.col("transaction_date")}))
 
 
-def statistical_detector(state: str, output: str, delay_seconds: int = 1800) -> EventTimeDetector:
-    return EventTimeDetector(state, output, delay_seconds, _score_moments, _fold_moments)
+def statistical_detector(delay_seconds: int = 1800) -> EventTimeDetector:
+    return EventTimeDetector(
+        delay_seconds, "n bigint, mean double, m2 double, min double, max double", {"amount": "double"}, "amount double, z_score double",
+        _step_moments, _finish_moments, _score_moments)
 
 
-_PLACE = ("location_country", "location_city", "transaction_date")
+def _step_places(max_hours: float) -> Callable[[tuple | None, list[tuple]], tuple[tuple, list[tuple]]]:
+    def step(summary: tuple | None, rows: list[tuple]) -> tuple[tuple, list[tuple]]:
+        """Compare the country of each row with that of the row before."""
+        alerts = []
+        for at, name, country in rows:
+            if summary is not None and None not in (country, summary[1]) and country != summary[1]:
+                hours = (at // 1_000_000 - summary[0] // 1_000_000) / 3600
+                if hours < max_hours:
+                    alerts.append((at, name, summary[1], country, hours))
+            summary = at, country
+        return summary, alerts
+    return step
 
 
-def _fold_places(ready: DataFrame, summary: DataFrame | None) -> DataFrame:
-    order = F.struct("transaction_date", "transaction_id")
-    last = ready.groupBy("customer_id").agg(F.max(F.struct(order.alias("at"), F.struct(*_PLACE).alias("place"))).alias("last"))
-    return last if summary is None else summary.unionByName(last).groupBy("customer_id").agg(F.max("last").alias("last"))
+def _finish_places(found: DataFrame) -> DataFrame:
+    return found.select(
+        "transaction_id", "customer_id", "event_time", "prev_country", "location_country", "time_diff_hours",
+        F.lit("GEOGRAPHIC_ANOMALY").alias("risk_factor"), F.lit(20.0).alias("risk_score"))
 
 
 def _score_places(max_hours: float) -> Callable[[DataFrame, DataFrame | None], DataFrame]:
     def score(ready: DataFrame, summary: DataFrame | None) -> DataFrame:
-        rows = previous_event(ready, "customer_id", "transaction_date", "transaction_id", list(_PLACE))
+        rows = previous_event(ready, "customer_id", "transaction_date", "transaction_id", ["location_country", "transaction_date"])
+        place, since = F.col("previous.location_country"), F.unix_seconds(F.col("previous.transaction_date"))
         if summary is not None:
-            rows = rows.join(summary, "customer_id", "left").withColumn("previous", F.coalesce("previous", "last.place"))
-        hours = (whole_seconds("transaction_date") - F.unix_seconds(F.col("previous.transaction_date"))) / 3600
-        moved = F.col("location_country") != F.col("previous.location_country")
-        return rows.where(moved & (hours < max_hours)).select(
-            "transaction_id", "customer_id", F.col("transaction_date").alias("event_time"),
-            F.col("previous.location_country").alias("prev_country"), "location_country", hours.alias("time_diff_hours"),
-            F.lit("GEOGRAPHIC_ANOMALY").alias("risk_factor"), F.lit(20.0).alias("risk_score"))
+            rows = rows.join(summary, "customer_id", "left")
+            place = F.when(F.col("previous").isNull(), F.col("last_country")).otherwise(place)
+            since = F.when(F.col("previous").isNull(), F.floor(F.col("last_at") / 1_000_000)).otherwise(since)
+        hours = (whole_seconds("transaction_date") - since) / 3600
+        return _finish_places(rows.where((F.col("location_country") != place) & (hours < max_hours)).withColumns({
+            "event_time": F.col("transaction_date"), "prev_country": place, "time_diff_hours": hours}))
     return score
 
 
-def geographic_detector(state: str, output: str, delay_seconds: int = 3600, max_hours: float = 6.0) -> EventTimeDetector:
-    return EventTimeDetector(state, output, delay_seconds, _score_places(max_hours), _fold_places)
+def geographic_detector(delay_seconds: int = 3600, max_hours: float = 6.0) -> EventTimeDetector:
+    return EventTimeDetector(
+        delay_seconds, "last_at bigint, last_country string", {"location_country": "string"},
+        "prev_country string, location_country string, time_diff_hours double", _step_places(max_hours), _finish_places, _score_places(max_hours))
 
 
 @dataclass(frozen=True)

@@ -40,29 +40,42 @@ def shuffled_parts(ts):
     (detectors.geographic_detector, lambda df: batch.geographic(df).select("transaction_id")),
     (detectors.statistical_detector, lambda df: detectors._score_moments(df, None).select("transaction_id"))])
 def test_event_time_detector_equals_batch(spark, tmp_path, ts, make, twin):
+    """Each feed is a start of its own on the same checkpoint, so the state outlives its query."""
     rows, parts = shuffled_parts(ts)
-    detector = make(str(tmp_path / "state"), str(tmp_path / "out"), 1800)
-    feed(spark, tmp_path, parts, lambda df: messages.write_batches(df, detector, str(tmp_path / "mark"), every=None))
+    detector, mark, out = make(1800), str(tmp_path / "mark"), str(tmp_path / "out")
+    feed(spark, tmp_path, parts, lambda df: messages.write_files(detector.alerts(df), out, mark, (), every=None))
     last = max(r[2] for r in rows)
     whole = spark.createDataFrame(rows, SCHEMA)
-    assert detectors._versions(spark, detector.state) == [1, 2]
     due = F.col("transaction_date") <= F.lit(last) - F.expr("INTERVAL 1800 SECONDS")
     want = sorted(r[0] for r in twin(whole).join(whole.where(due).select("transaction_id"), "transaction_id").collect())
-    assert sorted(r["transaction_id"] for r in spark.read.parquet(detector.output).collect()) == want and want
-    # A batch that runs again leaves the same result.
-    before = sorted(map(str, spark.read.parquet(detector.output).collect()))
-    detector(spark.createDataFrame(parts[2], SCHEMA), 2)
-    assert sorted(map(str, spark.read.parquet(detector.output).collect())) == before
-    detector.flush(spark)
-    assert sorted(r["transaction_id"] for r in spark.read.parquet(detector.output).collect()) == sorted(r[0] for r in twin(whole).collect())
+    given = spark.read.parquet(out)
+    assert sorted(r["transaction_id"] for r in given.collect()) == want and want
+    rest = detector.rest(spark, mark)
+    assert rest.columns == given.columns
+    assert sorted(r["transaction_id"] for r in given.unionByName(rest).collect()) == sorted(r[0] for r in twin(whole).collect())
+    waiting = spark.read.format("statestore").load(mark).select(F.sum(F.size("value.groupState._at"))).first()[0]
+    assert waiting == whole.where(~due).count()  # what the watermark has passed has left the state
+
+
+def test_ties_nulls_and_late_rows_of_keyed_state(spark, tmp_path, ts):
+    detector, mark, out = detectors.statistical_detector(3600), str(tmp_path / "mark"), str(tmp_path / "out")
+    early = [(i, None if i % 2 else "c", ts(i), float(10 + i % 3), "US", "X") for i in range(40)]
+    tied = [(100 + i, "c", ts(50), 500.0, "US", "X") for i in range(3)] + [(200, "c", ts(60), None, "US", "X"), (201, "c", None, 900.0, "US", "X")]
+    later = [(300, "c", ts(99_999), 1.0, "US", "X"), (301, "d", ts(99_999), 1.0, "US", "X")]
+    late = [(400, "c", ts(55), 9000.0, "US", "X"), (401, "d", ts(99_990), 1.0, "US", "X")]
+    feed(spark, tmp_path, [early + tied, later, late], lambda df: messages.write_files(detector.alerts(df), out, mark, (), every=None))
+    got = {r.transaction_id: r for r in spark.read.parquet(out).collect() if r.transaction_id >= 100}
+    assert set(got) == {100, 101, 102} and len({r.z_score for r in got.values()}) == 1  # none counts for another of its instant
+    twin = {r.transaction_id: r.z_score for r in detectors._score_moments(spark.createDataFrame(early + tied, SCHEMA).where("customer_id = 'c'"), None).collect()}
+    assert all(abs(got[i].z_score - twin[i]) < 1e-9 for i in got)
 
 
 def test_late_rows_are_dropped(spark, tmp_path, ts):
-    detector = detectors.geographic_detector(str(tmp_path / "state"), str(tmp_path / "out"), 3600)
+    detector = detectors.geographic_detector(3600)
     on_time = [(1, "c", ts(0), 1.0, "US", "X"), (2, "c", ts(9000), 1.0, "US", "X")]
     late = [(3, "c", ts(60), 1.0, "CN", "X"), (4, "c", ts(99999), 1.0, "US", "X")]
-    feed(spark, tmp_path, [on_time, late], lambda df: messages.write_batches(df, detector, str(tmp_path / "mark"), every=None))
-    assert spark.read.parquet(detector.output).count() == 0
+    feed(spark, tmp_path, [on_time, late], lambda df: messages.write_files(detector.alerts(df), str(tmp_path / "out"), str(tmp_path / "mark"), (), every=None))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 0 and detector.rest(spark, str(tmp_path / "mark")).count() == 0
 
 
 def test_engine_drops_late_rows_and_counts_them(spark, tmp_path, ts):
@@ -115,11 +128,10 @@ def test_alert_levels(spark):
     assert [r[0] for r in df.select(detectors.alert_level(F.col("s"))).collect()] == ["HIGH", "HIGH", "MEDIUM", "MEDIUM", "LOW"]
 
 
-def test_state_moments_match_prior_moments(spark, ts):
+def test_steps_match_prior_moments(spark, ts):
     rows = spark.createDataFrame(rows_of(ts, 60), SCHEMA)
-    first, second = rows.where("transaction_id < 30"), rows.where("transaction_id >= 30")
-    summary = detectors._fold_moments(first, None)
-    got = {r["transaction_id"]: r["z_score"] for r in detectors._score_moments(second, summary).collect()}
-    whole = {r["transaction_id"]: r["z_score"] for r in detectors._score_moments(rows, None).collect()}
-    assert got == {k: pytest.approx(v) for k, v in whole.items() if k >= 30}
-    assert prior_moments(rows, "customer_id", "transaction_date", "amount").count() == 60
+    want = {r["transaction_id"]: r["z_score"] for r in detectors._score_moments(rows.where("customer_id = 'hot'"), None).collect()}
+    mine = [(round(r[2].timestamp() * 1e6), r[0], r[3]) for r in rows_of(ts, 60) if r[1] == "hot"]
+    summary, first = detectors._step_moments(None, mine[:7])
+    _, second = detectors._step_moments(summary, mine[7:])
+    assert {name: round(abs(z - want[name]), 9) for _, name, _, z in first + second} == dict.fromkeys(want, 0.0)
