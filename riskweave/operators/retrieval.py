@@ -30,7 +30,7 @@ def term_frequencies(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     Terms are counted inside the row, so texts are not shuffled.
     """
-    counted = F.transform(F.array(F.array_sort(tokens(F.col(text)))), lambda t: F.struct(
+    counted = F.transform(F.array(F.sort_array(tokens(F.col(text)))), lambda t: F.struct(
         F.size(t).alias("all"), F.when(F.size(t) > 0, _counted(t)).alias("terms")))[0]
     rows = docs.select(key, elements(F.array(counted)).alias("_d")).select(key, F.col("_d.all").alias("_all"), elements("_d.terms").alias("_c"))
     return rows.where("_c IS NOT NULL").select(key, "_c.term", "_c.n", (F.col("_c.n") / F.col("_all")).alias("tf"))

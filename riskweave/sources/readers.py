@@ -248,12 +248,12 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 
 def csv_file_report(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: header columns, records, cleaned lines and whether it is usable."""
+    """Per file: header columns, records, cleaned lines and whether it is usable. Files of one name in several folders stay apart."""
     lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("offset"),
+        "value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("offset"),
         F.monotonically_increasing_id().alias("line"))
     first = F.when(F.col("offset") == 0, F.col("line"))
-    return lines.groupBy("file").agg(
+    return lines.groupBy("path", "file").agg(
         F.min_by("value", first).alias("head"),
         (F.count(F.lit(1)) - 1).alias("records"),
         F.count_if(F.col("value").rlike(r"\S")).alias("clean_lines"),

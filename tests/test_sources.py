@@ -106,6 +106,11 @@ def test_csv_report_and_clean_lines(spark, tmp_path):
     got = {r["file"]: (r["header_columns"], r["records"], r["clean_lines"], r["valid"]) for r in readers.csv_file_report(spark, str(tmp_path)).collect()}
     assert got == {"a.csv": (3, 4, 3, True), "b.csv": (1, 1, 2, False)}
     assert [r["value"] for r in readers.clean_lines(spark.read.text(path)).collect()] == ["a,b,c", "1,2,3", "4,5,6"]
+    for folder, lines in (("x", 3), ("y", 5)):
+        (tmp_path / folder).mkdir()
+        put(tmp_path / folder, "same.csv", "a,b\n" + "1,2\n" * lines)
+    same = readers.csv_file_report(spark, f"{tmp_path}/[xy]/*").collect()
+    assert sorted((r["file"], r["records"]) for r in same) == [("same.csv", 3), ("same.csv", 5)]
 
 
 def test_json_syntax(spark):
