@@ -32,7 +32,7 @@ from riskweave.llm.common import store, text_of
 END = 2
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
-#: Entries of the two memories of an encoder, some 120 MB together; a full memory is emptied.
+#: Entries of the two memories of an encoder, some 120 MB together. Half of the chunks are those in use since the other half was full.
 _CACHE_WORDS, _CACHE_CHUNKS = 250_000, 400_000
 _MARKS, _LAST_LETTER = ".,;:!?*%&$#)", "ž"
 
@@ -84,6 +84,7 @@ class WordIds:
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
         self.words: dict[str, bytes] = {"": b""}
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
@@ -110,8 +111,6 @@ class WordIds:
     def _learn(self, chunks: list[str]) -> None:
         if len(self.words) > _CACHE_WORDS:
             self.words = {"": b""}
-        if len(self.chunks) > _CACHE_CHUNKS:
-            self.chunks = {}
         known, parts, wanted = self.words, [], set()
         for chunk in chunks:
             word = chunk.rstrip(_MARKS)
@@ -135,7 +134,12 @@ class WordIds:
         collecting = gc.isenabled()
         gc.disable()  # nothing here refers to itself, and a collection walks through all of it
         try:
+            if len(self.chunks) > _CACHE_CHUNKS // 2:
+                self.chunks, self.older = {}, self.chunks
             here = {chunk: ids for chunk in distinct if (ids := self.chunks.get(chunk)) is not None}
+            again = {chunk: ids for chunk in distinct - here.keys() if (ids := self.older.get(chunk)) is not None}
+            here.update(again)
+            self.chunks.update(again)
             if len(here) < len(distinct):
                 new = [chunk for chunk in distinct if chunk not in here]
                 self._learn(new)
