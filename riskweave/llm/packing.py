@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from riskweave.llm.common import store, text_of
 END = 2
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
-#: Entries of the two memories of an encoder, some 120 MB together. Half of the chunks are those in use since the other half was full.
+#: Entries of the two memories of an encoder, some 120 MB together. Half of each are those in use since the other half was full.
 _CACHE_WORDS, _CACHE_CHUNKS = 250_000, 400_000
 _MARKS, _LAST_LETTER = ".,;:!?*%&$#)", "ž"
 
@@ -83,6 +84,7 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
         self.words: dict[str, bytes] = {"": b""}
+        self.older_words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -109,9 +111,9 @@ class WordIds:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.words) > _CACHE_WORDS:
-            self.words = {"": b""}
-        known, parts, wanted = self.words, [], set()
+        if len(self.words) > _CACHE_WORDS // 2:
+            self.words, self.older_words = {"": b""}, self.words
+        known, older, parts, wanted = self.words, self.older_words, [], set()
         for chunk in chunks:
             word = chunk.rstrip(_MARKS)
             lowered = word.lower()
@@ -119,36 +121,59 @@ class WordIds:
             if word.isascii() and word.isalpha() or word.isalpha() and lowered.isalpha() and max(word) <= _LAST_LETTER:
                 marks = chunk[len(word):]
                 parts.append((chunk, lowered, marks))
-                if lowered not in known:
-                    wanted.add(lowered)
-                if marks not in known:
-                    wanted.add(marks)
+                for run in (lowered, marks):
+                    if run not in known:
+                        if run in older:
+                            known[run] = older[run]
+                        else:
+                            wanted.add(run)
             else:
                 self.chunks[chunk] = self._whole(chunk)
         self._encode(sorted(wanted))
         self.chunks.update([(chunk, known[word] + known[marks]) for chunk, word, marks in parts])
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [unicodedata.normalize("NFC", t).replace("\n", " ").split(" ") for t in texts]
-        distinct = set().union(*split)
+    def _known(self, distinct: list[str]) -> list[bytes]:
+        """Ids of distinct chunks in their order."""
         collecting = gc.isenabled()
         gc.disable()  # nothing here refers to itself, and a collection walks through all of it
         try:
             if len(self.chunks) > _CACHE_CHUNKS // 2:
                 self.chunks, self.older = {}, self.chunks
-            here = {chunk: ids for chunk in distinct if (ids := self.chunks.get(chunk)) is not None}
-            again = {chunk: ids for chunk in distinct - here.keys() if (ids := self.older.get(chunk)) is not None}
-            here.update(again)
-            self.chunks.update(again)
-            if len(here) < len(distinct):
-                new = [chunk for chunk in distinct if chunk not in here]
-                self._learn(new)
-                here.update((chunk, self.chunks[chunk]) for chunk in new)
+            found = list(map(self.chunks.get, distinct))
+            missing = [n for n, ids in enumerate(found) if ids is None]
+            older, new = self.older.get, []
+            for n in missing:
+                ids = older(distinct[n])
+                if ids is None:
+                    new.append(n)
+                else:
+                    found[n] = self.chunks[distinct[n]] = ids
+            if new:
+                self._learn([distinct[n] for n in new])
+                for n in new:
+                    found[n] = self.chunks[distinct[n]]
         finally:
             if collecting:
                 gc.enable()
-        find = here.__getitem__  # a small table stays in the processor's cache
-        return [b"".join(map(find, words)) for words in split]
+        return found
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text: its chunks are numbered, each distinct one is looked up, and the ids are gathered by number."""
+        plain = texts.to_pylist() if isinstance(texts, pa.Array) else texts
+        if not all(t.isascii() or unicodedata.is_normalized("NFC", t) for t in plain) or not isinstance(texts, pa.Array):
+            texts = pa.array([unicodedata.normalize("NFC", t) for t in plain], type=pa.large_string())
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        numbered = split.flatten().dictionary_encode()
+        coded = self._known(numbered.dictionary.to_pylist())
+        width = np.dtype(self.dtype).itemsize
+        pool = np.frombuffer(b"".join(coded), dtype=self.dtype)
+        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // width
+        begins, order = np.cumsum(sizes) - sizes, numbered.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes[order])))
+        flat = pool[np.repeat(begins[order] - ends[:-1], sizes[order]) + np.arange(ends[-1])]
+        bounds = np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy())))
+        cuts = ends[bounds].tolist()
+        return [flat[low:high].tobytes() for low, high in zip(cuts, cuts[1:])]
 
 
 def word_ids(path: str, dtype: str) -> WordIds:
@@ -159,6 +184,17 @@ def word_ids(path: str, dtype: str) -> WordIds:
     return home.encoder[1]
 
 
+def _slices(batch: pa.RecordBatch, most_rows: int = 1024, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Stretches of a batch, bounded by rows and bytes of text; one text may be longer."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64))
+    low = 0
+    while low < batch.num_rows:
+        before = int(ends[low - 1]) if low else 0
+        high = max(low + 1, min(low + most_rows, int(np.searchsorted(ends, before + most_bytes, side="right"))))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def _tokenise(path: str, dtype: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(path, dtype)
@@ -166,9 +202,8 @@ def _tokenise(path: str, dtype: str, length: int, end: int):
         width, last = np.dtype(dtype).itemsize, np.array([end], dtype=dtype).tobytes()
         step = length * width
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                coded = [x + last for x in encode(part.column(1).to_pylist())]
+            for part in _slices(batch):
+                coded = [x + last for x in encode(part.column(1))]
                 means = np.stack([directions.take(np.frombuffer(x, dtype=dtype) & 0xFFFF, axis=0).sum(axis=0) / (len(x) // width) for x in coded])
                 cube = np.clip(((np.tanh(means * 6) + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
                 keys = hilbert_key(cube, BITS).tolist()
