@@ -45,7 +45,6 @@ BASE_RULES = (
     Rule("repeated_windows", "repeat_pct", high=30),
 )
 RULES = (
-    Rule("long_text", "n_words", high=10_000_000),
     Rule("word_length", "mean_word_chars", low=1.5, high=20),
     Rule("symbols", "symbol_ratio", high=0.2),
     Rule("exclamations", "exclamation_ratio", high=0.3),

@@ -145,7 +145,7 @@ m AS (
   FROM d LEFT JOIN t USING (doc_id)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND n_words <= 10000000 AND word_chars BETWEEN 1.5 * n_words AND 20 * n_words AND n_symbols <= 0.2 * n_words
+  NOT base_failed AND word_chars BETWEEN 1.5 * n_words AND 20 * n_words AND n_symbols <= 0.2 * n_words
   AND n_marks <= 0.3 * n_words AND n_stops >= 0.02 * n_words AND n_dup_lines <= 0.6 * n_lines AS kept
 FROM b
 """

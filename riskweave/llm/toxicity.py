@@ -183,9 +183,10 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30)
     return tuple(float(v) for v in w)
 
 
-def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample: int = 20_000, max_terms: int = 20_000,
+def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample: int = 20_000,
           least: float = 2.5, support: int = 4) -> Lexicon:
-    """Lexicon, exceptions and curve from a bounded sample of labelled rows; at most ``max_terms`` candidates reach the driver."""
+    """Lexicon, exceptions and curve from a bounded sample of labelled rows. Terms and phrases are chosen by support and odds alone;
+    ``sample`` bounds how many there can be. Their order, by frequency and then by name, settles ties."""
     rows = training_rows(docs, labels, "toxic", F.lit(True) if usable is None else usable, sample).select("_text", "_y")
     totals = {r[0]: r[1] for r in rows.groupBy("_y").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
@@ -195,10 +196,10 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, samp
     counted = "term string, toxic long, clean long"
     counts = rows.mapInArrow(_count_terms, counted).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     rate = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / (clean + 1))
-    candidates = counts.where((F.col("toxic") >= support) & (rate >= math.exp(least) * 0.9)).orderBy(F.desc("toxic"), "term").limit(max_terms)
+    candidates = counts.where((F.col("toxic") >= support) & (rate >= math.exp(least) * 0.9)).orderBy(F.desc("toxic"), "term")
     lexicon = Lexicon(choose_terms([tuple(r) for r in candidates.collect()], toxic, clean, least))
     phrases = rows.mapInArrow(_count_phrases(lexicon), counted).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    clear = phrases.where((F.col("clean") >= 3) & (F.col("toxic") * 20 <= F.col("clean"))).orderBy(F.desc("clean"), "term").limit(max_terms)
+    clear = phrases.where((F.col("clean") >= 3) & (F.col("toxic") * 20 <= F.col("clean"))).orderBy(F.desc("clean"), "term")
     lexicon.exceptions = tuple(sorted(r[0] for r in clear.collect()))
     scored = rows.mapInArrow(_measures(lexicon), "y int, total double, dense double").collect()
     x = np.array([(r[1], r[2]) for r in scored])
