@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 from collections.abc import Iterable, Iterator
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -100,10 +105,25 @@ def _as_text(value: object) -> str | None:
     return ""  # an object or array
 
 
+_STRUCTURE = re.compile(r'\\.|["{}\[\]]', re.S)
+
+
+def _structure(text: str, depth: int, quoted: bool) -> tuple[int, bool]:
+    """Open brackets and whether a string is open after ``text``."""
+    for mark in _STRUCTURE.findall(text):
+        if mark == '"':
+            quoted = not quoted
+        elif not quoted and mark in "{[":
+            depth += 1
+        elif not quoted and mark in "}]":
+            depth -= 1
+    return depth, quoted
+
+
 def json_records(pieces: Iterable[str], name: str = "file") -> Iterator[dict[str, str | None]]:
     """Records of a JSON array given as the text between closing braces.
 
-    Only the current record is held. Text that is no array of objects, is cut off or
+    Only the current record is held, and it is parsed once, when its last brace is there. Text that is no array of objects, is cut off or
     goes on after the array raises ``ValueError``.
     """
     def refused(word: str) -> str:
@@ -138,13 +158,17 @@ def json_records(pieces: Iterable[str], name: str = "file") -> Iterator[dict[str
             first, rest = False, at[end:].lstrip()
             yield {k: _as_text(v) for k, v in record.items()}
 
-    held = None
+    held, waiting, depth, quoted = None, [], 0, False
     for piece in pieces:
         if held is not None:
-            yield from take(held + "}")
+            waiting.append(held + "}")
+            depth, quoted = _structure(waiting[-1], depth, quoted)
+            if depth <= 1 and not quoted:
+                yield from take("".join(waiting))
+                waiting = []
         held = piece
     if held is not None:
-        yield from take(held)
+        yield from take("".join(waiting) + held)
     if not begun:
         raise ValueError(f"{name}: expected a JSON array")
     if rest.strip() != "]":
@@ -281,8 +305,34 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*") -
         "path", F.col("length").alias("size_bytes"), "modificationTime")
 
 
-def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """MD5 and size in MB per file; each file is hashed by the task that reads it."""
-    return spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern).load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), F.md5("content").alias("md5"),
-        (F.col("length") / (1024 * 1024)).alias("size_mb"))
+def _open(path: str) -> pa.NativeFile:
+    if path.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem().open_input_stream("/" + path[5:].lstrip("/"))
+    system, name = pyarrow.fs.FileSystem.from_uri(quote(path, safe=":/@%"))
+    return system.open_input_stream(name)
+
+
+def _streamed_md5(batches: Iterator[pa.RecordBatch], portion: int = 4 * 1024 * 1024) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            digest = hashlib.md5()
+            with _open(path) as stream:
+                while part := stream.read(portion):
+                    digest.update(part)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), batch.column(1)], names=["path", "md5", "length"])
+
+
+def file_hashes(spark: SparkSession, path: str, pattern: str = "*", in_row: int = 64 * 1024 * 1024) -> DataFrame:
+    """MD5 and size in MB per file; each file is hashed by the task that reads it.
+
+    A file of at most ``in_row`` bytes is one row of the scan. A larger one, of any size, is read
+    as a stream in portions; its file system must be one that pyarrow knows. Empty files are not
+    listed by the scan and have no row.
+    """
+    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern).load(path)
+    small = files.where(F.col("length") <= in_row).select("path", F.md5("content").alias("md5"), "length")
+    large = files.where(F.col("length") > in_row).select("path", "length").mapInArrow(_streamed_md5, "path string, md5 string, length long")
+    return small.union(large).select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "md5", (F.col("length") / (1024 * 1024)).alias("size_mb"))

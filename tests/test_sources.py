@@ -1,4 +1,5 @@
 import hashlib
+import json
 from datetime import datetime
 
 import pytest
@@ -44,6 +45,16 @@ def test_json_pieces_of_any_cut():
     assert list(readers.json_records(["[]"])) == []
 
 
+def test_a_record_of_many_objects_is_parsed_once(monkeypatch):
+    calls = []
+    decode = json.JSONDecoder.raw_decode
+    monkeypatch.setattr(json.JSONDecoder, "raw_decode", lambda self, text, *more: calls.append(len(text)) or decode(self, text, *more))
+    record = {"a": 1, "o": [{"x": i, "t": "[{\\"} for i in range(6000)]}
+    text = json.dumps([record, {"a": 2}])
+    assert list(readers.json_records(text.split("}"))) == [{"a": "1", "o": ""}, {"a": "2"}]
+    assert len(calls) == 2
+
+
 def test_large_json_array(spark, tmp_path):
     path = tmp_path / "big.json"
     with path.open("w") as out:
@@ -126,6 +137,15 @@ def test_file_hash_and_listing(spark, tmp_path):
     assert readers.list_files(spark, str(tmp_path)).first()["size_bytes"] == 5
 
 
+def test_large_files_are_hashed_as_streams(spark, tmp_path):
+    texts = {"a b%20#é.bin": "hello", "two.bin": "y" * 5_000_000}
+    for name, text in texts.items():
+        put(tmp_path, name, text)
+    expected = {name: hashlib.md5(text.encode()).hexdigest() for name, text in texts.items()}
+    for in_row in (-1, 10, 2 ** 31 - 1):
+        assert {r["file"]: r["md5"] for r in readers.file_hashes(spark, str(tmp_path), in_row=in_row).collect()} == expected
+
+
 def test_jdbc_options_split_the_scan():
     got = readers.jdbc_options("jdbc:x", "t", "id", 0, 100, partitions=4)
     assert got == {"url": "jdbc:x", "dbtable": "t", "fetchsize": "10000", "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "4"}
