@@ -14,8 +14,8 @@ The benchmark is packed where it lies into blocks of about ``block_words`` token
 the documents into slices, and every block meets every slice in some task. Nothing passes
 through this module's driver code and the plan is the same for any benchmark size.
 
-Defined cases: null texts have no words; items without words are not searched; items
-shorter than the masks are searched by their blocks alone, so that one of up to four words must occur whole; words cut off by an end of the document count as substituted; an empty table on either side gives no rows; rows
+Defined cases: null texts have no words; items with fewer than ``min_item_words`` words (one word) are no evidence and are not searched; items
+shorter than the masks are searched by their blocks alone, so that one of two to four words must occur whole; words cut off by an end of the document count as substituted; an empty table on either side gives no rows; rows
 with a null id give rows with a null id; other columns are not read.
 """
 
@@ -195,9 +195,9 @@ def _search(masks: tuple[str, ...], penalty: int, need: int, share: float, block
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, need: int = 13, share: float = 0.8,
-           penalty: int = 3, block_words: int = 1_000_000) -> DataFrame:
+           penalty: int = 3, min_item_words: int = 2, block_words: int = 1_000_000) -> DataFrame:
     words = hashed(plain_words(text_of())).alias("words")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words).where(F.size("words") > 0)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words).where(F.size("words") >= max(1, min_item_words))
     side = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words, F.xxhash64(text_of()).alias("_row"))
     return _packed(items, "item", block_words, block_words).crossJoin(_packed(side, "doc", 512, 500_000)).mapInArrow(
         _search(masks, penalty, need, share, block_words), KEYED)

@@ -47,4 +47,6 @@ def test_short_items_must_occur_whole(spark):
         [(1, "some GREEN tea, please"), (2, "green and tea"), (3, "one two three five four"), (4, "so one two, three four go"),
          (5, "a solo"), (6, "solos"), (7, ""), (8, None)], "doc_id long, text string")
     got = decontamination.contaminated(docs, items).select("doc_id", "item_id").collect()
-    assert sorted(map(tuple, got)) == [(1, 1), (4, 2), (5, 5)]
+    assert sorted(map(tuple, got)) == [(1, 1), (4, 2)]
+    single = decontamination.contaminated(docs, items, min_item_words=1).select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, single)) == [(1, 1), (4, 2), (5, 5)]
