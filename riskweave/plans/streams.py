@@ -177,10 +177,10 @@ def l6(spark, d):
 
 @query("L6_stream_count_windows", cte("tx", _COUNTED))
 def l6_stream(spark, d):
-    windows = detectors.CountWindows(scratch(spark, "l6-state"), scratch(spark, "l6"), 300, _measures())
+    windows = detectors.CountWindows(
+        scratch(spark, "l6-state"), scratch(spark, "l6"), 300, _measures(), {"first_id": F.min, "last_id": F.max})
     _in_thirds(spark, d, "l6", lambda df, mark: messages.write_batches(df, windows, mark, every=None))
-    windows.flush(spark)
-    return spark.read.option("basePath", windows.output).parquet(f"{windows.output}/*").drop("batch_id").withColumn("total", F.round("total", 2))
+    return windows.every(spark).drop("_rows").withColumn("total", F.round("total", 2))
 
 
 def _in_two_feeds(spark, d, label, build):

@@ -2,9 +2,8 @@
 
 High value and sliding-window velocity run on the built-in engine. The detectors
 that need the history of a customer use its keyed state, event-time timeouts and
-watermark. Count windows over all rows work per micro-batch on a versioned table of
-counts: version ``n`` is written from version ``n - 1`` and batch ``n``, so a batch that is
-retried after a failure overwrites its own version and nothing else.
+watermark. Count windows over all rows append the partial aggregates of a micro-batch
+under its number, so a batch that is retried after a failure overwrites its own and nothing else.
 """
 
 from __future__ import annotations
@@ -75,18 +74,6 @@ def late_rows(query: StreamingQuery) -> int:
     return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
 
 
-def _versions(spark: SparkSession, state: str) -> list[int]:
-    root = spark._jvm.org.apache.hadoop.fs.Path(state)
-    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
-    return sorted(int(f.getPath().getName()[1:]) for f in found if f.getPath().getName()[1:].isdigit())
-
-
-def _forget(spark: SparkSession, state: str, batch_id: int) -> None:
-    """A batch can only come again right after the one before it; older versions go."""
-    old = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/v{batch_id - 2}")
-    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-
-
 @dataclass(frozen=True)
 class EventTimeDetector:
     """Scores the rows of a customer in event-time order, on the engine's keyed state.
@@ -246,43 +233,38 @@ def geographic_detector(delay_seconds: int = 3600, max_hours: float = 6.0) -> Ev
 
 @dataclass(frozen=True)
 class CountWindows:
-    """Tumbling windows of ``size`` rows in arrival order; fewer rows wait for the next batch.
+    """Tumbling windows of ``size`` rows in arrival order; within a batch rows are ordered by (ts, id).
 
-    Within a batch rows are ordered by (ts, id). ``measures`` are aggregates of one
-    window. ``flush`` closes the last, short window.
+    A batch is reduced to one partial aggregate per window it touches and the number of rows
+    seen up to its end, which is all that the next batch reads: rows are neither kept nor written
+    again. ``measures`` are aggregates of rows, ``merge`` says how their partial values are put together
+    (``sum`` where nothing is said). ``closed`` are the windows that are full, ``every`` has the open one too.
     """
 
     state: str
     output: str
     size: int
     measures: dict[str, Column]
+    merge: dict[str, Callable[[str], Column]]
     ts: str = "transaction_date"
     tiebreak: str = "transaction_id"
 
-    def _aggregate(self, rows: DataFrame) -> DataFrame:
-        return rows.groupBy("window_no").agg(*[m.alias(n) for n, m in self.measures.items()])
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark, version = batch.sparkSession, f"{self.state}/v{batch_id}"
-        placed = row_index(batch, self.ts, self.tiebreak)
-        held = spark.read.parquet(f"{self.state}/v{batch_id - 1}/rest") if batch_id > 0 else None
-        offset = spark.read.parquet(f"{self.state}/v{batch_id - 1}/seen").first()["seen"] if batch_id > 0 else 0
-        rows = placed.withColumn("row_index", F.col("row_index") + offset)
-        if held is not None:
-            rows = rows.unionByName(held)
-        rows.write.mode("overwrite").parquet(f"{version}/rows")
-        rows = spark.read.parquet(f"{version}/rows").withColumn("window_no", F.floor(F.col("row_index") / self.size))
-        total = rows.agg(F.coalesce(F.max("row_index") + 1, F.lit(offset)).alias("seen"))
-        total.write.mode("overwrite").parquet(f"{version}/seen")
-        full = spark.read.parquet(f"{version}/seen").first()["seen"] // self.size
-        self._aggregate(rows.where(F.col("window_no") < full)).write.mode("overwrite").parquet(f"{self.output}/batch_id={batch_id}")
-        rows.where(F.col("window_no") >= full).drop("window_no").write.mode("overwrite").parquet(f"{version}/rest")
-        _forget(spark, self.state, batch_id)
-
-    def flush(self, spark: SparkSession) -> None:
-        rest = spark.read.parquet(f"{self.state}/v{_versions(spark, self.state)[-1]}/rest")
-        rest = rest.withColumn("window_no", F.floor(F.col("row_index") / self.size))
-        self._aggregate(rest).write.mode("overwrite").parquet(f"{self.output}/batch_id=flush")
+        spark, part = batch.sparkSession, f"{self.output}/batch_id={batch_id}"
+        offset = spark.read.parquet(f"{self.state}/batch_id={batch_id - 1}").first()["seen"] if batch_id > 0 else 0
+        placed = row_index(batch, self.ts, self.tiebreak).withColumn("window_no", F.floor((F.col("row_index") + offset) / self.size))
+        partial = placed.groupBy("window_no").agg(F.count(F.lit(1)).alias("_rows"), *[m.alias(n) for n, m in self.measures.items()])
+        partial.write.mode("overwrite").parquet(part)
+        seen = spark.read.schema(partial.schema).parquet(part).agg((F.coalesce(F.sum("_rows"), F.lit(0)) + offset).alias("seen"))
+        seen.write.mode("overwrite").parquet(f"{self.state}/batch_id={batch_id}")
+
+    def every(self, spark: SparkSession) -> DataFrame:
+        partial = spark.read.parquet(self.output).drop("batch_id")
+        return partial.groupBy("window_no").agg(
+            F.sum("_rows").alias("_rows"), *[self.merge.get(n, F.sum)(n).alias(n) for n in self.measures])
+
+    def closed(self, spark: SparkSession) -> DataFrame:
+        return self.every(spark).where(F.col("_rows") == self.size)
 
 
 def count_windows(df: DataFrame, size: int, measures: dict[str, Column], ts: str = "transaction_date", tiebreak: str = "transaction_id") -> DataFrame:

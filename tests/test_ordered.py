@@ -131,3 +131,100 @@ def test_deviations_do_not_depend_on_the_level(spark, offset):
             mean = sum(values[:i]) / i
             assert got[i]["prior_mean"] - offset == pytest.approx(mean, abs=1e-3)
             assert got[i]["prior_m2"] == pytest.approx(sum((v - mean) ** 2 for v in values[:i]), rel=1e-6, abs=2e-2 if offset > 1e10 else 1e-6)
+
+
+@pytest.fixture()
+def tight(monkeypatch):
+    """Every slice of more than 20 rows counts as crowded."""
+    monkeypatch.setattr(ordered, "SLICE_ROWS", 20)
+
+
+@pytest.fixture(scope="module")
+def midnight():
+    """A third of the rows under one key, most of them on two dates without a time; null keys and values."""
+    rnd = random.Random(11)
+    days = [datetime(2024, 3, 1), datetime(2024, 3, 2)]
+    out = []
+    for i in range(500):
+        key = "hot" if i % 3 == 0 else rnd.choice(["a", "b"])
+        at = days[i % 2] if i % 5 else days[0] + timedelta(seconds=rnd.randrange(0, 5000))
+        out.append((i, key, at, None if i % 50 == 7 else 1e6 + rnd.random()))
+    return out
+
+
+@pytest.fixture(scope="module")
+def dated(spark, midnight):
+    return spark.createDataFrame(midnight, "id bigint, key string, ts timestamp, v double").repartition(4)
+
+
+@pytest.mark.parametrize("keys,limit", [(["key"], 20), ([], 50)])
+def test_crowded_slices_are_cut(dated, keys, limit):
+    """Rows of one instant are spread over ranges of bounded size that do not overlap."""
+    placed, by = ordered.with_slices(dated, keys, ordered.time_slice("ts", 3600), ["ts", "id"], limit)
+    assert by == [ordered.SLICE, ordered.PART] and placed.count() == dated.count()
+    ranges = placed.groupBy(*keys, *by).agg(
+        F.count("*").alias("n"), F.min(F.struct("ts", "id")).alias("low"), F.max(F.struct("ts", "id")).alias("high")).collect()
+    assert max(r["n"] for r in ranges) <= 3 * limit  # ranges are sampled, so they are not all alike
+    ranges.sort(key=lambda r: tuple(r[k] for k in [*keys, *by]))
+    for before, after in zip(ranges, ranges[1:]):
+        if all(before[k] == after[k] for k in keys):
+            assert before["high"] < after["low"]
+
+
+def test_few_rows_are_not_cut(dated):
+    placed, by = ordered.with_slices(dated, ["key"], ordered.time_slice("ts", 3600), ["ts", "id"])
+    assert by == [ordered.SLICE] and ordered.PART not in placed.columns
+
+
+def test_previous_event_in_crowded_slices(dated, midnight, tight):
+    rank = sorted((k, t, i, v) for i, k, t, v in midnight)
+    want = {b[2]: (a[2], a[3]) if a[0] == b[0] else None for a, b in zip([("", None, None, None), *rank], rank)}
+    got = {r["id"]: tuple(r["previous"]) if r["previous"] else None for r in ordered.previous_event(dated, "key", "ts", "id", ["id", "v"]).collect()}
+    assert got == want
+
+
+def test_row_index_in_crowded_slices(dated, midnight, tight):
+    order = [i for i, _, _, _ in sorted(midnight, key=lambda r: (r[2], r[0]))]
+    got = {r["id"]: r["row_index"] for r in ordered.row_index(dated, "ts", "id").collect()}
+    assert [got[i] for i in order] == list(range(len(order)))
+
+
+@pytest.mark.parametrize("limit", [3, 20, None])
+def test_prior_moments_in_crowded_slices(dated, midnight, limit):
+    """Rows of one instant never count for each other, wherever the slice was cut."""
+    got = ordered.prior_moments(dated, "key", "ts", "v", limit=limit).collect()
+    assert len(got) == len(midnight)
+    for r in got:
+        before = [v for _, k, t, v in midnight if k == r["key"] and t < r["ts"] and v is not None]
+        assert r["prior_n"] == len(before)
+        mean = math.fsum(before) / len(before) if before else None
+        assert r["prior_mean"] == (pytest.approx(mean, rel=1e-12) if before else None)
+        assert r["prior_m2"] == pytest.approx(math.fsum((v - mean) ** 2 for v in before), rel=1e-6, abs=1e-6)
+        assert (r["prior_min"], r["prior_max"]) == ((min(before), max(before)) if before else (None, None))
+
+
+def test_null_keys_of_crowded_slices_stay(spark, tight):
+    df = spark.range(200).select(F.col("id"), F.lit(None).cast("string").alias("key"), F.lit(BASE).alias("ts"), F.col("id").cast("double").alias("v"))
+    assert ordered.previous_event(df, "key", "ts", "id", ["id"]).count() == 200
+    assert {r["prior_n"] for r in ordered.prior_moments(df, "key", "ts", "v").collect()} == {0}
+
+
+def test_close_values_fill_many_slices(spark):
+    """Epoch seconds of a month lie in one fixed cell; the cuts spread them and the ranks stay exact."""
+    seconds = spark.range(0, 2_600_000).select((F.lit(1_700_000_000) + F.col("id")).alias("at"))
+    points, by = ordered._sliced_counts(seconds, [], "at", {"n": F.count(F.lit(1))}, 1024)
+    sizes = [r["count"] for r in points.groupBy(*by).count().collect()]
+    assert len(sizes) >= 100 and max(sizes) <= 4 * ordered.SLICE_ROWS
+    got = ordered.values_at_ranks(seconds, [], "at", lambda n: [F.lit(0), F.floor(n / 2), n - 1]).first()["values"]
+    assert got == [1_700_000_000.0, 1_701_300_000.0, 1_702_599_999.0]
+
+
+def test_totals_and_ranks_in_crowded_cells(spark, tight):
+    rnd = random.Random(2)
+    values = [(g, 100 + rnd.randrange(900) / 1e5) for g in ("a", None) for _ in range(400)]
+    df = spark.createDataFrame(values, "g string, v double")
+    alone = [v for g, v in values if g == "a"]
+    got = {r["value"]: (r["n"], r["all_n"]) for r in ordered.running_totals(df.where("g = 'a'"), ["g"], "v", {"n": F.count(F.lit(1))}).collect()}
+    assert got == {v: (sum(x <= v for x in alone), len(alone)) for v in alone}
+    middle = ordered.values_at_ranks(df.where("g = 'a'"), ["g"], "v", lambda n: [F.lit(0), F.floor(n / 2)]).first()["values"]
+    assert middle == [min(alone), sorted(alone)[200]]
