@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.text import elements, tokens
+from riskweave.session import scratch
 
 # Scores are compared at this many places: sums differ in the last bits with the
 # order of addition, and copies of a text must tie so that the key decides.
@@ -25,15 +27,24 @@ def _counted(sorted_terms: Column) -> Column:
         F.get(sorted_terms, end).alias("term"), (end - F.coalesce(F.get(ends, i - 1), F.lit(-1))).cast("long").alias("n"))))[0]
 
 
-def term_frequencies(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, n, tf) with tf = occurrences / all tokens of the document; one text per key.
+def document_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, _all, _terms): the number of tokens and (term, n) of a text, in its row.
 
     Terms are counted inside the row, so texts are not shuffled.
     """
     counted = F.transform(F.array(F.sort_array(tokens(F.col(text)))), lambda t: F.struct(
         F.size(t).alias("all"), F.when(F.size(t) > 0, _counted(t)).alias("terms")))[0]
-    rows = docs.select(key, elements(F.array(counted)).alias("_d")).select(key, F.col("_d.all").alias("_all"), elements("_d.terms").alias("_c"))
-    return rows.where("_c IS NOT NULL").select(key, "_c.term", "_c.n", (F.col("_c.n") / F.col("_all")).alias("tf"))
+    return docs.select(key, elements(F.array(counted)).alias("_d")).select(key, F.col("_d.all").alias("_all"), F.col("_d.terms").alias("_terms"))
+
+
+def _term_rows(counts: DataFrame, *columns: str) -> DataFrame:
+    rows = counts.select(*columns, "_all", elements("_terms").alias("_c")).where("_c IS NOT NULL")
+    return rows.select(*columns, "_c.term", "_c.n", (F.col("_c.n") / F.col("_all")).alias("tf"))
+
+
+def term_frequencies(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, n, tf) with tf = occurrences / all tokens of the document; one text per key."""
+    return _term_rows(document_terms(docs, key, text), key)
 
 
 def inverse_document_frequencies(tf: DataFrame, docs: DataFrame) -> DataFrame:
@@ -55,12 +66,23 @@ def unit_weights(tf: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     return _weighted(tf, idf, key).select(key, "term", "idf", (F.col("_w") / norm).alias("weight"))
 
 
-def build_index(docs: DataFrame, key: str, text: str, path: str) -> dict[str, DataFrame]:
+def _with_norms(rows: DataFrame, norms: DataFrame, key: str) -> DataFrame:
+    """Rows with the ``_norm`` of their key. A null key is no join key, its norm comes as a value."""
+    unkeyed = norms.where(F.col(key).isNull()).agg(F.max("_norm")).scalar()
+    return rows.join(norms, key, "left").withColumn("_norm", F.when(F.col(key).isNull(), unkeyed).otherwise(F.col("_norm")))
+
+
+def build_index(docs: DataFrame, key: str, text: str, path: str, head: int = 100_000) -> dict[str, DataFrame]:
     """Write the index tables below ``path`` and return them as stored.
 
     ``tf`` holds the counts, ``idf`` the vocabulary and ``postings`` the unit weights of
     every document. Each is computed once, from the stored ones before it, and the
     planner sees the true table sizes when it chooses joins.
+
+    A posting is wide for a shuffle, so few of them travel. Counts are stored as one row per
+    text, in buckets by key (``counts``; ``tf`` is the same as rows). The ``head`` most frequent terms,
+    a small table that holds most postings, meet the counts where they lie. Only postings of
+    rarer terms are shuffled to their idf. The length of a document (``norms``) is summed from both.
     """
     spark = docs.sparkSession
 
@@ -68,9 +90,21 @@ def build_index(docs: DataFrame, key: str, text: str, path: str) -> dict[str, Da
         df.write.mode("overwrite").parquet(f"{path}/{name}")
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
-    tf = stored("tf", term_frequencies(docs, key, text))
+    buckets, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"tf_{uuid.uuid4().hex}"
+    document_terms(docs, key, text).repartition(buckets, key).write.bucketBy(buckets, key).mode("overwrite").saveAsTable(
+        table, format="parquet", path=f"{path}/tf")
+    counts = spark.table(table)
+    tf = _term_rows(counts, key)
     idf = stored("idf", inverse_document_frequencies(tf, docs))
-    return {"tf": tf, "idf": idf, "postings": stored("postings", unit_weights(tf, idf, key).drop("idf"))}
+    common = stored("head", idf.orderBy(F.desc("df"), "term").limit(head))
+    rare = stored("tail", _weighted(tf.join(common, "term", "left_anti"), idf, key).drop("idf"))
+    squares = [w.groupBy(key).agg(F.sum(F.col("_w") * F.col("_w")).alias("_s")) for w in (_weighted(tf, common, key), rare)]
+    norms = stored("norms", squares[0].union(squares[1]).groupBy(key).agg(F.sqrt(F.sum("_s")).alias("_norm")))
+    lying = _with_norms(counts, norms, key)
+    frequent = _term_rows(lying, key, "_norm").join(common.select("term", "idf"), "term").withColumn("_w", F.col("tf") * F.col("idf")).where("_w <> 0")
+    unit = (F.col("_w") / F.col("_norm")).alias("weight")
+    postings = stored("postings", frequent.select(key, "term", unit).union(_with_norms(rare, norms, key).select(key, "term", unit)))
+    return {"tf": tf, "idf": idf, "postings": postings, "counts": counts, "norms": norms}
 
 
 def corpus_stats(docs: DataFrame, text: str) -> DataFrame:
@@ -87,13 +121,18 @@ def top_k(scored: DataFrame, query: str, order: list[Column], k: int) -> DataFra
 def tfidf_search(index: dict[str, DataFrame], key: str, queries: DataFrame, query: str, text: str, k: int = 5) -> DataFrame:
     """(query, key, score, rank) with score > 0; unknown query terms still count in the query's length.
 
-    The postings carry unit weights, so they are read once, meet only the query terms and
-    are summed per (query, document) before anything is shuffled.
+    The counts lie in buckets by key, so they are read once, meet only the query terms and
+    are summed per (query, document) without a shuffle; the k best of a task leave it. The
+    query terms are stored first, so that the planner knows how few they are.
     """
     asked = unit_weights(term_frequencies(queries, query, text), index["idf"], query).select(
-        query, "term", F.col("weight").alias("_q"))
-    scored = index["postings"].join(asked, "term").groupBy(query, key).agg(
-        F.sum(F.col("weight") * F.col("_q")).alias("score")).where("score > 0")
+        query, "term", "idf", F.col("weight").alias("_q"))
+    path = scratch(queries.sparkSession, "asked")
+    asked.write.parquet(path)
+    lying = _term_rows(_with_norms(index["counts"], index["norms"], key), key, "_norm")
+    met = lying.join(queries.sparkSession.read.schema(asked.schema).parquet(path), "term")
+    scored = met.groupBy(query, key).agg(
+        F.sum(F.col("tf") * F.col("idf") / F.col("_norm") * F.col("_q")).alias("score")).where("score > 0")
     # Rounded for the order only: copies of a text tie and the key decides.
     return top_k(scored, query, [F.desc(F.round("score", PLACES)), F.asc(key)], k)
 

@@ -91,6 +91,13 @@ def k7(spark, d):
     return _hits(spark, d).withColumn("score", F.round("score", 6))
 
 
+def _found(spark, d):
+    """The hits as stored: the planner knows how few they are, so texts are not shuffled to meet them."""
+    path, hits = scratch(spark, "hits"), _hits(spark, d)
+    hits.write.parquet(path)
+    return spark.read.schema(hits.schema).parquet(path)
+
+
 # Query vectors: the mean vector of every label.
 _CENTROIDS = """
 WITH long AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings),
@@ -162,7 +169,7 @@ SELECT item_id, coalesce(string_agg(CASE WHEN over = 0 THEN concat('[Document ',
      WHEN 4000 - used > 100 THEN concat('[Document ', rank, ']', chr(10), substr(text, 1, CAST(4000 - used AS BIGINT)), '...') END, chr(10) || chr(10) ORDER BY rank), '') AS context
 FROM kept WHERE passed = 0 GROUP BY item_id""")
 def k12(spark, d):
-    found = _hits(spark, d).join(docs(spark, d).select("doc_id", "text"), "doc_id")
+    found = _found(spark, d).join(docs(spark, d).select("doc_id", "text"), "doc_id")
     return documents.assemble_context(found, "item_id", "rank", "text", 4000)
 
 
@@ -191,7 +198,7 @@ def k14(spark, d):
 SELECT item_id, doc_id, source, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '...' ELSE text END AS snippet,
        substr(text, 1, 200) || '...' AS excerpt, round(score, 6) AS relevance_score FROM hit JOIN documents USING (doc_id)""")
 def k15(spark, d):
-    found = _hits(spark, d).join(docs(spark, d).select("doc_id", "source", "text"), "doc_id")
+    found = _found(spark, d).join(docs(spark, d).select("doc_id", "source", "text"), "doc_id")
     return documents.evidence_rows(found, "source", "text", "score").select(
         "item_id", "doc_id", "source", documents.snippet(F.col("text")).alias("snippet"), "excerpt", F.round("relevance_score", 6).alias("relevance_score"))
 

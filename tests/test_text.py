@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import string
 
 import numpy as np
@@ -148,6 +149,26 @@ def test_tfidf_search_matches_brute_force(spark, tmp_path):
     assert {q: v for q, v in brute_tfidf(docs, queries, 7).items() if v} == got
 
 
+@pytest.mark.parametrize("head", [0, 2, 100])
+def test_index_of_common_and_rare_terms_and_repeated_keys(spark, tmp_path, head):
+    docs = [(1, "a b b c"), (2, "a c d"), (2, "a b"), (3, "b e a"), (None, "a f c"), (None, "c b"), (4, ""), (5, None), (6, "a")]
+    df = spark.createDataFrame(docs, "d long, t string")
+    index = retrieval.build_index(df, "d", "t", str(tmp_path / "ix"), head=head)
+    tf = retrieval.term_frequencies(df, "d", "t")
+    plain = retrieval.unit_weights(tf, retrieval.inverse_document_frequencies(tf, df), "d")
+
+    def rows(weights):
+        return sorted(((r["d"] is None, r["d"] or 0, r["term"], round(r["weight"], 9)) for r in weights.collect()))
+    assert rows(index["postings"]) == rows(plain) and index["tf"].count() == tf.count()
+    queries = spark.createDataFrame([(0, "b c"), (0, "f"), (1, "e d d"), (2, "unseen")], "q long, t string")
+    asked = retrieval.unit_weights(retrieval.term_frequencies(queries, "q", "t"), index["idf"], "q").select("q", "term", F.col("weight").alias("w"))
+    scored = plain.join(asked, "term").groupBy("q", "d").agg(F.sum(F.col("weight") * F.col("w")).alias("score"))
+    found = retrieval.tfidf_search(index, "d", queries, "q", "t", 9)
+    assert sorted((r["q"], str(r["d"]), round(r["score"], 9)) for r in found.collect()) == sorted((r["q"], str(r["d"]), round(r["score"], 9)) for r in scored.collect())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^,()]*q#\d+L?, d#", plan)  # sums need no shuffle
+
+
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
 @pytest.mark.parametrize("block", [100, 2])
 def test_dense_search(spark, metric, block):
