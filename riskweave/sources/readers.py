@@ -6,6 +6,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -120,17 +121,39 @@ def _structure(text: str, depth: int, quoted: bool) -> tuple[int, bool]:
     return depth, quoted
 
 
-def json_records(pieces: Iterable[str], name: str = "file") -> Iterator[dict[str, str | None]]:
-    """Records of a JSON array given as the text between closing braces.
+def _cut(pieces: Iterable[str], depth: int = 0, quoted: bool = False, begins: bool = True, final: bool = True) -> Iterator[tuple[str, str, bool]]:
+    """Text between closing braces as (kind, text, whether a record ends there), cut where records end.
 
-    Only the current record is held, and it is parsed once, when its last brace is there. Text that is no array of objects, is cut off or
-    goes on after the array raises ``ValueError``.
+    ``depth`` and ``quoted`` tell where the text begins, ``begins`` that it begins a file and ``final`` that it ends one. "head"
+    belongs to a record that began before the text, "tail" to one that goes on after it, "whole" is complete.
     """
+    inside, waiting, held = begins or (depth <= 1 and not quoted), [], None
+
+    def add(text: str) -> Iterator[tuple[str, str, bool]]:
+        nonlocal depth, quoted, inside, waiting
+        waiting.append(text)
+        depth, quoted = _structure(text, depth, quoted)
+        if depth <= 1 and not quoted:
+            yield "whole" if inside else "head", "".join(waiting), True
+            inside, waiting = True, []
+
+    for piece in pieces:
+        if held is not None:
+            yield from add(held + "}")
+        held = piece
+    if held is not None:
+        yield from add(held if final else held + "}")
+    if waiting:
+        yield ("whole" if final else "tail") if inside else "head", "".join(waiting), final
+
+
+def _parsed(texts: Iterable[str], name: str = "file", begins: bool = True, final: bool = True) -> Iterator[dict[str, str | None]]:
+    """Records of texts cut where records end; the brackets of the array are expected where the file begins and ends."""
     def refused(word: str) -> str:
         raise ValueError(f"{name}: malformed JSON, {word}")
 
     decoder = json.JSONDecoder(parse_float=lambda x: repr(float(x)), parse_int=str, parse_constant=refused)
-    rest, begun, first = "", False, True
+    rest, begun, first = "", not begins, begins
 
     def take(text: str) -> Iterator[dict[str, str | None]]:
         nonlocal rest, begun, first
@@ -158,28 +181,64 @@ def json_records(pieces: Iterable[str], name: str = "file") -> Iterator[dict[str
             first, rest = False, at[end:].lstrip()
             yield {k: _as_text(v) for k, v in record.items()}
 
-    held, waiting, depth, quoted = None, [], 0, False
-    for piece in pieces:
-        if held is not None:
-            waiting.append(held + "}")
-            depth, quoted = _structure(waiting[-1], depth, quoted)
-            if depth <= 1 and not quoted:
-                yield from take("".join(waiting))
-                waiting = []
-        held = piece
-    if held is not None:
-        yield from take("".join(waiting) + held)
-    if not begun:
+    for text in texts:
+        yield from take(text)
+    if final and not begun:
         raise ValueError(f"{name}: expected a JSON array")
-    if rest.strip() != "]":
+    if rest.strip() != ("]" if final else ""):
         raise ValueError(f"{name}: malformed JSON, cut off or with text after the array")
 
 
-def read_raw_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def json_records(pieces: Iterable[str], name: str = "file") -> Iterator[dict[str, str | None]]:
+    """Records of a JSON array given as the text between closing braces.
+
+    Only the current record is held, and it is parsed once, when its last brace is there. Text that is no array of objects, is cut off or
+    goes on after the array raises ``ValueError``.
+    """
+    return _parsed((text for _, text, _ in _cut(pieces)), name)
+
+
+def _brackets(part: Iterable[tuple[int, str]]) -> tuple[bool, int, int, bool] | None:
+    """Whether a split begins a file, by how much it opens brackets if it starts outside or inside a string, and whether it ends in the other state."""
+    begins, opened, odd = None, [0, 0], False
+    for offset, piece in part:
+        begins = offset == 0 if begins is None else begins
+        for mark in _STRUCTURE.findall(piece + "}"):
+            if mark == '"':
+                odd = not odd
+            elif mark in "{}[]":
+                opened[odd] += 1 if mark in "{[" else -1
+    return None if begins is None else (begins, *opened, odd)
+
+
+def _split_starts(found: list[tuple[int, tuple[bool, int, int, bool]]]) -> dict[int, tuple[int, int, bool, bool, bool]]:
+    """Split -> (file, depth, quoted, begins the file, ends the file), from the brackets of the splits before it."""
+    starts, depth, quoted, file = {}, 0, False, -1
+    for at, (split, (begins, outside, inside, odd)) in enumerate(found):
+        if begins:
+            file, depth, quoted = file + 1, 0, False
+        starts[split] = file, depth, quoted, begins, at + 1 == len(found) or found[at + 1][1][0]
+        depth, quoted = depth + (inside if quoted else outside), quoted != odd
+    return starts
+
+
+def _over_splits(fragments: Iterable[tuple[object, bool, bool, bool, str]]) -> Iterator[dict[str, str | None]]:
+    """Records of a file that go over the end of a split, from their parts (split, begins the file, ends the file, a record ends here, text)."""
+    waiting, begins = [], False
+    for _, first, final, ends, text in fragments:
+        waiting.append(text)
+        begins = begins or first
+        if ends:
+            yield from _parsed(["".join(waiting)], begins=begins, final=final)
+            waiting, begins = [], False
+
+
+def read_raw_json(spark: SparkSession, path: str | list[str], split_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Records of JSON array files as ``record MAP<STRING, STRING>``; null stays null, nested values become ''.
 
-    Each file is one task that streams it up to the next closing brace and keeps one
-    record in memory, so the size of a file has no limit. Broken files fail the read.
+    Files are read in splits of at most ``split_bytes``, each by a task that streams it up to the next closing brace and keeps one
+    record in memory. The brackets and quotes of the splits are counted first, if a file has several, so that each
+    knows where it starts; a record over the end of a split is put together from its parts. Broken files fail the read.
     """
     paths = [path] if isinstance(path, str) else path
     for name in paths:  # no task ever sees an empty file
@@ -187,13 +246,38 @@ def read_raw_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
         for status in at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []:
             if status.isFile() and status.getLen() == 0:
                 raise ValueError(f"{name}: expected a JSON array")
-    # One split per file, in order, wherever the file system is: the text source cannot promise that.
+    # Splits in the order of their files and offsets, wherever the file system is: the text source cannot promise that.
     pieces = spark.sparkContext.newAPIHadoopFile(
         ",".join(paths), "org.apache.hadoop.mapreduce.lib.input.TextInputFormat", "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text",
-        conf={"textinputformat.record.delimiter": "}", "mapreduce.input.fileinputformat.split.minsize": str(2 ** 62),
+        conf={"textinputformat.record.delimiter": "}", "mapreduce.input.fileinputformat.split.maxsize": str(split_bytes),
               "mapreduce.input.fileinputformat.input.dir.recursive": "true"})
-    records = pieces.mapPartitions(lambda part: ((r,) for r in json_records(text for _, text in part)))
-    return spark.createDataFrame(records, "record map<string,string>")
+    begin = pieces.mapPartitions(lambda part: [offset == 0 for offset, _ in islice(part, 1)]).collect() if pieces.getNumPartitions() > 1 else [True]
+    if all(begin):
+        records = pieces.mapPartitions(lambda part: ((r,) for r in json_records(text for _, text in part)))
+        return spark.createDataFrame(records, "record map<string,string>")
+    starts = _split_starts([(i, b) for i, b in pieces.mapPartitionsWithIndex(lambda i, part: [(i, _brackets(part))]).collect() if b])
+
+    def cut(i: int, part: Iterable[tuple[int, str]]) -> Iterator[tuple[str, str, bool]]:
+        return _cut((text for _, text in part), *starts[i][1:]) if i in starts else iter(())
+
+    def complete(i: int, part: Iterable[tuple[int, str]]) -> Iterator[tuple[dict]]:
+        whole = (text for kind, text, _ in cut(i, part) if kind == "whole")
+        for text in whole:  # there may be none, then the split lies within one record
+            yield from ((r,) for r in _parsed(chain([text], whole), begins=starts[i][3], final=starts[i][4]))
+
+    def over(i: int, part: Iterable[tuple[int, str]]) -> Iterator[tuple[int, tuple]]:
+        alone, parts = True, []
+        for kind, text, ends in cut(i, part):
+            if kind == "whole":
+                alone = False
+            else:
+                parts.append((ends, text))
+        for n, (ends, text) in enumerate(parts):
+            yield starts[i][0], ((i, n), alone and starts[i][3], alone and starts[i][4], ends, text)
+
+    parts = pieces.mapPartitionsWithIndex(over).groupByKey().flatMap(
+        lambda file: ((r,) for r in _over_splits(sorted(file[1], key=lambda part: part[0]))))
+    return spark.createDataFrame(pieces.mapPartitionsWithIndex(complete).union(parts), "record map<string,string>")
 
 
 def fixed_width_fields(line: Column, layout: tuple[tuple[str, int, int], ...]) -> list[Column]:

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave.plans import files
 from riskweave.sources import readers, writers
 
 
@@ -63,6 +64,37 @@ def test_large_json_array(spark, tmp_path):
     assert readers.read_raw_json(spark, str(path)).where("length(record['note']) = 400").count() == 200_000
 
 
+@pytest.mark.parametrize("split", [40, 190, 900])
+def test_one_json_array_in_many_splits(spark, tmp_path, split):
+    rows = [{"id": str(i), "t": 'x}",{"[\\ é' * (i % 5), "o": {"l": [{"a": 1}, {}]}} for i in range(25)]
+    path = put(tmp_path, "a/a.json", " " + json.dumps(rows, indent=1, ensure_ascii=False) + "\n")
+    put(tmp_path, "a/b.json", '[{"id": "b"}]')
+    put(tmp_path, "a/c.json", "[ ]")
+    found = readers.read_raw_json(spark, str(tmp_path / "a"), split_bytes=split)
+    want = [{"id": r["id"], "t": r["t"], "o": ""} for r in rows] + [{"id": "b"}]
+    assert sorted(sorted(r["record"].items()) for r in found.collect()) == sorted(sorted(r.items()) for r in want)
+    if split == 190:  # the file is no longer read by one task
+        assert readers.read_raw_json(spark, path, split_bytes=split).select(F.spark_partition_id()).distinct().count() > 2
+
+
+@pytest.mark.parametrize("text", [
+    '[{"a": 1}, {"a": 2}', '[{"a": 1} {"a": 2}]', '[{"a": 1}] {"a": 2}', '[{"a": 1}][{"a": 2}]', '[{"a": 1}, {"a": "2]', '[{"a": 1}, 3, {"a": 2}]',
+    '{"a": 1}, {"a": 2}]', '[{"a": 1}}, {"a": 2}]'])
+@pytest.mark.parametrize("split", [2, 9])
+def test_broken_json_in_many_splits_is_an_error(spark, tmp_path, text, split):
+    with pytest.raises(Exception, match="ValueError: "):
+        readers.read_raw_json(spark, put(tmp_path, "a.json", text), split_bytes=split).collect()
+
+
+def test_arrays_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(10).select(F.col("id").alias("transaction_id"), F.lit("m").alias("merchant"))
+    files._write_array(rows.repartition(3), str(tmp_path / "many"))
+    files._write_array(rows.where("transaction_id < 0"), str(tmp_path / "none"))
+    assert len(list((tmp_path / "many").glob("*.json"))) == 3
+    assert sorted(int(r["record"]["transaction_id"]) for r in readers.read_raw_json(spark, str(tmp_path / "many")).collect()) == list(range(10))
+    assert readers.read_raw_json(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_quoted_line_breaks(spark, tmp_path):
     path = put(tmp_path, "q.csv", 'id,shop,amount\n1,"Shop\nA",5\n2,B,6\n')
     assert [tuple(r) for r in readers.read_raw_csv(spark, path).collect()] == [("1", "Shop\nA", "5"), ("2", "B", "6")]
