@@ -167,7 +167,7 @@ def dense_search(
     sides = [(queries, query, query_vector, "_names", "_q", block), (corpus, key, vector, "_keys", "_v", 2048)]
     (asked, name_kind), (side, key_kind) = (_packed(*x) for x in sides)
     schema = f"`{query}` {name_kind}, `{key}` {key_kind}, score double"
-    scored = asked.crossJoin(side).mapInPandas(_block_scores(query, key, k, metric), schema)
+    scored = asked.crossJoin(side).select("_names", "_q", "_keys", "_v").mapInArrow(_block_scores(query, key, k, metric), schema)
     best = top_k(scored, query, [F.asc("score") if metric == "l2" else F.desc("score"), F.asc(key)], k)
     return best if threshold is None else best.where(F.col("score") >= threshold)
 
@@ -176,7 +176,9 @@ def _packed(df: DataFrame, key: str, vector: str, names: str, matrix: str, rows:
     """(keys, bytes of the vectors) for every ``rows`` rows of a partition, and the type of the keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (whole.slice(low, rows) for whole in batches for low in range(0, whole.num_rows, rows)):
-            values = np.array(part.column(1).to_pylist(), dtype="float64")
+            values = part.column(1).flatten().to_numpy(zero_copy_only=False)
+            if len(set(part.column(1).value_lengths().to_pylist())) > 1:
+                raise ValueError("vectors of different lengths")
             keys = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0))
             yield pa.RecordBatch.from_arrays([keys, pa.array([values.tobytes()], pa.binary())], names=[names, matrix])
 
@@ -185,7 +187,7 @@ def _packed(df: DataFrame, key: str, vector: str, names: str, matrix: str, rows:
     return side.mapInArrow(run, f"{names} array<{kind}>, {matrix} binary"), kind
 
 
-def _block_scores(query: str, key: str, k: int, metric: str, held: int = 200_000):
+def _block_scores(query: str, key: str, k: int, metric: str, held: int = 50_000):
     sign = 1.0 if metric == "l2" else -1.0
 
     def best(parts: list[pd.DataFrame]) -> pd.DataFrame:
@@ -193,22 +195,33 @@ def _block_scores(query: str, key: str, k: int, metric: str, held: int = 200_000
         ranked = pool.assign(_o=pool["score"] * sign).sort_values([query, "_o", key], kind="stable")
         return ranked.groupby(query, sort=False, dropna=False).head(k).drop(columns="_o")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[pd.DataFrame] = []
-        for names, asked, keys, vectors in (row for batch in batches for row in batch[["_names", "_q", "_keys", "_v"]].itertuples(index=False)):
-            pair = [np.frombuffer(x, dtype="float64").reshape(len(n), -1) for n, x in ((names, asked), (keys, vectors))]
-            scores = np.round(_scores(*pair, metric), PLACES)
-            ordered = scores * sign
-            # Everything as good as the k-th best, so ties are settled by key below.
-            bound = np.partition(ordered, k - 1, axis=1)[:, k - 1:k] if ordered.shape[1] > k else np.inf
-            i, j = np.nonzero(ordered <= bound)
-            parts.append(pd.DataFrame({query: np.asarray(names)[i], key: np.asarray(keys)[j], "score": scores[i, j]}))
-            if sum(map(len, parts)) > held:
-                parts = [best(parts)]
-                if len(parts[0]) > held // 2:  # many queries: these are handed on and others take their place
-                    yield parts.pop()
+        kinds = None
+
+        def given() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pandas(parts.pop(), pa.schema(list(zip((query, key, "score"), kinds))), preserve_index=False)
+
+        # A batch holds many megabytes of vectors: they are read where they lie, one pair of blocks at a time.
+        for batch in batches:
+            kinds = batch.column(0).type.value_type, batch.column(2).type.value_type, pa.float64()
+            for row in range(batch.num_rows):
+                names, asked, keys, vectors = (batch.column(c)[row] for c in range(4))
+                names, keys = (x.values.to_numpy(zero_copy_only=False) for x in (names, keys))
+                pair = [np.frombuffer(x.as_buffer(), dtype="float64").reshape(len(n), -1) for n, x in ((names, asked), (keys, vectors))]
+                scores = np.round(_scores(*pair, metric), PLACES)
+                ordered = scores * sign
+                # Everything as good as the k-th best, so ties are settled by key below.
+                bound = np.partition(ordered, k - 1, axis=1)[:, k - 1:k] if ordered.shape[1] > k else np.inf
+                i, j = np.nonzero(ordered <= bound)
+                parts.append(pd.DataFrame({query: names[i], key: keys[j], "score": scores[i, j]}))
+                if sum(map(len, parts)) > held:
+                    parts = [best(parts)]
+                    if len(parts[0]) > held // 2:  # many queries: these are handed on and others take their place
+                        yield given()
         if parts:
-            yield best(parts)
+            parts = [best(parts)]
+            yield given()
     return run
 
 

@@ -2,8 +2,10 @@ import math
 import random
 import re
 import string
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +192,18 @@ def test_dense_search(spark, metric, block):
         assert got[j] == want
 
 
+def test_dense_search_holds_no_copy_of_a_batch():
+    names, block = pa.array([[1, 2]] * 300), np.ones((2, 20_000)).tobytes()
+    batch = pa.RecordBatch.from_arrays([names, pa.array([block] * 300), names, pa.array([block] * 300)], names=["_names", "_q", "_keys", "_v"])
+    run = retrieval._block_scores("q", "i", 1, "cosine")
+    tracemalloc.start()
+    found = pa.Table.from_batches(list(run(iter([batch])))).to_pydict()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found["q"] == [1, 2] and found["i"] == [1, 1]
+    assert peak < batch.nbytes / 10
+
+
 def test_threshold_applies_after_top_k(spark):
     corpus = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1])], "i int, v array<double>")
     queries = spark.createDataFrame([(0, [1.0, 0.0])], "q int, qv array<double>")
