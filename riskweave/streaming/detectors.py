@@ -79,15 +79,16 @@ class EventTimeDetector:
     """Scores the rows of a customer in event-time order, on the engine's keyed state.
 
     The state of a customer is the summary of the rows scored so far and the rows that the
-    watermark (largest event time seen less ``delay_seconds``) has not passed yet, as one
-    array per field. A row that arrives behind the watermark is late and dropped. An
+    watermark (largest event time seen less ``delay_seconds``) has not passed yet. Customers are dealt by hash into
+    ``buckets``, each with one state, as one array per field: the engine calls Python once for a bucket and not once for
+    a customer. A stream of many customers needs more of them, a checkpoint keeps the number it began with. A row that arrives behind the watermark is late and dropped. An
     event-time timeout is set to the earliest waiting row; when it runs out, or when other
-    rows of the customer arrive, ``step`` scores what the watermark has passed. State, timeouts,
+    rows of the bucket arrive, ``step`` scores what the watermark has passed. State, timeouts,
     watermark and recovery are the engine's: a stopped stream goes on from its checkpoint.
     ``rest`` scores the rows that still wait with the batch operators, at the end of a stream.
 
     Rows of one customer are scored by one task of a batch, one after another in constant
-    memory beside the rows themselves; only customers with new or passed rows are visited.
+    memory beside the rows themselves; only buckets with new or passed rows are visited.
     """
 
     delay_seconds: int
@@ -98,53 +99,67 @@ class EventTimeDetector:
     step: Callable[[tuple | None, list[tuple]], tuple[tuple, list[tuple]]]
     finish: Callable[[DataFrame], DataFrame]
     score: Callable[[DataFrame, DataFrame | None], DataFrame]
+    buckets: int = 512
 
     def alerts(self, df: DataFrame) -> DataFrame:
         """Alerts of a stream in append mode, as soon as the watermark has passed their rows."""
-        rows = df.withWatermark("transaction_date", f"{self.delay_seconds} seconds").select(
-            "customer_id", "transaction_date", F.unix_micros("transaction_date").alias("_at"), F.col("transaction_id").alias("_id"),
-            *[F.col(name).cast(kind).alias(name) for name, kind in self.fields.items()])
         kind = df.schema["customer_id"].dataType.simpleString()
-        found = rows.where("_at IS NOT NULL").groupBy("customer_id").applyInPandasWithState(
-            self._visit(), f"customer_id {kind}, _at bigint, _id bigint, {self.found}", self._state(), "append", GroupStateTimeout.EventTimeTimeout)
-        return self.finish(found.withColumns({"transaction_id": F.col("_id"), "event_time": F.timestamp_micros("_at")}))
-
-    def _state(self) -> str:
-        waiting = {"_at": "bigint", "_id": "bigint", **self.fields}
-        return ", ".join([self.summary, *[f"{name} array<{kind}>" for name, kind in waiting.items()]])
+        rows = df.withWatermark("transaction_date", f"{self.delay_seconds} seconds").select(
+            F.pmod(F.hash("customer_id"), F.lit(self.buckets)).alias("_bucket"), F.col("customer_id").cast("string").alias("_who"),
+            "transaction_date", F.unix_micros("transaction_date").alias("_at"), F.col("transaction_id").alias("_id"),
+            *[F.col(name).cast(type_).alias(name) for name, type_ in self.fields.items()])
+        found = rows.where("_at IS NOT NULL").groupBy("_bucket").applyInPandasWithState(
+            self._visit(), f"_who string, _at bigint, _id bigint, {self.found}", self._state(kind), "append", GroupStateTimeout.EventTimeTimeout)
+        return self.finish(found.withColumns({
+            "customer_id": F.col("_who").cast(kind), "transaction_id": F.col("_id"), "event_time": F.timestamp_micros("_at")}).drop("_who"))
+
+    def _state(self, kind: str) -> str:
+        """Customers are strings in the state; ``_kind`` is always empty and tells the type of their ids."""
+        summary = {"_known": "string", **dict(f.split() for f in self.summary.split(", "))}
+        waiting = {"_who": "string", "_at": "bigint", "_id": "bigint", **self.fields}
+        return ", ".join(f"{name} array<{kind}>" for name, kind in {**summary, **waiting, "_kind": kind}.items())
 
     def _visit(self) -> Callable:
-        names, size, step = ["_at", "_id", *self.fields], self.summary.count(",") + 1, self.step
-        columns = ["customer_id", "_at", "_id", *[f.split()[0] for f in self.found.split(", ")]]
+        names, size, step = ["_who", "_at", "_id", *self.fields], self.summary.count(",") + 2, self.step
+        columns = ["_who", "_at", "_id", *[f.split()[0] for f in self.found.split(", ")]]
 
         def visit(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
             held = state.get if state.exists else None
-            summary = tuple(held[:size]) if held and held[0] is not None else None
+            known = {row[0]: row[1:] for row in zip(*held[:size])} if held else {}
             passed = state.getCurrentWatermarkMs() * 1000
-            waiting = list(zip(*held[size:])) if held else []
+            waiting = list(zip(*held[size:-1])) if held else []
             for batch in batches:  # plain lists: most batches of a customer have a row or two
                 rows = zip(*[batch[name].tolist() for name in names])
-                waiting += [(*row[:2], *[None if v != v else v for v in row[2:]]) for row in rows if row[0] > passed]
-            waiting.sort(key=lambda row: row[:2])
-            due = [row for row in waiting if row[0] <= passed]
-            alerts = []
-            if due:
-                summary, alerts = step(summary, due)
-            left = waiting[len(due):]
-            state.update((*(summary or (None,) * size), *(list(c) for c in (zip(*left) if left else [()] * len(names)))))
+                waiting += [(*row[:3], *[None if v != v else v for v in row[3:]]) for row in rows if row[1] > passed]
+            waiting.sort(key=lambda row: (row[0] is not None, row[0] or "", row[1], row[2]))
+            left, alerts = [], []
+            for who, rows in groupby(waiting, key=lambda row: row[0]):
+                rows = list(rows)
+                due = [row[1:] for row in rows if row[1] <= passed]
+                left += rows[len(due):]
+                if due:
+                    known[who], more = step(known.get(who), due)
+                    alerts += [(who, *alert) for alert in more]
+            summaries = zip(*((who, *summary) for who, summary in known.items())) if known else [()] * size
+            state.update((*map(list, summaries), *map(list, zip(*left) if left else [()] * len(names)), []))
             if left:
-                state.setTimeoutTimestamp(max(left[0][0] // 1000, passed // 1000 + 1))
+                state.setTimeoutTimestamp(max(min(row[1] for row in left) // 1000, passed // 1000 + 1))
             if alerts:
-                yield pd.DataFrame([(key[0], *alert) for alert in alerts], columns=columns)
+                yield pd.DataFrame(alerts, columns=columns)
         return visit
 
     def rest(self, spark: SparkSession, checkpoint: str) -> DataFrame:
         """Alerts of the rows that wait in the state of a stopped stream."""
-        state = spark.read.format("statestore").load(checkpoint).select("key.customer_id", "value.groupState.*")
-        columns = ["_at", "_id", *self.fields]
-        waiting = state.select("customer_id", F.explode(F.arrays_zip(*columns)).alias("_row")).select("customer_id", "_row.*")
-        waiting = waiting.withColumnsRenamed({"_id": "transaction_id"}).withColumn("transaction_date", F.timestamp_micros("_at")).drop("_at")
-        return self.score(waiting, state.drop(*columns).where(F.col(self.summary.split()[0]).isNotNull()))
+        state = spark.read.format("statestore").load(checkpoint).select("value.groupState.*")
+        summary, columns = [f.split()[0] for f in self.summary.split(", ")], ["_who", "_at", "_id", *self.fields]
+        kind = state.schema["_kind"].dataType.elementType
+
+        def rows(who: str, names: list[str]) -> DataFrame:
+            each = state.select(F.explode(F.arrays_zip(*names)).alias("_row")).select("_row.*")
+            return each.withColumn("customer_id", F.col(who).cast(kind)).drop(who)
+
+        waiting = rows("_who", columns).withColumnsRenamed({"_id": "transaction_id"}).withColumn("transaction_date", F.timestamp_micros("_at")).drop("_at")
+        return self.score(waiting, rows("_known", ["_known", *summary]))
 
 
 def _step_moments(summary: tuple | None, rows: list[tuple]) -> tuple[tuple, list[tuple]]:

@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,30 @@ def test_steps_match_prior_moments(spark, ts):
     summary, first = detectors._step_moments(None, mine[:7])
     _, second = detectors._step_moments(summary, mine[7:])
     assert {name: round(abs(z - want[name]), 9) for _, name, _, z in first + second} == dict.fromkeys(want, 0.0)
+
+
+def test_python_is_called_for_buckets_of_customers(spark):
+    """One state holds many customers; each is scored from its own rows."""
+    class State:
+        value, exists, at = None, False, 0
+        get = property(lambda self: self.value)
+
+        def getCurrentWatermarkMs(self):
+            return self.at
+
+        def update(self, value):
+            self.value, self.exists = value, True
+
+        def setTimeoutTimestamp(self, at):
+            self.timeout = at
+
+    visit, state = detectors.geographic_detector()._visit(), State()
+    rows = pd.DataFrame([("a", 1_000_000, 1, "US"), (None, 2_000_000, 2, "US"), ("b", 3_000_000, 3, "GB"), ("a", 9_000_000, 4, "CN"), (None, 8_000_000, 5, "US"), ("b", 7_000_000, 6, "RU")],
+                        columns=["_who", "_at", "_id", "location_country"])
+    assert list(visit((0,), iter([rows]), state)) == [] and state.timeout == 1000
+    state.at = 8000
+    found = [x for part in visit((0,), iter([]), state) for x in part.itertuples(index=False, name=None)]
+    assert found == [("b", 7_000_000, 6, "GB", "RU", 4 / 3600)] and state.timeout == 9000
+    state.at = 9000
+    found = [x for part in visit((0,), iter([]), state) for x in part.itertuples(index=False, name=None)]
+    assert found == [("a", 9_000_000, 4, "US", "CN", 8 / 3600)]
