@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -67,9 +68,12 @@ def unit_weights(tf: DataFrame, idf: DataFrame, key: str) -> DataFrame:
 
 
 def _with_norms(rows: DataFrame, norms: DataFrame, key: str) -> DataFrame:
-    """Rows with the ``_norm`` of their key. A null key is no join key, its norm comes as a value."""
+    """Rows with the ``_norm`` of their key. A null key is no join key, its norm comes as a value.
+
+    The norms of a partition are hashed, so the rows, which are wide, are not sorted to meet them.
+    """
     unkeyed = norms.where(F.col(key).isNull()).agg(F.max("_norm")).scalar()
-    return rows.join(norms, key, "left").withColumn("_norm", F.when(F.col(key).isNull(), unkeyed).otherwise(F.col("_norm")))
+    return rows.join(norms.hint("shuffle_hash"), key, "left").withColumn("_norm", F.when(F.col(key).isNull(), unkeyed).otherwise(F.col("_norm")))
 
 
 def build_index(docs: DataFrame, key: str, text: str, path: str, head: int = 100_000) -> dict[str, DataFrame]:
@@ -79,24 +83,26 @@ def build_index(docs: DataFrame, key: str, text: str, path: str, head: int = 100
     every document. Each is computed once, from the stored ones before it, and the
     planner sees the true table sizes when it chooses joins.
 
-    A posting is wide for a shuffle, so few of them travel. Counts are stored as one row per
-    text, in buckets by key (``counts``; ``tf`` is the same as rows). The ``head`` most frequent terms,
-    a small table that holds most postings, meet the counts where they lie. Only postings of
-    rarer terms are shuffled to their idf. The length of a document (``norms``) is summed from both.
+    A posting is wide for a shuffle, so few of them travel. Texts are dealt by key, and counts are stored as
+    one row per text, in buckets by key (``counts``; ``tf`` is the same as rows). The ``head`` most frequent terms
+    found in more than one text, a table of bounded size that holds most postings, are sent to the counts, whatever
+    the planner's limit for that. Only postings of rarer terms are shuffled to their idf. The length of a
+    document (``norms``) is summed from both.
     """
     spark = docs.sparkSession
 
     def stored(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        df.write.option("compression", "zstd").mode("overwrite").parquet(f"{path}/{name}")
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     buckets, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"tf_{uuid.uuid4().hex}"
-    document_terms(docs, key, text).repartition(buckets, key).write.bucketBy(buckets, key).mode("overwrite").saveAsTable(
-        table, format="parquet", path=f"{path}/tf")
+    dealt = docs.select(key, text).repartition(buckets, key)
+    document_terms(dealt, key, text).write.bucketBy(buckets, key).mode("overwrite").saveAsTable(
+        table, format="parquet", path=f"{path}/tf", compression="zstd")
     counts = spark.table(table)
     tf = _term_rows(counts, key)
     idf = stored("idf", inverse_document_frequencies(tf, docs))
-    common = stored("head", idf.orderBy(F.desc("df"), "term").limit(head))
+    common = F.broadcast(stored("head", idf.where("df > 1").orderBy(F.desc("df"), "term").limit(head)))
     rare = stored("tail", _weighted(tf.join(common, "term", "left_anti"), idf, key).drop("idf"))
     squares = [w.groupBy(key).agg(F.sum(F.col("_w") * F.col("_w")).alias("_s")) for w in (_weighted(tf, common, key), rare)]
     norms = stored("norms", squares[0].union(squares[1]).groupBy(key).agg(F.sqrt(F.sum("_s")).alias("_norm")))
@@ -118,21 +124,30 @@ def top_k(scored: DataFrame, query: str, order: list[Column], k: int) -> DataFra
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(query).orderBy(*order))).where(F.col("rank") <= k)
 
 
-def tfidf_search(index: dict[str, DataFrame], key: str, queries: DataFrame, query: str, text: str, k: int = 5) -> DataFrame:
+def tfidf_search(
+    index: dict[str, DataFrame], key: str, queries: DataFrame, query: str, text: str, k: int = 5, block: int = 200_000,
+) -> DataFrame:
     """(query, key, score, rank) with score > 0; unknown query terms still count in the query's length.
 
     The counts lie in buckets by key, so they are read once, meet only the query terms and
     are summed per (query, document) without a shuffle; the k best of a task leave it. The
-    query terms are stored first, so that the planner knows how few they are.
+    query terms are stored first and sent to the counts in blocks of whole queries of about
+    ``block`` terms; every block reads the counts once.
     """
     asked = unit_weights(term_frequencies(queries, query, text), index["idf"], query).select(
         query, "term", "idf", F.col("weight").alias("_q"))
     path = scratch(queries.sparkSession, "asked")
     asked.write.parquet(path)
+    asked = queries.sparkSession.read.schema(asked.schema).parquet(path)
+    blocks = 1 + asked.count() // block
     lying = _term_rows(_with_norms(index["counts"], index["norms"], key), key, "_norm")
-    met = lying.join(queries.sparkSession.read.schema(asked.schema).parquet(path), "term")
-    scored = met.groupBy(query, key).agg(
-        F.sum(F.col("tf") * F.col("idf") / F.col("_norm") * F.col("_q")).alias("score")).where("score > 0")
+
+    def scores(some: DataFrame) -> DataFrame:
+        return lying.join(F.broadcast(some), "term").groupBy(query, key).agg(
+            F.sum(F.col("tf") * F.col("idf") / F.col("_norm") * F.col("_q")).alias("score")).where("score > 0")
+
+    own = F.pmod(F.xxhash64(query), F.lit(blocks))
+    scored = reduce(DataFrame.union, [scores(asked.where(own == b) if blocks > 1 else asked) for b in range(blocks)])
     # Rounded for the order only: copies of a text tie and the key decides.
     return top_k(scored, query, [F.desc(F.round("score", PLACES)), F.asc(key)], k)
 

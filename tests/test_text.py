@@ -171,6 +171,26 @@ def test_index_of_common_and_rare_terms_and_repeated_keys(spark, tmp_path, head)
     assert not re.search(r"hashpartitioning\([^,()]*q#\d+L?, d#", plan)  # sums need no shuffle
 
 
+def test_search_shuffles_no_postings_whatever_the_planner_may_broadcast(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b b c"), (2, "a c d"), (2, "a b"), (None, "c b"), (4, ""), (5, None)], "d long, t string")
+    queries = spark.createDataFrame([(0, "b c"), (0, "d"), (1, "c d d"), (2, "unseen"), (None, "b")], "q long, t string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index = retrieval.build_index(df, "d", "t", str(tmp_path / "ix"), head=2)
+        found = retrieval.tfidf_search(index, "d", queries, "q", "t", 9)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [term" in plan and "hashpartitioning(term" not in plan
+        several = retrieval.tfidf_search(index, "d", queries, "q", "t", 9, block=1)
+        assert several._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin [term") > 2
+
+        def rows(hits):
+            return sorted((str(r["q"]), str(r["d"]), round(r["score"], 9), r["rank"]) for r in hits.collect())
+        assert rows(found) == rows(several) and len(rows(found)) > 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
 @pytest.mark.parametrize("block", [100, 2])
 def test_dense_search(spark, metric, block):
