@@ -15,11 +15,10 @@ are sampled once per execution: store the result before using it in two actions.
 
 from __future__ import annotations
 
-import gc
 import sys
 import types
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +27,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import store, text_of
+from riskweave.llm.common import give_back, store, text_of
 
 END = 2
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
-#: Entries of the two memories of an encoder, some 120 MB together. Half of each are those in use since the other half was full.
-_CACHE_WORDS, _CACHE_CHUNKS = 250_000, 400_000
-_MARKS, _LAST_LETTER = ".,;:!?*%&$#)", "ž"
+#: Entries of the two memories of an encoder: runs that make up chunks, and words with other signs.
+_CACHE_CHUNKS, _CACHE_WORDS = 250_000, 50_000
+_MARKS = ".,;:!?*%&$#)"
+#: Letters up to "ž" as ranges; without "İ", whose lower case ends in a combining mark that belongs to the marks then.
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ž"
+_ALL_LETTERS = "".join(c for c in map(chr, range(0x17F)) if c.isalpha() and c != "İ")
 
 CHUNKS = "doc_id long, curve_key long, start long, doc_tokens long, ids binary"
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, curve_key long, ids binary"
@@ -73,107 +75,92 @@ def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+class Memory:
+    """Ids by text, at most about ``most`` of them: half are those in use since the other half was full."""
+    def __init__(self, most: int):
+        self.half = most // 2
+        self.used: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+
+    def __len__(self) -> int:
+        return len(self.used)
+
+    def get(self, asked: list[str], learn: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Ids of distinct texts in their order; ``learn`` gives those not remembered."""
+        if len(self.used) > self.half:
+            self.used, self.older = {"": b""}, self.used
+        found = list(map(self.used.get, asked))
+        missing = [n for n, ids in enumerate(found) if ids is None]
+        new = []
+        for n in missing:
+            found[n] = self.older.get(asked[n])
+            if found[n] is None:
+                new.append(n)
+        if new:
+            for n, ids in zip(new, learn([asked[n] for n in new])):
+                found[n] = ids
+        self.used.update((asked[n], found[n]) for n in missing)
+        return found
+
+
 class WordIds:
-    """Token ids of texts, each distinct word put through the tokenizer once.
+    """Token ids of texts, each distinct run of a slice looked up once.
 
     The vocabulary splits at white space, and runs of letters and runs of marks are
     separate pieces to it. A chunk of plain Latin letters with trailing marks is put
     together from the ids of both parts; any other chunk goes through the tokenizer whole.
+    Chunks are cut and put together a slice at a time, so only runs are remembered.
     """
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
-        self.words: dict[str, bytes] = {"": b""}
-        self.older_words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.chunks, self.words = Memory(_CACHE_CHUNKS), Memory(_CACHE_WORDS)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
 
-    def _encode(self, words: list[str]) -> None:
+    def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of letter runs and mark runs; each ends with exactly one end-of-word token."""
-        if not words:
-            return
         joined = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
         ids = np.array(joined, dtype=self.dtype)
         cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(words):
-            begin = 0
-            for word, end in zip(words, cuts.tolist()):
-                self.words[word] = ids[begin:end].tobytes()
-                begin = end
-        else:
-            for word in words:
-                self.words[word] = self._whole(word)
+        if len(cuts) != len(words):
+            return [self._whole(word) for word in words]
+        flat, ends = ids.tobytes(), (cuts * ids.itemsize).tolist()
+        return [flat[low:high] for low, high in zip([0] + ends, ends)]
 
     def _whole(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.words) > _CACHE_WORDS // 2:
-            self.words, self.older_words = {"": b""}, self.words
-        known, older, parts, wanted = self.words, self.older_words, [], set()
-        for chunk in chunks:
-            word = chunk.rstrip(_MARKS)
-            lowered = word.lower()
-            # Lower case may end in a combining mark ("İ"), which belongs to the marks then.
-            if word.isascii() and word.isalpha() or word.isalpha() and lowered.isalpha() and max(word) <= _LAST_LETTER:
-                marks = chunk[len(word):]
-                parts.append((chunk, lowered, marks))
-                for run in (lowered, marks):
-                    if run not in known:
-                        if run in older:
-                            known[run] = older[run]
-                        else:
-                            wanted.add(run)
-            else:
-                self.chunks[chunk] = self._whole(chunk)
-        self._encode(sorted(wanted))
-        self.chunks.update([(chunk, known[word] + known[marks]) for chunk, word, marks in parts])
-
-    def _known(self, distinct: list[str]) -> list[bytes]:
-        """Ids of distinct chunks in their order."""
-        collecting = gc.isenabled()
-        gc.disable()  # nothing here refers to itself, and a collection walks through all of it
-        try:
-            if len(self.chunks) > _CACHE_CHUNKS // 2:
-                self.chunks, self.older = {}, self.chunks
-            found = list(map(self.chunks.get, distinct))
-            missing = [n for n, ids in enumerate(found) if ids is None]
-            older, new = self.older.get, []
-            for n in missing:
-                ids = older(distinct[n])
-                if ids is None:
-                    new.append(n)
-                else:
-                    found[n] = self.chunks[distinct[n]] = ids
-            if new:
-                self._learn([distinct[n] for n in new])
-                for n in new:
-                    found[n] = self.chunks[distinct[n]]
-        finally:
-            if collecting:
-                gc.enable()
-        return found
+    def _coded(self, chunks: pa.Array) -> pa.Array:
+        """Ids of distinct chunks as bytes, in their order."""
+        word = pc.utf8_rtrim(chunks, characters=_MARKS)
+        plain = pc.match_substring_regex(word, f"^[{_LETTERS}]+$")
+        put_together = chunks.filter(plain)
+        lowered, marks = pc.utf8_lower(word.filter(plain)), pc.utf8_ltrim(put_together, characters=_ALL_LETTERS)
+        runs = pa.concat_arrays([lowered, marks]).dictionary_encode()
+        coded = self.chunks.get(runs.dictionary.to_pylist(), self._encode)
+        whole = self.words.get(chunks.filter(pc.invert(plain)).to_pylist(), lambda new: [self._whole(chunk) for chunk in new])
+        parts, number = pa.array(coded, type=pa.large_binary()).take(runs.indices), len(put_together)
+        joined = pc.binary_join_element_wise(parts[:number], parts[number:], pa.scalar(b"", pa.large_binary()))
+        # The chunks put together come first, then the others; each is taken from its place.
+        places, own = np.empty(len(chunks), dtype=np.int64), plain.to_numpy(zero_copy_only=False)
+        places[own], places[~own] = np.arange(number), np.arange(number, len(chunks))
+        return pa.concat_arrays([joined, pa.array(whole, type=pa.large_binary())]).take(pa.array(places))
 
     def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text: its chunks are numbered, each distinct one is looked up, and the ids are gathered by number."""
         plain = texts.to_pylist() if isinstance(texts, pa.Array) else texts
         if not all(t.isascii() or unicodedata.is_normalized("NFC", t) for t in plain) or not isinstance(texts, pa.Array):
             texts = pa.array([unicodedata.normalize("NFC", t) for t in plain], type=pa.large_string())
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
         numbered = split.flatten().dictionary_encode()
-        coded = self._known(numbered.dictionary.to_pylist())
-        width = np.dtype(self.dtype).itemsize
-        pool = np.frombuffer(b"".join(coded), dtype=self.dtype)
-        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // width
-        begins, order = np.cumsum(sizes) - sizes, numbered.indices.to_numpy()
-        ends = np.concatenate(([0], np.cumsum(sizes[order])))
-        flat = pool[np.repeat(begins[order] - ends[:-1], sizes[order]) + np.arange(ends[-1])]
-        bounds = np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy())))
-        cuts = ends[bounds].tolist()
-        return [flat[low:high].tobytes() for low, high in zip(cuts, cuts[1:])]
+        taken = self._coded(numbered.dictionary).take(numbered.indices)
+        _, ends, flat = taken.buffers()
+        ends = np.frombuffer(ends, dtype=np.int64)[taken.offset:]
+        cuts = ends[np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy())))].tolist() if len(taken) else [0] * (len(plain) + 1)
+        flat = memoryview(flat) if flat else b""
+        return [bytes(flat[low:high]) for low, high in zip(cuts, cuts[1:])]
 
 
 def word_ids(path: str, dtype: str) -> WordIds:
@@ -212,6 +199,7 @@ def _tokenise(path: str, dtype: str, length: int, end: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=t) for c, t in zip(zip(*rows), [pa.int64()] * 4 + [pa.binary()])],
                     names=["doc_id", "curve_key", "start", "doc_tokens", "ids"])
+            give_back()
     return run
 
 
@@ -265,6 +253,7 @@ def _lay(dtype: str, length: int):
                 offset += take
             sequence, rest = sequence + 1, rest - size
         yield batch_of(done)
+        give_back()
     return run
 
 

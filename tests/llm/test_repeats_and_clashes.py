@@ -1,6 +1,6 @@
 """Many equal rows, every code point of the packing shortcut, and columns with the operators' own names."""
 
-
+import pyarrow as pa
 import pytest
 
 from data import prose
@@ -47,6 +47,22 @@ def test_encoder_memory_is_bounded(monkeypatch):
     assert len(small.chunks) < 60 + 130 < len(large.chunks)
 
 
+def test_encoder_remembers_runs_and_not_every_form_of_a_word():
+    fast = packing.WordIds(tokenizer_path(), "uint16")
+    marks = [""] + [a + b for a in ".,;!" for b in ("", "!", "?", ")")]
+    forms = [f"{word}{mark}" for word in ("stone", "Stone", "STONE", "sToNe") for mark in marks]
+    assert fast([" ".join(forms)]) == [b"".join(fast(forms))]
+    assert len(fast.chunks) <= 1 + len(marks) and len(fast.words) == 1
+
+
+def test_packing_workers_give_memory_back_after_every_batch(monkeypatch):
+    calls = []
+    monkeypatch.setattr(packing, "give_back", lambda: calls.append(1))
+    batches = [pa.RecordBatch.from_arrays([pa.array([n, n]), pa.array([prose(n, 30), ""])], names=["doc_id", "text"]) for n in range(3)]
+    chunks = list(packing._tokenise(tokenizer_path(), "uint16", 4096, 2)(iter(batches)))
+    assert sum(b.num_rows for b in chunks) == 6 and len(calls) == 3
+
+
 def test_own_column_names_come_back_unchanged(spark):
     rows = [(1, prose(1, 60), "a", 11, "x"), (2, prose(1, 60), "b", 12, "y"), (3, prose(2, 60), "c", 13, "z"), (4, None, "d", 14, "w")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _id string, _row long, text_class string")
