@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import NULL_ID, hashed, lists, plain_words, store, text_of
+from riskweave.llm.common import NULL_ID, give_back, hashed, lists, plain_words, store, text_of
 
 MASKS = ("11111111", "11011011011", "1110010111001", "10101100101101")
 SCHEMA = "doc_id long, item_id long, doc_start long, item_start long, length long, n_matched long, n_item_words long"
@@ -164,6 +164,7 @@ class _Block:
 
 def _search(masks: tuple[str, ...], penalty: int, need: int, share: float, block_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what the groups of an earlier step left in this worker
         known: dict[tuple, _Block] = {}  # as many blocks as hold ``block_words`` words, one at least
         for row in (one for whole in batches for i in range(whole.num_rows) for one in whole.slice(i, 1).to_pylist()):
             name = tuple(row["item_ids"]), tuple(row["item_offsets"]), row["item_words"]

@@ -33,7 +33,9 @@ END = 2
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
 #: Entries of the two memories of an encoder: runs that make up chunks, and words with other signs.
-_CACHE_CHUNKS, _CACHE_WORDS = 250_000, 50_000
+_CACHE_CHUNKS, _CACHE_WORDS = 180_000, 30_000
+#: Runs given to the tokenizer at once, whose answer takes some hundred bytes for each, and chunks laid at once.
+_ASKED, _LAID = 10_000, 1024
 _MARKS = ".,;:!?*%&$#)"
 #: Letters up to "ž" as ranges; without "İ", whose lower case ends in a combining mark that belongs to the marks then.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ž"
@@ -121,6 +123,8 @@ class WordIds:
 
     def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of letter runs and mark runs; each ends with exactly one end-of-word token."""
+        if len(words) > _ASKED:
+            return [ids for low in range(0, len(words), _ASKED) for ids in self._encode(words[low:low + _ASKED])]
         joined = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
         ids = np.array(joined, dtype=self.dtype)
         cuts = np.flatnonzero(self.ends[ids]) + 1
@@ -223,7 +227,7 @@ def _lay(dtype: str, length: int):
             return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)],
                                               names=[x.split()[0] for x in PIECES.split(", ")])
 
-        for batch in batches:
+        for batch in (whole.slice(low, _LAID) for whole in batches for low in range(0, whole.num_rows, _LAID)):
             done = []
             for doc, key, start, total, ids in zip(*[c.to_pylist() for c in batch.columns]):
                 view, count, at = memoryview(ids), len(ids) // width, 0
