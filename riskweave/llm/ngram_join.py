@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import discard, hashed, lists, plain_words, store, text_of
+from riskweave.llm.common import discard, give_back, hashed, lists, plain_words, store, text_of
 
 TREES, DEPTH = 28, 5
-SIGNED = "_id long, _text string, _sig binary"
+SIGNED = "_id long, _raw long, _text string, _sig binary"
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -73,26 +73,32 @@ def signatures(names: np.ndarray, cuts: np.ndarray, size: int) -> np.ndarray:
 
 
 def _sign(n: int, size: int):
+    names_out = [x.split()[0] for x in SIGNED.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                words, offsets = lists(part.column(2))
+            # Rows without words are left out here: a filter of Spark would split every text a second time for it.
+            bare, worded = (batch.filter(x) for x in (batch.column(2).is_null(), batch.column(2).is_valid()))
+            yield pa.RecordBatch.from_arrays([*bare.columns[:3], pa.nulls(bare.num_rows, pa.binary())], names=names_out)
+            for low in range(0, worded.num_rows, 512):
+                part = worded.slice(low, 512)
+                words, offsets = lists(part.column(3))
                 names, cuts = shingles(words.view(np.uint64), offsets, n)
                 rows = signatures(names, cuts, size)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([r.tobytes() for r in rows], type=pa.binary())],
-                    names=["_id", "_text", "_sig"])
+                    [*part.columns[:3], pa.array([r.tobytes() for r in rows], type=pa.binary())], names=names_out)
+            give_back()
     return run
 
 
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, offsets = lists(batch.column(1))
+            words, offsets = lists(batch.column(2))
             names, cuts = shingles(words.view(np.uint64), offsets, n)
             sets = [np.unique(names[cuts[i]:cuts[i + 1]]).tobytes() for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, type=pa.binary())], names=["_text", "_set"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sets, type=pa.binary())], names=["_text", "_found", "_set"])
+            give_back()
     return run
 
 
@@ -195,33 +201,45 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _signed(docs: DataFrame, n: int, size: int) -> DataFrame:
+    """(_id, _raw, _text, _sig) of every row: hash of the text as it is, digest of its words and signature, both null without words."""
+    side = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text_of()).alias("_raw"), plain_words(text_of()).alias("_words"))
+    return side.select(
+        "_id", "_raw", F.when(F.size("_words") > 0, F.md5(F.array_join("_words", " "))).alias("_text"),
+        hashed(F.col("_words")).alias("_hashes")).mapInArrow(_sign(n, size), SIGNED)
+
+
+def _asked_sets(docs: DataFrame, asked: DataFrame, n: int) -> DataFrame:
+    """(_text, _set) of the asked classes. Their rows are met by id and hash of the text as it is, which need no words;
+    the words are worked out of the rows met, and their digest settles whether it is the text.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text_of().alias("_whole")).withColumn("_hash", F.xxhash64("_whole"))
+    met = rows.join(asked.select("first_id", "_raw", "_text"), F.col("_id").eqNullSafe(F.col("first_id")) & (F.col("_hash") == F.col("_raw")))
+    split = met.select("_text", plain_words(F.col("_whole")).alias("_words")).select(
+        "_text", F.md5(F.array_join("_words", " ")).alias("_found"), hashed(F.col("_words")).alias("_hashes"))
+    return split.mapInArrow(_sets(n), "_text string, _found string, _set binary").where("_text = _found").groupBy("_text").agg(
+        F.first("_set").alias("_set"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, target: float = 0.9999, trees: int = TREES,
                     depth: int = DEPTH, unit: int = 256) -> DataFrame:
     """Every document with ``class_id`` (smallest id of its group), ``n_links``, ``text_class`` and ``group_class``."""
-    words = plain_words(text_of())
-    side = docs.select(F.col("doc_id").cast("long").alias("_id"), words.alias("_words")).select(
-        "_id", F.when(F.size("_words") > 0, F.md5(F.array_join("_words", " "))).alias("_text"), hashed(F.col("_words")).alias("_hashes"))
-    signed = store(side.where("_text IS NOT NULL").mapInArrow(_sign(n, trees * depth), SIGNED), "signed")
-    classes = store(signed.groupBy("_text").agg(
-        F.min("_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("_sig").alias("_sig")), "classes")
+    signed = store(_signed(docs, n, trees * depth), "signed")
+    # The smallest id of a class, null only if there is no other, and the hash of a row that has it.
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_raw")).alias("first")
+    classes = store(signed.where("_text IS NOT NULL").groupBy("_text").agg(
+        first, F.count(F.lit(1)).alias("copies"), F.first("_sig").alias("_sig")).select(
+        "_text", F.col("first._id").alias("first_id"), F.col("first._raw").alias("_raw"), "copies", "_sig"), "classes")
     named = store(signed.select("_id", "_text"), "texts")
     discard(signed)
     level, sets, known = depth, None, None
     while True:
-        keyed = classes.select("_text", "copies", "first_id", _keys(trees, depth, level).alias("keys"))
+        keyed = classes.select("_text", "copies", "first_id", "_raw", _keys(trees, depth, level).alias("keys"))
         units = store(_units(keyed, unit), "units")
         asked = keyed.join(units.select("_text").distinct(), "_text", "left_semi")
-        picked = (
-            docs.select(F.col("doc_id").cast("long").alias("_id"), text_of().alias("_whole"))
-            .join(asked.select(F.col("first_id"), F.col("_text").alias("_asked")), F.col("_id").eqNullSafe(F.col("first_id")))
-            .select("_asked", plain_words(F.col("_whole")).alias("_words"))
-            .where(F.md5(F.array_join("_words", " ")) == F.col("_asked"))
-            .select(F.col("_asked").alias("_text"), hashed(F.col("_words")).alias("_hashes")))
-        sets = store(
-            picked.mapInArrow(_sets(n), "_text string, _set binary").groupBy("_text").agg(F.first("_set").alias("_set"))
-            .join(asked, "_text"), "sets")
+        sets = store(_asked_sets(docs, asked, n).join(asked, "_text"), "sets")
         linked = store(
-            units.join(sets.drop("first_id"), "_text").groupBy("unit")
+            units.join(sets.drop("first_id", "_raw"), "_text").groupBy("unit")
             .applyInPandas(_verify(threshold, trees, level), LINKED).where("links > 0"), "linked")
         known = linked.agg(F.sum("pairs"), F.sum("expected")).first()
         discard(units, sets)
@@ -239,9 +257,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, target:
     heads = store(grouped.groupBy("group_class").agg(F.min("first_id").alias("class_id")), "heads")
     by_text = grouped.join(heads, "group_class").select(
         "_text", "class_id", "group_class", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    worded = named.join(by_text, "_text").select(
+    worded = named.where("_text IS NOT NULL").join(by_text, "_text").select(
         F.col("_id").alias("doc_id"), "class_id", "n_links", F.col("_text").alias("text_class"), "group_class")
-    empty = side.where("_text IS NULL").select(
+    empty = named.where("_text IS NULL").select(
         F.col("_id").alias("doc_id"), F.col("_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
         F.lit(None).cast("string").alias("text_class"), F.lit(None).cast("string").alias("group_class"))
     return worded.unionByName(empty)

@@ -1,9 +1,9 @@
-"""The tokenizer is asked for a bounded number of runs at a time."""
+"""Texts are split once, and the tokenizer is asked for a bounded number of runs at a time."""
 
 from types import SimpleNamespace
 
 from data import prose
-from riskweave.llm import packing
+from riskweave.llm import ngram_join, packing
 from riskweave.llm.queries import tokenizer_path
 
 
@@ -22,3 +22,28 @@ def test_tokenizer_is_asked_in_blocks(monkeypatch):
     assert memoryview(fast([text])[0]).cast("H").tolist() == own.encode(text, add_special_tokens=False).ids
     assert max(most) <= 50 and len(most) >= 5
     assert whole([text]) == fast([text])
+
+
+def _splits(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("split(")
+
+
+def test_near_duplicates_split_a_text_once_in_a_pass(spark, tmp_path):
+    spark.createDataFrame([(1, prose(1, 60))], "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    assert _splits(ngram_join._signed(docs, 5, 140)) == 1
+    asked = spark.createDataFrame([(1, 2, "x")], "first_id long, _raw long, _text string")
+    assert _splits(ngram_join._asked_sets(docs, asked, 5)) == 1
+
+
+def test_near_duplicates_of_repeated_and_missing_ids(spark):
+    a, b = prose(1, 80), prose(2, 80)
+    near = a + " tail"
+    rows = [(None, a), (None, b), (7, near), (7, b), (7, b.upper()), (9, a), (3, None), (4, " .,"), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.near_duplicates(docs).select("doc_id", "class_id", "n_links", "text_class").collect()
+    found = sorted((str(r.doc_id), str(r.class_id), r.n_links, r.text_class is None) for r in got)
+    assert found == sorted([
+        ("None", "7", 2, False), ("9", "7", 2, False), ("7", "7", 2, False),  # a twice and its near copy
+        ("None", "7", 2, False), ("7", "7", 2, False), ("7", "7", 2, False),  # b three times
+        ("3", "3", 0, True), ("4", "4", 0, True), ("None", "None", 0, True)])
