@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import give_back, store, text_of
+from riskweave.llm.common import give_back, slices, store, text_of
 
 END = 2
 LENGTH = 4096
@@ -175,17 +175,6 @@ def word_ids(path: str, dtype: str) -> WordIds:
     return home.encoder[1]
 
 
-def _slices(batch: pa.RecordBatch, most_rows: int = 1024, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Stretches of a batch, bounded by rows and bytes of text; one text may be longer."""
-    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64))
-    low = 0
-    while low < batch.num_rows:
-        before = int(ends[low - 1]) if low else 0
-        high = max(low + 1, min(low + most_rows, int(np.searchsorted(ends, before + most_bytes, side="right"))))
-        yield batch.slice(low, high - low)
-        low = high
-
-
 def _tokenise(path: str, dtype: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(path, dtype)
@@ -193,7 +182,7 @@ def _tokenise(path: str, dtype: str, length: int, end: int):
         width, last = np.dtype(dtype).itemsize, np.array([end], dtype=dtype).tobytes()
         step = length * width
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, 1, 1024, 4_000_000):
                 coded = [x + last for x in encode(part.column(1))]
                 means = np.stack([directions.take(np.frombuffer(x, dtype=dtype) & 0xFFFF, axis=0).sum(axis=0) / (len(x) // width) for x in coded])
                 cube = np.clip(((np.tanh(means * 6) + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)

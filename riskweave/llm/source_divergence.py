@@ -8,6 +8,10 @@ therefore the kept (lang, term) pairs of one part of the hashes are counted firs
 where all of them may be beyond ``fitted_terms``, dealt by hash into several fits of bounded size. Vocabularies of different fits have
 no term in common and all sums add up, so their number changes no result.
 
+A document is given to the fit as its distinct terms; a term that ``min_docs`` documents of a slice have is
+kept whatever the others hold, so the fit is given it by no more of them. The vocabulary is the same. For the vectors the documents of a group are put
+together a slice at a time: rows of weight 1, 2, 4 and so on hold the terms in whose count that power of
+two occurs, so a term is looked up once for many documents and the vectors, times their weights, are exact.
 The vectors are summed per (lang, source) as sparse sums: inside a task over its batches,
 then by a hash aggregate, so that a hot source is summed before the shuffle.
 
@@ -29,6 +33,7 @@ other columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,18 +43,18 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import store
+from riskweave.llm.common import slices, store
 from riskweave.session import scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of ASCII that are no letter become spaces, A-Z become a-z; all others are part of terms. 0xFF is in no UTF-8 text.
 _TERM_BYTES = bytes(b if b >= 0x80 else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
-_CUT, _ROWS = b"\xff", 512
+_CUT, _ROWS, _BYTES = b"\xff", 4096, 8_000_000
 MIN_DOCS, LARGEST, SCALE, TOP = 10, 2 ** 31 - 1, 1_000_000_000, 10
 #: Bounds of the terms of one fit, of the sums a task holds, of the sources of a block and of the terms of a bucket;
 #: one of SHARE terms is counted to foresee how many are kept.
 FITTED_TERMS, SHARE, HELD_SUMS, BLOCK, BUCKET = 1_000_000, 64, 1 << 21, 128, 1024
-TERMS = "group long, lang string, source string, terms array<string>"
+TERMS = "group long, weight long, terms array<string>, some array<string>"
 SUMS = "group long, slot int, count long"
 PARTIAL = "lang string, source string, item string, partial long, covered long"
 
@@ -58,34 +63,80 @@ def _name(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def _split_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for low in range(0, batch.num_rows, _ROWS):
-            part = batch.slice(low, _ROWS)
-            texts, sizes = [], np.zeros(part.num_rows + 1, dtype=np.int32)
-            for row, (lang, text) in enumerate(zip(part.column(1).to_pylist(), part.column(3).to_pylist())):
-                words = text.translate(_TERM_BYTES).split()
-                sizes[row + 1] = len(words)
-                if words:
-                    key = lang + b"\0"
-                    texts.append(key + (_CUT + key).join(words) + _CUT)
-            raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
-            cuts = np.flatnonzero(raw == _CUT[0])
-            ends = np.concatenate(([0], cuts - np.arange(len(cuts)))).astype(np.int32)
-            words = pa.StringArray.from_buffers(len(cuts), pa.py_buffer(ends.tobytes()), pa.py_buffer(np.delete(raw, cuts).tobytes()))
-            terms = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), words)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.string()), part.column(2), terms],
-                                             names=["group", "lang", "source", "terms"])
-
-
-def terms_of(docs: DataFrame) -> DataFrame:
-    """(group, lang, source, terms): the terms of each row, with repeats, each behind its lang and a zero character."""
-    return docs.select(F.xxhash64(_name("lang"), _name("source")).alias("group"), _name("lang").cast("binary").alias("lang"), _name("source").alias("source"),
-                       _name("text").cast("binary").alias("text")).mapInArrow(_split_terms, TERMS)
+def _group() -> Column:
+    return F.xxhash64(_name("lang"), _name("source")).alias("group")
+
+
+def _split_terms(share: int, least: int):
+    def words_of(part: pa.RecordBatch) -> tuple[np.ndarray, pa.DictionaryArray]:
+        texts, sizes = [], np.zeros(part.num_rows, dtype=np.int64)
+        for row, (lang, text) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
+            words = text.translate(_TERM_BYTES).split()
+            sizes[row] = len(words)
+            if words:
+                key = lang + b"\0"
+                texts.append(key + (_CUT + key).join(words) + _CUT)
+        raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        cuts = np.flatnonzero(raw == _CUT[0])
+        ends = np.concatenate(([0], cuts - np.arange(len(cuts)))).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(cuts), pa.py_buffer(ends.tobytes()), pa.py_buffer(np.delete(raw, cuts).tobytes()))
+        return sizes, words.dictionary_encode()
+
+    def counted(owner: np.ndarray, code: np.ndarray, width: int, weight: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct (owner, code) in the order of their first place, and the sum of their weights."""
+        found = pa.array(owner * width + code).dictionary_encode()
+        owner, code = np.divmod(found.dictionary.to_numpy(), width)
+        return owner, code, np.bincount(found.indices.to_numpy(), weight, len(owner)).astype(np.int64)
+
+    def deciding(code: np.ndarray) -> np.ndarray:
+        """Whether a document is one of the first ``least`` that hold the term: a slice with so many has decided that it is kept."""
+        order = np.argsort(code.astype(np.int32), kind="stable")
+        ends = np.cumsum(np.bincount(code)) if len(code) else np.zeros(0, dtype=np.int64)
+        number = np.empty(len(code), dtype=np.int64)
+        number[order] = np.arange(len(code)) - np.concatenate(([0], ends))[code[order]]
+        return number < least
+
+    def listed(owner: np.ndarray, code: np.ndarray, rows: int, terms: pa.Array) -> pa.ListArray:
+        ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=rows)))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), terms.take(pa.array(code)))
+
+    def batch_of(group, weight, terms, some) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([group, weight, terms, some], names=[x.split()[0] for x in TERMS.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in slices(batch, 2, _ROWS, _BYTES)):
+            # Rows of a group lie together, so what is found first also comes first: hashing does, nothing is sorted but rows.
+            part = part.take(pa.array(np.argsort(part.column(0).to_numpy(), kind="stable")))
+            sizes, words = words_of(part)
+            terms, code, width = words.dictionary, words.indices.to_numpy().astype(np.int64), max(len(words.dictionary), 1)
+            owner, distinct, counts = counted(np.repeat(np.arange(part.num_rows), sizes), code, width, np.ones(len(code)))
+            picked = np.array([zlib.crc32(t) % share == 0 for t in terms.cast(pa.binary()).to_pylist()], dtype=bool)
+            fit_owner, fit_terms = (x[deciding(distinct)] for x in (owner, distinct))
+            shown = picked[fit_terms]
+            yield batch_of(part.column(0), pa.nulls(part.num_rows, pa.int64()), listed(fit_owner, fit_terms, part.num_rows, terms),
+                           listed(fit_owner[shown], fit_terms[shown], part.num_rows, terms))
+            groups, own = np.unique(part.column(0).to_numpy(), return_inverse=True)
+            group, held, counts = counted(own[owner], distinct, width, counts)
+            for bit in range(int(counts.max(initial=0)).bit_length()):
+                there = counts >> bit & 1 == 1
+                yield batch_of(pa.array(groups), pa.array(np.full(len(groups), 1 << bit)), listed(group[there], held[there], len(groups), terms),
+                               pa.nulls(len(groups), pa.list_(pa.string())))
+    return run
+
+
+def terms_of(docs: DataFrame, share: int = SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(group, weight, terms, some), a term behind its lang and a zero character.
+
+    Weight null: a document, its distinct terms but those that ``min_docs`` documents of its slice have given already,
+    which makes them kept whatever follows, and those of them in one of ``share`` hashes. Other rows: terms
+    of several documents of a group; the weights of the rows that hold a term add up to its occurrences.
+    """
+    return docs.select(_group(), _name("lang").cast("binary").alias("lang"),
+                       _name("text").cast("binary").alias("text")).mapInArrow(_split_terms(share, max(min_docs, 1)), TERMS)
 
 
 def _sparse_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the sparse vectors per group, in parts of at most about HELD_SUMS entries."""
+    """Sums of the sparse vectors, times the weights of a third column, per group, in parts of at most about HELD_SUMS entries."""
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     held = 0
 
@@ -106,7 +157,10 @@ def _sparse_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = indices.flatten().to_numpy(zero_copy_only=False)
         if len(slots):
             groups = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
-            parts.append((groups, slots, values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)))
+            counts = values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            if batch.num_columns > 2:
+                counts *= np.repeat(batch.column(2).to_numpy(zero_copy_only=False), sizes)
+            parts.append((groups, slots, counts))
             held += len(slots)
         if held > 2 * HELD_SUMS:
             parts = [merged()]
@@ -121,24 +175,25 @@ def _sparse_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, fitted_terms: int = FITTED_TERMS) -> tuple[DataFrame, DataFrame]:
     """(lang, source) of all occurring groups, and (lang, source, term, count) of their kept terms with a count."""
     spark = docs.sparkSession
-    rows = store(terms_of(docs), "terms")
-    groups = store(rows.select("group", "lang", "source").distinct(), "groups")
+    rows = store(terms_of(docs, SHARE, min_docs), "terms")
+    groups = store(docs.select(_group(), _name("lang").alias("lang"), _name("source").alias("source")).distinct(), "groups")
     if groups.groupBy("group").count().where("count > 1").limit(1).count():
         raise RuntimeError("two (lang, source) groups have one 64-bit key")
-    some = rows.select(F.explode(F.array_distinct(F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(SHARE)) == 0))).alias("term"))
+    some = rows.select(F.explode("some").alias("term"))
     kept = SHARE * some.groupBy("term").count().where(F.col("count") >= min_docs).count()
     fits = 1 + kept * 11 // (10 * fitted_terms)
     # A vectoriser fails without a kept term; this one is no term of a text and gets no count.
     spare = spark.range(max(min_docs, 1)).select(F.array(F.lit("\0")).alias("terms"))
     counts = None
     for number in range(fits):
-        mine = rows.select("group", "terms") if fits == 1 else rows.select(
-            "group", F.filter("terms", lambda t: F.pmod(F.xxhash64(t, F.lit(1)), F.lit(fits)) == number).alias("terms"))
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=LARGEST).fit(mine.select("terms").unionByName(spare))
+        mine = rows.select("group", "weight", "terms") if fits == 1 else rows.select(
+            "group", "weight", F.filter("terms", lambda t: F.pmod(F.xxhash64(t, F.lit(1)), F.lit(fits)) == number).alias("terms"))
+        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=LARGEST).fit(
+            mine.where("weight IS NULL").select("terms").unionByName(spare))
         path = scratch(spark, "vocabulary")
         model.save(path)
         vocabulary = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("slot", "key"))
-        sums = model.transform(mine).select("group", "vector").mapInArrow(_sparse_sums, SUMS)
+        sums = model.transform(mine.where("weight IS NOT NULL")).select("group", "vector", "weight").mapInArrow(_sparse_sums, SUMS)
         found = sums.groupBy("group", "slot").agg(F.sum("count").alias("count")).join(vocabulary, "slot").select(
             "group", F.substring_index("key", "\0", -1).alias("term"), "count")
         counts = found if counts is None else counts.unionByName(found)

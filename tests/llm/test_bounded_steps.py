@@ -1,9 +1,9 @@
-"""Texts are split once, and the tokenizer is asked for a bounded number of runs at a time."""
+"""Texts are split once, and the tokenizer and the vectoriser are asked for a bounded number of runs or terms at a time."""
 
 from types import SimpleNamespace
 
 from data import prose
-from riskweave.llm import ngram_join, packing
+from riskweave.llm import ngram_join, packing, source_divergence
 from riskweave.llm.queries import tokenizer_path
 
 
@@ -47,3 +47,29 @@ def test_near_duplicates_of_repeated_and_missing_ids(spark):
         ("None", "7", 2, False), ("9", "7", 2, False), ("7", "7", 2, False),  # a twice and its near copy
         ("None", "7", 2, False), ("7", "7", 2, False), ("7", "7", 2, False),  # b three times
         ("3", "3", 0, True), ("4", "4", 0, True), ("None", "None", 0, True)])
+
+
+def test_divergence_gives_distinct_terms_to_the_fit_and_whole_counts_to_the_vectors(spark):
+    text = "Aa aa bb " * 3 + "cc"
+    rows = [("x", "s", text)] * 5 + [("x", "t", "bb dd"), ("y", "s", None), (None, "s", "aa")]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1)
+    got = source_divergence.terms_of(docs, 1).collect()
+    named = [sorted(r.terms) for r in got if r.weight is None]
+    assert sorted(named) == sorted([["x\0aa", "x\0bb", "x\0cc"]] * 5 + [["x\0bb", "x\0dd"], [], ["\0aa"]])
+    assert all(sorted(r.some) == sorted(r.terms) for r in got if r.weight is None)
+    sums = {}
+    for r in got:
+        for term in r.terms if r.weight else []:
+            sums[r.group, term] = sums.get((r.group, term), 0) + r.weight
+    assert sorted((t, n) for (_, t), n in sums.items()) == [("\0aa", 1), ("x\0aa", 30), ("x\0bb", 1), ("x\0bb", 15), ("x\0cc", 5), ("x\0dd", 1)]
+    # fewer words reach the vectors than the texts have
+    assert sum(len(r.terms) for r in got if r.weight) < 30
+
+
+def test_fit_is_given_a_term_by_as_many_documents_as_decide(spark):
+    docs = spark.createDataFrame([("x", "st"[i % 2], f"often w{'abcd'[i % 4]}") for i in range(12)], "lang string, source string, text string").coalesce(1)
+    got = [t for r in source_divergence.terms_of(docs, 1, min_docs=4).collect() if r.weight is None for t in r.terms]
+    assert sorted(got) == sorted(["x\0often"] * 4 + [f"x\0w{c}" for c in "abcd"] * 3)
+    for least, kept in ((3, 5), (4, 1), (12, 1), (13, 0)):
+        counts = source_divergence.term_counts(docs, min_docs=least)[1].groupBy("term").agg({"count": "sum"}).collect()
+        assert len(counts) == kept and all(r[1] == (12 if r.term == "often" else 3) for r in counts)
