@@ -1,7 +1,10 @@
 """Texts are split once, and the tokenizer and the vectoriser are asked for a bounded number of runs or terms at a time."""
 
+from collections import Counter
 from types import SimpleNamespace
 
+import pyarrow as pa
+
 from data import prose
 from riskweave.llm import ngram_join, packing, source_divergence
 from riskweave.llm.queries import tokenizer_path
@@ -73,3 +76,35 @@ def test_fit_is_given_a_term_by_as_many_documents_as_decide(spark):
     for least, kept in ((3, 5), (4, 1), (12, 1), (13, 0)):
         counts = source_divergence.term_counts(docs, min_docs=least)[1].groupBy("term").agg({"count": "sum"}).collect()
         assert len(counts) == kept and all(r[1] == (12 if r.term == "often" else 3) for r in counts)
+
+
+def test_terms_of_a_task_are_counted_over_its_slices(monkeypatch):
+    monkeypatch.setattr(source_divergence, "_ROWS", 3)
+    texts = [f"often w{'abcd'[i % 4]} " + "twice " * (i % 2 + 1) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([i % 2 for i in range(40)]), pa.array([b"x"] * 40), pa.array([t.encode() for t in texts])], names=["group", "lang", "text"])
+    want = Counter((i % 2, f"x\0{word}") for i, t in enumerate(texts) for word in t.split())
+    for held, once in ((1 << 21, True), (6, False)):
+        monkeypatch.setattr(source_divergence, "HELD_SUMS", held)
+        fit, sums, entries = Counter(), Counter(), 0
+        for out in source_divergence._split_terms(1, 4)(iter([batch.slice(0, 17), batch.slice(17)])):
+            for group, weight, terms, some in zip(*[c.to_pylist() for c in out.columns]):
+                if weight is None:
+                    fit.update(terms)
+                    assert sorted(some) == sorted(terms)
+                else:
+                    entries += len(terms)
+                    sums.update({(group, t): weight for t in terms})
+        assert sums == want
+        # a slice alone decides nothing about what the slices before have given
+        assert not once or set(fit.values()) == {4}
+        assert not once or entries == sum(sum(d != "0" for d in f"{n:x}") for n in want.values())
+        assert set(fit) == {t for _, t in want} and min(fit.values()) >= 4
+
+
+def test_sampled_terms_do_not_depend_on_the_others():
+    terms = pa.array([f"t{i}é" * (1 + i % 5) for i in range(4000)] + [""])
+    picked = source_divergence._one_of(terms, 8)
+    assert 350 < picked.sum() < 650
+    assert (source_divergence._one_of(terms.slice(1000, 500), 8) == picked[1000:1500]).all()
+    assert source_divergence._one_of(terms, 1).all() and not len(source_divergence._one_of(terms.slice(0, 0), 8))
