@@ -2,12 +2,15 @@
 
 The index is a table of segments: a task turns each ``SEGMENT`` documents into one row with
 their ids and lengths, the sorted terms and the postings of every term (places of documents
-and occurrences). Every document and every term is in it, and building it shuffles nothing.
+and occurrences), packed. Every document and every term is in it, and building it shuffles nothing.
+Segments are wide rows and Spark reads up to 4,096 rows of a row group at once, so the stored
+index has ``READ_TOGETHER`` segments in a row group: a task holds that many, whatever the size of a file.
 
 Collection figures come from the segments: the numbers of documents and of terms, and for
 the terms of the items their document frequencies, counted per segment and summed. The items
 are laid out in blocks of about ``BLOCK_TERMS`` terms with the weights of their terms; each block
-is one row, small enough to be sent to every task, and is met with all segments.
+is one row, small enough to be sent to every task, and is met with all segments; Python gets it
+with the first segment of a task.
 
 Inside a segment an item is evaluated term at a time, rarest term first. A document met
 for the first time gets an accumulator with its partial score. A term adds at most its
@@ -31,6 +34,7 @@ names, are not read.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -39,11 +43,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import NULL_ID, lists, store, text_of
+from riskweave.llm.common import NULL_ID, give_back, lists, store, text_of
 
-SEGMENT, SEGMENT_BYTES, BLOCK_TERMS, TOP = 1024, 4 << 20, 50_000, 10
+SEGMENT, SEGMENT_BYTES, READ_TOGETHER, BLOCK_TERMS, TOP = 1024, 4 << 20, 4, 50_000, 10
 _PIECE = 1 << 20
-SEGMENTS = ("docs array<long>, lengths array<long>, terms array<binary>, ends array<int>, places array<int>, counts array<int>")
+SEGMENTS = "docs array<long>, lengths array<long>, terms array<binary>, ends array<int>, postings binary"
 HITS = "item long, doc_id long, score long"
 #: Bytes of ASCII that are no digit or letter become spaces, A-Z become a-z; all others are part of terms.
 _TERM_BYTES = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else ord(chr(b).lower()) if chr(b).isupper() else 0x20 for b in range(256))
@@ -61,39 +65,57 @@ def terms_of(text: bytes) -> Counter:
     return found
 
 
-def _segment(rows: list[tuple[int, Counter]]) -> dict:
-    postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-    for place, (_, terms) in enumerate(rows):
-        for term, count in terms.items():
-            postings[term].append((place, count))
-    order = sorted(postings)
-    flat = [p for term in order for p in postings[term]]
-    return {
-        "docs": [doc for doc, _ in rows], "lengths": [terms.total() for _, terms in rows], "terms": order,
-        "ends": np.cumsum([len(postings[term]) for term in order]).tolist(), "places": [p for p, _ in flat], "counts": [c for _, c in flat]}
+class _Segment:
+    """A segment as it grows: two numbers for a posting and every term once."""
 
+    def __init__(self):
+        self.docs, self.lengths, self.sizes, self.held = [], [], [], 0
+        self.numbers: dict[bytes, int] = {}
+        self.terms, self.counts = array("i"), array("i")
+
+    def add(self, doc: int, text: bytes) -> None:
+        if terms := terms_of(text):
+            self.docs.append(doc)
+            self.lengths.append(terms.total())
+            self.sizes.append(len(terms))
+            self.held += len(text)
+            self.terms.extend([self.numbers.setdefault(term, len(self.numbers)) for term in terms])
+            self.counts.extend(terms.values())
+
+    def batch(self) -> pa.RecordBatch:
+        order, rank = sorted(self.numbers), np.empty(len(self.numbers), dtype=np.int32)
+        rank[[self.numbers[term] for term in order]] = np.arange(len(order))
+        ranks = rank[np.frombuffer(self.terms, dtype=np.int32)]
+        by_term = np.argsort(ranks, kind="stable")  # in a term by place
+        places = np.repeat(np.arange(len(self.docs), dtype=np.int32), self.sizes)[by_term]
+        ends = np.cumsum(np.bincount(ranks, minlength=len(order)))
+        values = [self.docs, self.lengths, order, ends, _packed(places, np.frombuffer(self.counts, dtype=np.int32)[by_term])]
+        kinds = [pa.list_(pa.int64())] * 2 + [pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary()]
+        names = [field.split()[0] for field in SEGMENTS.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(values, kinds)], names=names)
+
+
+def _packed(places: np.ndarray, counts: np.ndarray) -> bytes:
+    return pa.compress(np.concatenate([places, counts]).tobytes(), codec="zstd", asbytes=True)
 
-def _build(size: int, most: int):
-    kinds = [pa.list_(pa.int64())] * 2 + [pa.list_(pa.binary()), *[pa.list_(pa.int32())] * 3]
-    names = [field.split()[0] for field in SEGMENTS.split(", ")]
 
-    def batch_of(rows: list) -> pa.RecordBatch:
-        made = _segment(rows)
-        return pa.RecordBatch.from_arrays([pa.array([made[n]], kind) for n, kind in zip(names, kinds)], names=names)
+def _unpacked(postings: pa.Buffer, n: int) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(pa.decompress(postings, decompressed_size=8 * n, codec="zstd"), dtype=np.int32)
+    return both[:n], both[n:]
 
+
+def _build(size: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
+        made = _Segment()
         for batch in batches:
             for doc, text in zip(*batch.columns):
-                data = text.as_py()
-                if terms := terms_of(data):
-                    rows.append((doc.as_py(), terms))
-                    held += len(data)
-                if len(rows) >= size or held >= most:
-                    yield batch_of(rows)
-                    rows, held = [], 0
-        if rows:
-            yield batch_of(rows)
+                made.add(doc.as_py(), text.as_py())
+                if len(made.docs) >= size or made.held >= most:
+                    yield made.batch()
+                    made = _Segment()
+            give_back()
+        if made.docs:
+            yield made.batch()
     return run
 
 
@@ -103,6 +125,11 @@ def build_index(docs: DataFrame, segment: int = SEGMENT, segment_bytes: int = SE
         _build(segment, segment_bytes), SEGMENTS)
 
 
+def store_index(index: DataFrame) -> DataFrame:
+    """The index as written, few segments in a row group."""
+    return store(index, "index", **{"parquet.block.row.count.limit": READ_TOGETHER})
+
+
 def item_terms(items: DataFrame) -> DataFrame:
     """(item, term) of every item, each term once; terms are bytes, as in the index."""
     lowered = F.translate(text_of(), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -174,18 +201,18 @@ def accumulate(item: Item, postings: list[tuple[np.ndarray, np.ndarray, int] | N
 
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, tuple[dict[bytes, int], dict[int, Item]]] = {}
+        numbers, items = {}, {}
         for batch in batches:
             for row in range(batch.num_rows):
                 part = batch.slice(row, 1)
-                block, n_docs, n_terms = (part.column(i)[0].as_py() for i in range(3))
-                if block not in blocks:
-                    blocks[block] = _block(part.column(3)[0].as_py())
-                numbers, items = blocks[block]
-                docs, lengths, ends, places, counts = (lists(part.column(i))[0] for i in (4, 5, 7, 8, 9))
+                if part.column(2).null_count == 0:
+                    numbers, items = _block(part.column(2)[0].as_py())
+                n_docs, n_terms = (part.column(i)[0].as_py() for i in range(2))
+                docs, lengths, ends = (lists(part.column(i))[0] for i in (3, 4, 6))
+                places, counts = _unpacked(part.column(7)[0].as_buffer(), int(ends[-1]))
                 m8 = 8 * (10 + 90 * lengths * n_docs // n_terms)
                 postings: list = [None] * len(numbers)
-                for at, term in enumerate(part.column(6)[0].as_py()):
+                for at, term in enumerate(part.column(5)[0].as_py()):
                     number = numbers.get(term)
                     if number is not None:
                         low, high = int(ends[at - 1]) if at else 0, int(ends[at])
@@ -197,7 +224,9 @@ def _search(k: int):
                     if len(found):
                         keep = np.lexsort((docs[found], -scores))[:k]
                         item.best = sorted(item.best + list(zip((-scores[keep]).tolist(), docs[found[keep]].tolist())))[:k]
-        hits = [(name, doc, -score) for _, items in blocks.values() for name, item in items.items() for score, doc in item.best if score < 0]
+            batch = part = docs = lengths = ends = None  # else they are held while the next batch is read
+            give_back()
+        hits = [(name, doc, -score) for name, item in items.items() for score, doc in item.best if score < 0]
         columns = list(zip(*hits)) if hits else [[]] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["item", "doc_id", "score"])
     return run
@@ -214,11 +243,12 @@ def _block(wanted: list[dict]) -> tuple[dict[bytes, int], dict[int, Item]]:
 def search(index: DataFrame, items: DataFrame, k: int = TOP, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(item_id, rank, doc_id, score): the k best documents of every item, best first, equal scores by ascending id."""
     blocks = store(weighted_items(index, items, block_terms), "items")
-    columns = ["block", "n_docs", "n_terms", "wanted", "docs", "lengths", "terms", "ends", "places", "counts"]
+    first = F.monotonically_increasing_id().bitwiseAND(2 ** 33 - 1) == 0  # of a task
+    columns = ["n_docs", "n_terms", F.when(first, F.col("wanted")).alias("wanted"), *[field.split()[0] for field in SEGMENTS.split(", ")]]
     best = None
     for row in blocks.select("block").orderBy("block").collect():  # the numbers of the blocks only
         one = blocks.where(F.col("block") == row.block)
-        found = index.crossJoin(F.broadcast(one)).select(columns).mapInArrow(_search(k), HITS)
+        found = index.crossJoin(F.broadcast(one)).select(*columns).mapInArrow(_search(k), HITS)
         best = found if best is None else best.unionByName(found)
     if best is None:
         best = blocks.select(*[F.col("block").alias(name) for name in ("item", "doc_id", "score")]).limit(0)

@@ -5,9 +5,13 @@ import math
 import random
 import re
 from collections import Counter
+from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import public_tokenizers
 from data import EDGE_SCHEMA, edge_rows, prose
@@ -224,3 +228,32 @@ def test_accumulators_are_limited():
     late = ranked_search.Item([0, 1], [3, 3])
     late.best = [(-10 ** 9, d) for d in range(10)]  # scores of earlier segments limit as well
     assert not len(ranked_search.accumulate(late, [rare, tie], size, 10)[0])
+
+
+def test_stored_segments_lie_in_small_row_groups(spark):
+    """Spark reads up to 4,096 rows of a row group at once, which would be all wide segments of a file."""
+    docs = spark.range(30, numPartitions=1).select((F.col("id") * 2).alias("doc_id"), F.concat(F.lit("stone w"), F.col("id")).alias("text"))
+    stored = ranked_search.store_index(ranked_search.build_index(docs, segment=2))
+    assert stored.count() == 15
+    files = [pq.ParquetFile(unquote(urlparse(f).path)).metadata for f in stored.inputFiles()]
+    assert max(f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)) == ranked_search.READ_TOGETHER
+    items = [(1, "w7 stone"), (2, "w29")]
+    got = ranked_search.search(stored, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted([tuple(r) for r in got], key=repr) == expected_hits([(2 * i, f"stone w{i}") for i in range(30)], items)
+
+
+def test_search_gets_the_items_with_the_first_segment_of_a_task(spark, monkeypatch):
+    """They are not sent again with every segment."""
+    def counting(k):
+        def run(batches):
+            sent = [(b.num_rows - b.column("wanted").null_count, b.num_rows) for b in batches]
+            found = [[sum(n)] for n in zip(*sent)] if sent else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()) for n in (*found, found[0])], names=["item", "doc_id", "score"])
+        return run
+
+    docs = spark.createDataFrame([(i, f"a b{i}") for i in range(40)], "doc_id long, text string").coalesce(2)
+    index = ranked_search.store_index(ranked_search.build_index(docs, segment=3))
+    monkeypatch.setattr(ranked_search, "_search", counting)
+    got = ranked_search.search(index, spark.createDataFrame([(1, "a b7")], "item_id long, text string"), k=100).collect()
+    assert sum(r.doc_id for r in got) == index.count() == 14
+    assert {r.item_id for r in got} == {1} and max(r.doc_id for r in got) > 1
