@@ -7,8 +7,8 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +18,8 @@ from riskweave.session import scratch
 # Scores are compared at this many places: sums differ in the last bits with the
 # order of addition, and copies of a text must tie so that the key decides.
 PLACES = 10
+# Dense search: vectors of a block, its bytes, rows multiplied at once, parts of the corpus, and rows held for a task.
+ROWS, BLOCK_BYTES, TILE, PARTS, HELD = 4096, 4 << 20, 256, 16, 50_000
 
 
 def _counted(sorted_terms: Column) -> Column:
@@ -173,70 +175,170 @@ def dense_search(
     """Exact nearest vectors as (query, key, score, rank).
 
     ``metric``: "cosine" (best is highest) or "l2", the squared distance (best is
-    lowest). Queries are packed where they lie into blocks of at most ``block``, the corpus
-    into slices, and every block meets every slice in some task, which multiplies the two
-    and leaves the k best per query. Nothing passes through the driver and the plan is the
+    lowest). Both sides are packed where they lie, and every block of queries meets every block
+    of the corpus in some task, which multiplies at most ``block`` queries at once and keeps the
+    k best per query over all blocks of its part. Nothing passes through the driver and the plan is the
     same for any number of queries. The threshold applies after the top k, as a limit on
     what is shown. Null vectors are left out on both sides.
     """
-    sides = [(queries, query, query_vector, "_names", "_q", block), (corpus, key, vector, "_keys", "_v", 2048)]
+    sides = [(queries, query, query_vector, "_names", "_q", max(1, min(ROWS, HELD // k))), (corpus, key, vector, "_keys", "_v", ROWS)]
     (asked, name_kind), (side, key_kind) = (_packed(*x) for x in sides)
     schema = f"`{query}` {name_kind}, `{key}` {key_kind}, score double"
-    scored = asked.crossJoin(side).select("_names", "_q", "_keys", "_v").mapInArrow(_block_scores(query, key, k, metric), schema)
+    pairs = asked.crossJoin(side.coalesce(PARTS)).select("_names", "_q", "_keys", "_v")
+    scored = pairs.mapInArrow(_block_scores(query, key, k, metric, tile=min(block, TILE)), schema)
     best = top_k(scored, query, [F.asc("score") if metric == "l2" else F.desc("score"), F.asc(key)], k)
     return best if threshold is None else best.where(F.col("score") >= threshold)
 
 
 def _packed(df: DataFrame, key: str, vector: str, names: str, matrix: str, rows: int) -> tuple[DataFrame, str]:
-    """(keys, bytes of the vectors) for every ``rows`` rows of a partition, and the type of the keys."""
+    """(keys, bytes of the vectors) for at most ``rows`` rows of a partition and BLOCK_BYTES, and the type of the keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (whole.slice(low, rows) for whole in batches for low in range(0, whole.num_rows, rows)):
-            values = part.column(1).flatten().to_numpy(zero_copy_only=False)
-            if len(set(part.column(1).value_lengths().to_pylist())) > 1:
+        for whole in batches:
+            lengths = set(whole.column(1).value_lengths().to_pylist())
+            if len(lengths) > 1:
                 raise ValueError("vectors of different lengths")
-            keys = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0))
-            yield pa.RecordBatch.from_arrays([keys, pa.array([values.tobytes()], pa.binary())], names=[names, matrix])
+            most = max(1, min(rows, BLOCK_BYTES // max(8, *(8 * n for n in lengths)))) if lengths else rows
+            for part in (whole.slice(low, most) for low in range(0, whole.num_rows, most)):
+                values = part.column(1).flatten().to_numpy(zero_copy_only=False)
+                keys = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0))
+                yield pa.RecordBatch.from_arrays([keys, pa.array([values.tobytes()], pa.binary())], names=[names, matrix])
 
     side = df.select(F.col(key), F.col(vector).cast("array<double>").alias("_x")).where("_x IS NOT NULL")
     kind = side.schema[0].dataType.simpleString()
     return side.mapInArrow(run, f"{names} array<{kind}>, {matrix} binary"), kind
 
 
-def _block_scores(query: str, key: str, k: int, metric: str, held: int = 50_000):
-    sign = 1.0 if metric == "l2" else -1.0
-
-    def best(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        pool = pd.concat(parts, ignore_index=True)
-        ranked = pool.assign(_o=pool["score"] * sign).sort_values([query, "_o", key], kind="stable")
-        return ranked.groupby(query, sort=False, dropna=False).head(k).drop(columns="_o")
+class _Block:
+    """Vectors of one side where they lie, with unit vectors of single precision to find what can be near."""
+
+    def __init__(self, names: pa.Array, matrix: pa.Buffer, unit: bool):
+        self.names, self.vectors = names, np.frombuffer(matrix, dtype="float64").reshape(len(names), -1)
+        self.units = None
+        if unit:
+            self.norms = np.linalg.norm(self.vectors, axis=1)
+            if np.isfinite(self.norms).all():
+                self.least = float(self.norms[self.norms > 0].min(initial=np.inf))
+                # Parted by rows: a part is small, so no second copy of the block is made.
+                self.units = np.empty(self.vectors.shape, dtype="float32")
+                for low in range(0, len(names), TILE):
+                    own = slice(low, low + TILE)
+                    self.units[own] = self.vectors[own] / np.where(self.norms[own] > 0, self.norms[own], 1.0)[:, None]
+
+
+class _Asked(_Block):
+    """A block of queries and the best found for each: rows of the block, scores (lowest best) and keys, in order of the rows."""
+
+    def __init__(self, names: pa.Array, matrix: pa.Buffer, unit: bool):
+        super().__init__(names, matrix, unit)
+        self.vectors = self.vectors.copy()  # its batch goes before it
+        self.rows, self.scores, self.keys = np.empty(0, dtype=np.int64), np.empty(0), None
+        self.bound = np.full(len(names), np.inf)  # of the k-th best
+
+    def holds(self, names: pa.Array, matrix: pa.Buffer) -> bool:
+        return np.array_equal(self.vectors.view("int64").ravel(), np.frombuffer(matrix, dtype="int64")) and self.names.equals(names)
+
+    def take(self, rows: np.ndarray, scores: np.ndarray, keys: pa.Array, k: int) -> None:
+        if self.keys is not None:
+            rows, scores, keys = np.concatenate([self.rows, rows]), np.concatenate([self.scores, scores]), pa.concat_arrays([self.keys, keys])
+        table = pa.table({"row": rows, "score": scores, "key": keys})
+        order = pc.sort_indices(table, sort_keys=[(name, "ascending") for name in table.column_names], null_placement="at_start").to_numpy()
+        rows = rows[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        order, rows, place = order[place < k], rows[place < k], place[place < k]
+        self.rows, self.scores, self.keys = rows, scores[order], keys.take(pa.array(order))
+        self.bound[rows[place == k - 1]] = self.scores[place == k - 1]
+
+    def found(self, names: list[str], sign: float) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([self.names.take(pa.array(self.rows)), self.keys, pa.array(self.scores * sign)], names=names)
+
+
+def _dense(asked: np.ndarray, vectors: np.ndarray, metric: str, bound: np.ndarray, k: int, sign: float):
+    """(row, column, score) of the k best of every row as good as its bound; of equal scores the first columns."""
+    ordered = np.round(_scores(asked, vectors, metric), PLACES) * sign
+    if ordered.shape[1] > k:
+        known = ~np.isnan(ordered)
+        ordered[~known] = np.inf
+        last = np.partition(ordered, k - 1, axis=1)[:, k - 1]
+        better, equal = ordered < last[:, None], (ordered == last[:, None]) & known
+        near = better | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= (k - better.sum(1))[:, None]))
+        near &= ordered <= bound[:, None]
+    else:
+        near = ordered <= bound[:, None]
+    i, j = np.nonzero(near)
+    return i, j, ordered[i, j]
+
+
+def _kth(scores: np.ndarray, k: int) -> np.ndarray:
+    """A score that k or more of every row reach: the k-th highest of the highest of groups of columns."""
+    if scores.shape[1] < k:
+        return np.full(len(scores), -np.inf)
+    groups = min(scores.shape[1], max(64, 4 * k))
+    highest = np.maximum.reduceat(scores, np.arange(groups) * scores.shape[1] // groups, axis=1)
+    return np.partition(highest, groups - k, axis=1)[:, groups - k]
+
+
+def _tile(asked: _Asked, side: _Block, own: slice, metric: str, k: int, sign: float):
+    """(row, column, score) of what can be among the k best of some rows of the block.
+
+    A cosine of single precision differs from the exact one by less than ``slack``; pairs that are
+    farther from the k-th best are left out, the others are worked out exactly. Rows with
+    many such pairs, as of copies of one vector, are worked out whole.
+    """
+    bound, vectors = asked.bound[own], asked.vectors[own]
+    slack = np.inf
+    if asked.units is not None and side.units is not None:
+        slack = (vectors.shape[1] + 16) * 2.0 ** -23 + 1e-8 / (asked.least * side.least)
+    if not slack < 1e-3:
+        return _dense(vectors, side.vectors, metric, bound, k, sign)
+    close = asked.units[own] @ side.units.T
+    limit = -bound - slack
+    if np.isinf(bound).any():
+        limit = np.maximum(limit, _kth(close, k).astype("float64") - 2 * slack)
+    hits = np.flatnonzero(close >= limit.astype("float32")[:, None])
+    i, j = np.divmod(hits, close.shape[1])
+    many = np.bincount(i, minlength=len(bound)) > 4 * k + 32
+    parts = []
+    if many.any():
+        few, whole = ~many[i], np.flatnonzero(many)
+        i, j = i[few], j[few]
+        row, column, score = _dense(vectors[whole], side.vectors, metric, bound[whole], k, sign)
+        parts.append((whole[row], column, score))
+    dots = np.einsum("ij,ij->i", vectors[i], side.vectors[j])
+    parts.append((i, j, np.round(dots / (asked.norms[own][i] * side.norms[j] + 1e-8), PLACES) * sign))
+    i, j, scores = (np.concatenate(x) for x in zip(*parts))
+    good = scores <= bound[i]
+    return i[good], j[good], scores[good]
+
+
+def _block_scores(query: str, key: str, k: int, metric: str, held: int = HELD, tile: int = TILE):
+    sign, unit, names = (1.0 if metric == "l2" else -1.0), metric == "cosine", [query, key, "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[pd.DataFrame] = []
-        kinds = None
-
-        def given() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pandas(parts.pop(), pa.schema(list(zip((query, key, "score"), kinds))), preserve_index=False)
-
+        blocks: list[_Asked] = []
         # A batch holds many megabytes of vectors: they are read where they lie, one pair of blocks at a time.
         for batch in batches:
-            kinds = batch.column(0).type.value_type, batch.column(2).type.value_type, pa.float64()
             for row in range(batch.num_rows):
-                names, asked, keys, vectors = (batch.column(c)[row] for c in range(4))
-                names, keys = (x.values.to_numpy(zero_copy_only=False) for x in (names, keys))
-                pair = [np.frombuffer(x.as_buffer(), dtype="float64").reshape(len(n), -1) for n, x in ((names, asked), (keys, vectors))]
-                scores = np.round(_scores(*pair, metric), PLACES)
-                ordered = scores * sign
-                # Everything as good as the k-th best, so ties are settled by key below.
-                bound = np.partition(ordered, k - 1, axis=1)[:, k - 1:k] if ordered.shape[1] > k else np.inf
-                i, j = np.nonzero(ordered <= bound)
-                parts.append(pd.DataFrame({query: names[i], key: keys[j], "score": scores[i, j]}))
-                if sum(map(len, parts)) > held:
-                    parts = [best(parts)]
-                    if len(parts[0]) > held // 2:  # many queries: these are handed on and others take their place
-                        yield given()
-        if parts:
-            parts = [best(parts)]
-            yield given()
+                asked_names, matrix, keys, vectors = (batch.column(c)[row] for c in range(4))
+                matrix, asked_names, keys = matrix.as_buffer(), asked_names.values, keys.values
+                # Queries met before, as a rule the last ones, go on with what they have found.
+                asked = next((b for b in reversed(blocks) if b.holds(asked_names, matrix)), None)
+                if asked is None:
+                    while blocks and sum(len(b.rows) for b in blocks) > held // 2:
+                        yield blocks.pop(0).found(names, sign)
+                    blocks.append(asked := _Asked(pa.concat_arrays([asked_names]), matrix, unit))
+                order = pc.sort_indices(keys, null_placement="at_start").to_numpy()
+                if (np.diff(order) != 1).any():  # columns in order of their keys
+                    keys, sorted_vectors = keys.take(pa.array(order)), np.frombuffer(vectors.as_buffer(), dtype="float64").reshape(len(order), -1)[order]
+                    side = _Block(keys, memoryview(sorted_vectors).cast("B"), unit)
+                else:
+                    side = _Block(keys, vectors.as_buffer(), unit)
+                found = [(low, *_tile(asked, side, slice(low, low + tile), metric, k, sign)) for low in range(0, len(asked.names), tile)]
+                rows, columns, scores = (np.concatenate(x) for x in zip(*((i + low, j, score) for low, i, j, score in found)))
+                if len(rows):
+                    asked.take(rows, scores, keys.take(pa.array(columns)), k)
+        for block in blocks:
+            if block.keys is not None:
+                yield block.found(names, sign)
     return run
 
 

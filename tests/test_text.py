@@ -224,6 +224,56 @@ def test_dense_search_holds_no_copy_of_a_batch():
     assert peak < batch.nbytes / 10
 
 
+def _pairs(names, asked, keys, vectors, rows, columns, asked_first):
+    """Rows as the cross join hands them on, one a batch."""
+    def blocks(ids, matrix, n):
+        return [(pa.array([ids[x:x + n]]), pa.array([matrix[x:x + n].tobytes()], pa.binary())) for x in range(0, len(ids), n)]
+    left, right = blocks(names, asked, rows), blocks(keys, vectors, columns)
+    both = [(x, y) for x in left for y in right] if asked_first else [(x, y) for y in right for x in left]
+    return [pa.RecordBatch.from_arrays([*x, *y], names=["_names", "_q", "_keys", "_v"]) for x, y in both]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+@pytest.mark.parametrize("scale", [1.0, 1e-5])
+@pytest.mark.parametrize("asked_first, held", [(True, 0), (False, 0), (False, 1000)])
+def test_dense_blocks_equal_brute_force(metric, scale, asked_first, held):
+    rng, k = np.random.default_rng(4), 4
+    vectors = rng.normal(size=(260, 6)).round(2) * scale
+    vectors[100:160] = vectors[7]  # more copies than are worked out one by one
+    vectors[200:220] = vectors[:20]
+    vectors[230] = 0
+    vectors[231, 2] = np.nan
+    keys = [f"k{i * 37 % 260:03}" for i in range(260)]
+    keys[110] = keys[215] = None
+    asked = np.concatenate([vectors[:40], vectors[228:233]])
+    run = retrieval._block_scores("q", "i", k, metric, held, 16)
+    batches = _pairs(list(range(45)), asked, keys, vectors, 20, 70, asked_first)
+    got = {}
+    for r in pa.Table.from_batches(list(run(iter(batches)))).to_pylist():
+        got.setdefault(r["q"], []).append((r["score"] if metric == "l2" else -r["score"], r["i"] or "", r["i"]))
+    for q in range(45):
+        if metric == "cosine":
+            s = -(vectors @ asked[q]) / (np.linalg.norm(vectors, axis=1) * np.linalg.norm(asked[q]) + 1e-8)
+        else:
+            s = ((vectors - asked[q]) ** 2).sum(1)
+        want = sorted((round(float(x), 10), i or "", i) for x, i in zip(s, keys) if x == x)[:k]
+        found = sorted(got.get(q, []))[:k]
+        assert [x[2] for x in found] == [x[2] for x in want], q
+        assert np.allclose([x[0] for x in found], [x[0] for x in want], rtol=0, atol=2e-10)
+
+
+def test_dense_search_works_out_near_pairs_only(monkeypatch):
+    """Double precision and ordering are for what can be among the k best, over all blocks a query meets in a task."""
+    rng, own, scored = np.random.default_rng(5), retrieval._scores, []
+    monkeypatch.setattr(retrieval, "_scores", lambda q, v, metric: scored.append(len(q) * len(v)) or own(q, v, metric))
+    vectors, ids = rng.normal(size=(3000, 32)), list(range(3000))
+    run = retrieval._block_scores("q", "i", 3, "cosine")
+    found = pa.Table.from_batches(list(run(iter(_pairs(ids, vectors, ids, vectors, 3000, 1000, True))))).to_pydict()
+    assert sum(scored) < 0.01 * 3000 ** 2
+    assert found["q"] == [i for i in ids for _ in range(3)]  # not k a block
+    assert found["i"][::3] == ids
+
+
 def test_threshold_applies_after_top_k(spark):
     corpus = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1])], "i int, v array<double>")
     queries = spark.createDataFrame([(0, [1.0, 0.0])], "q int, qv array<double>")
